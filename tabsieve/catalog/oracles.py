@@ -115,7 +115,7 @@ def _bins(source: str, c: str, with_edges: bool) -> str:
             f"SELECT lo, hi, CAST(g - (v < lo + g * ((hi - lo) / 40))::INT "
             f"+ (v >= lo + (g + 1) * ((hi - lo) / 40) AND g < 39)::INT AS INTEGER) AS bin FROM ("
             f"SELECT v, lo, hi, {guess} AS g FROM (SELECT {c}::DOUBLE AS v, min({c}::DOUBLE) OVER () AS lo, "
-            f"max({c}::DOUBLE) OVER () AS hi FROM {source}))) GROUP BY {group}")
+            f"max({c}::DOUBLE) OVER () AS hi FROM {source} WHERE {c} IS NOT NULL))) GROUP BY {group}")
 
 
 def _value_counts(source: str, cols, n: int) -> str:
@@ -292,6 +292,8 @@ ORACLES: dict[str, str] = {
     "kendall": _kendall([(TIED_NUMBERS[1], TIED_NUMBERS[0])]),
     "histogram_40": _bins("events", "value", True),
     "histogram_all_columns": " UNION ALL ".join(f"({_bins('lineitem', c, False)})" for c in LINE_NUMBERS),
+    "histogram_with_gaps": f"WITH {DIRTY} " + " UNION ALL ".join(
+        f"({_bins('dirty', c, False)})" for c in ("o_totalprice", "sparse_col")),
     "value_counts_top": _value_counts("documents", [("lang", "lang"), ("source", "source")], 5),
     "value_counts_with_gaps": f"WITH {DIRTY} " + _value_counts("dirty", [
         (c, c) if k == "string" else (c, f"CASE {c} WHEN true THEN 'True' WHEN false THEN 'False' END")

@@ -336,6 +336,12 @@ def histogram_all_columns(spark, sf):
     return distributions.histograms(table(spark, sf, "lineitem"), 40, LINE_NUMBERS).select("column", "bin", "n")
 
 
+@query
+def histogram_with_gaps(spark, sf):
+    columns_with_gaps = ["o_totalprice", "sparse_col", "empty_col"]
+    return distributions.histograms(dirty_orders(spark, sf), 40, columns_with_gaps).select("column", "bin", "n")
+
+
 @query
 def value_counts_top(spark, sf):
     return distributions.value_counts(table(spark, sf, "documents"), 5, ["lang", "source"])

@@ -25,7 +25,7 @@ def _bin_of(v: str, lo: float, hi: float, bins: int) -> str:
     guess = f"cast(least(floor(({v} - {start}) / {step}), {bins - 1}) as int)"
     down = f"if({v} < {start} + {guess} * {step}, 1, 0)"
     up = f"if({v} >= {start} + ({guess} + 1) * {step} and {guess} < {bins - 1}, 1, 0)"
-    return f"{guess} - {down} + {up}"
+    return f"case when {v} is not null then {guess} - {down} + {up} end"      # least() skips NULL
 
 
 def histograms(df: DataFrame, bins: int = 40, cols: Sequence[str] | None = None,

@@ -80,9 +80,10 @@ def classification_report(df: DataFrame, label: str, prediction: str, classes: S
     classes = observed_classes(df, label, prediction) if classes is None else list(classes)
     names = [str(c) for c in classes] if class_names is None else list(class_names)
     scores = class_scores(confusion_matrix(df, label, prediction, classes))
-    order = df.sparkSession.createDataFrame(
-        [(i, c, n) for i, (c, n) in enumerate(zip(classes, names))],
-        f"position int, c {type_of(df, label).simpleString()}, name string")
+    dtype = type_of(df, label).simpleString()
+    order = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(c).cast(dtype).alias("c"), F.lit(n).alias("name"))
+        for i, (c, n) in enumerate(zip(classes, names))])))
     named = scores.join(F.broadcast(order), F.col("label") == F.col("c"))
     per_class = named.select("position", F.col("name").alias("label"), "precision", "recall", "f1_score", "support")
     total = F.sum("support")

@@ -44,7 +44,8 @@ def detect_encodings(spark: SparkSession, path: str, head_bytes: int = HEAD_BYTE
     """``(path, n_bytes, encoding)`` per file under ``path`` (a folder, file or glob).
 
     Listing is Spark's; each task opens its files and reads only their first
-    bytes, so a file may be larger than memory.
+    bytes, so a file may be larger than memory.  Empty files, which have nothing
+    to guess from, are not listed.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select("path", F.col("length").alias("n_bytes")))
