@@ -179,8 +179,7 @@ REPORT = """
 
 def _clean() -> str:
     """Statistics from the train side, in the order the steps run."""
-    return f"""WITH {DIRTY}, {_split('orders', 'o_orderkey', 'o_orderstatus')},
-  d AS (SELECT dirty.*, split.split FROM dirty JOIN split USING (o_orderkey)),
+    return f"""WITH {DIRTY}, {_split('dirty', 'o_orderkey', 'o_orderpriority', 'd')},
   mode AS (SELECT is_even AS m FROM d WHERE split = 'train' AND is_even IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
   f AS (SELECT *, CASE WHEN floor_txt = 'bajo' THEN 0 ELSE try_cast(floor_txt AS DOUBLE) END AS fl FROM d),
   med AS (SELECT median(fl) AS mf, median(o_totalprice) AS mp FROM f WHERE split = 'train'),
@@ -311,8 +310,7 @@ ORACLES: dict[str, str] = {
     "one_hot_drop_first": "SELECT o_orderkey, " + ", ".join(
         [f"(o_orderstatus = '{v}')::TINYINT AS \"cat__o_orderstatus_{v}\"" for v in ("O", "P")]
         + [f"(o_orderpriority = '{v}')::TINYINT AS \"cat__o_orderpriority_{v}\"" for v in PRIORITIES]) + " FROM orders",
-    "preprocess_train_test": f"""WITH {DIRTY}, {_split('orders', 'o_orderkey', 'o_orderstatus')},
-  d AS (SELECT dirty.*, split.split FROM dirty JOIN split USING (o_orderkey)),
+    "preprocess_train_test": f"""WITH {DIRTY}, {_split('dirty', 'o_orderkey', 'o_orderpriority', 'd')},
   q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, median(o_totalprice) AS q2, quantile_cont(o_totalprice, 0.75) AS q3 FROM d WHERE split = 'train')
   SELECT o_orderkey, split, round((o_totalprice - q2) / (q3 - q1), 6) AS "num__o_totalprice", """ + ", ".join(
         [f"coalesce(o_orderstatus = '{v}', false)::TINYINT AS \"cat__o_orderstatus_{v}\"" for v in ("F", "O", "P", "na")]

@@ -367,8 +367,7 @@ def scatter_log1p(spark, sf):
 # --- learned cleaning -------------------------------------------------------------------------
 
 def _dirty_split(spark, sf):
-    split = splitting.train_test_split(table(spark, sf, "orders"), ["o_orderkey"], "o_orderstatus", seed=SEED)
-    return dirty_orders(spark, sf).join(split.select("o_orderkey", "split"), "o_orderkey")
+    return splitting.train_test_split(dirty_orders(spark, sf), ["o_orderkey"], "o_orderpriority", seed=SEED)
 
 
 @query

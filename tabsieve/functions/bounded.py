@@ -25,7 +25,7 @@ def broadcast_if_small(spark: SparkSession, df: DataFrame, limit: int = BROADCAS
     A larger table is returned as it is: the join then shuffles both sides and
     adaptive execution splits skewed partitions.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return df
     return F.broadcast(spark.createDataFrame(rows, df.schema))

@@ -75,15 +75,18 @@ def unify_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+# What counts as a number in text: no type letter ("1d"), hexadecimal or digit separator.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
+
 def to_numeric(c: Column, dtype: T.DataType) -> Column:
     """Coerce to double; what does not parse becomes NULL.
 
-    Java also parses a trailing type letter ("1d", "1f"), which is no number in
-    a data file, so such strings are refused first.
+    The pattern is stricter than Java's parser, and it keeps other texts away
+    from ``try_cast``, where each failure costs an exception.
     """
     if isinstance(dtype, T.StringType):
-        value = F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast("double"))
-        return F.when(~F.isnan(value), value)
+        return F.when(c.rlike(NUMBER), c.try_cast("double"))
     if isinstance(dtype, (T.NumericType, T.BooleanType, T.NullType)):
         value = c.cast("double")
         return F.when(~F.isnan(value), value)

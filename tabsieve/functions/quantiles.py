@@ -114,11 +114,12 @@ def _merged(bands: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _read(values: DataFrame, targets: list[_Target]) -> None:
+def _read(values: DataFrame, targets: list[_Target], limit: int) -> None:
     """One scan: count outside the brackets and per distinct value inside them, pick the ranks.
 
     The regions of a column are numbered along its axis: even ones lie between
-    brackets and are counted as a whole, odd ones are brackets.
+    brackets and are counted as a whole, odd ones are brackets.  Should the
+    brackets hold far more than the sketch promised, they are narrowed instead.
     """
     entries = []
     for c in sorted({t.column for t in targets}):
@@ -131,7 +132,13 @@ def _read(values: DataFrame, targets: list[_Target]) -> None:
         entries.append(f"named_struct('c', {c}, 'r', {place}, 'v', q{c})")
     regions = values.selectExpr(f"inline(array({', '.join(entries)}))").where("r is not null")
     counts = (regions.selectExpr("c", "r", "case when r % 2 = 1 then v end as v")
-              .groupBy("c", "r", "v").count().toPandas().sort_values(["c", "r", "v"]))
+              .groupBy("c", "r", "v").count())
+    most = len(targets) * (4 * limit + 3)
+    counts = counts.limit(most + 1).toPandas().sort_values(["c", "r", "v"])
+    if len(counts) > most:
+        for t in targets:
+            t.expected = 2.0 * limit + 1
+        return
     for c, part in counts.groupby("c"):
         upto = part["count"].cumsum().to_numpy()
         found, region = part["v"].to_numpy(), part["r"].to_numpy()
@@ -167,6 +174,6 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
             wide = [t for t in wide if INF > t.expected > inside_limit]
         ready = [t for t in waiting if t.expected <= inside_limit]
         if ready:
-            _read(table, ready)
+            _read(table, ready, inside_limit)
         waiting = [t for t in waiting if t.value is None]
     return {name: [t.value for t in targets if t.column == i] for i, name in enumerate(values)}

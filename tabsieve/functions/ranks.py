@@ -8,7 +8,6 @@ one row there, so no bucket is large because of it.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -27,18 +26,15 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def bucket_of(c: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds at or below the value: an order-preserving bucket.
-
-    The bounds are looked up in two steps (block, then place in the block), so a
-    row meets about twice the square root of their number.
-    """
+    """Number of bounds at or below the value: an order-preserving bucket, found by bisection."""
     if not bounds:
         return F.lit(0)
-    size = math.isqrt(len(bounds) - 1) + 1
-    blocks = [bounds[i:i + size] for i in range(0, len(bounds), size)]
-    block = F.size(F.filter(_points([b[0] for b in blocks[1:]]), lambda v: v <= c))
-    nested = F.expr("array(" + ", ".join(f"array({', '.join(map(sql_double, b))})" for b in blocks) + ")")
-    return block * size + F.size(F.filter(F.get(nested, block), lambda v: v <= c))
+    points = _points(bounds)
+    steps = F.expr(f"array({', '.join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))})")
+    return F.aggregate(
+        steps, F.lit(0),
+        # past the end of the bounds get() is NULL, which is not at or below the value
+        lambda at, step: F.when(F.get(points, at + step - 1) <= c, at + step).otherwise(at))
 
 
 def _points(values: Sequence[float]) -> Column:

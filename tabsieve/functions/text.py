@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Mapping
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -13,11 +12,6 @@ from pyspark.sql import Column, functions as F, types as T
 # The combining marks that count as accents, U+0300 to U+036F.
 ACCENT_FIRST, ACCENT_LAST = 0x0300, 0x036F
 
-# Code point ranges the JVM path handles: Latin and its accents, punctuation, currency.
-_JVM_RANGES = ((0x00, 0x24F), (ACCENT_FIRST, ACCENT_LAST), (0x1E00, 0x1EFF), (0x2010, 0x205E),
-               (0x20A0, 0x20BF))
-
-
 def _text_cleaner() -> Callable[[str | None], str | None]:
     """Built as a closure, so that tasks get it by value and need not import this package."""
     accents = re.compile(f"[{chr(ACCENT_FIRST)}-{chr(ACCENT_LAST)}]")
@@ -34,55 +28,24 @@ def _text_cleaner() -> Callable[[str | None], str | None]:
 plain_text = _text_cleaner()
 
 
-@lru_cache(maxsize=1)
-def _letter_table() -> tuple[str, str, str]:
-    """Build (from, to, regex class) for ``translate`` out of the Unicode decompositions.
-
-    A character belongs to the table when it becomes exactly one other character;
-    one that becomes several is left out of the class and goes to Python instead.
-    """
-    source, target, refused = [], [], []
-    for first, last in _JVM_RANGES:
-        for point in range(first, last + 1):
-            ch = chr(point)
-            if ACCENT_FIRST <= point <= ACCENT_LAST:
-                continue
-            plain = plain_text(ch)
-            if len(plain) != 1 or unicodedata.category(ch) == "Cn":
-                refused.append(ch)
-            elif ch == ch.lower() and plain != ch:
-                source.append(ch)
-                target.append(plain)
-    accents = [chr(p) for p in range(ACCENT_FIRST, ACCENT_LAST + 1)]
-    allowed = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in _JVM_RANGES)
-    excluded = "".join(f"\\x{{{ord(c):x}}}" for c in refused)
-    pattern = f"^[{allowed}&&[^{excluded}]]*$" if excluded else f"^[{allowed}]*$"
-    return "".join(source + accents), "".join(target), pattern
-
-
 def normalize_text(c: Column) -> Column:
     """Lower case without accents, as an expression.
 
-    ASCII and Latin text stays in the JVM; only rows with other characters are
-    handed to Python (the others are sent as NULL, which costs next to nothing).
+    Spark has no Unicode decomposition, so text beyond ASCII is handed to Python
+    in Arrow batches.  ASCII text, which cannot hold an accent, stays in the JVM
+    and is sent as NULL, which costs next to nothing.
     """
-    source, target, in_jvm = _letter_table()
+    ascii_only = F.octet_length(c) == F.char_length(c)
     lowered = F.lower(c)
-    ascii_only = c.rlike(r"^\p{ASCII}*$")
-    latin_only = c.rlike(in_jvm)
-    foreign = F.when(~latin_only, c)
     clean = plain_text
 
     @F.pandas_udf(T.StringType())
     def cleaned(texts: pd.Series) -> pd.Series:
         return texts.map(clean, na_action="ignore")
 
-    return (
-        F.when(c.isNull() | lowered.isin("true", "false"), c)
-        .when(ascii_only, lowered)
-        .when(latin_only, F.translate(lowered, source, target))
-        .otherwise(cleaned(foreign))
-    )
+    return (F.when(c.isNull(), c)
+            .when(ascii_only, F.when(lowered.isin("true", "false"), c).otherwise(lowered))
+            .otherwise(cleaned(F.when(~ascii_only, c))))
 
 
 def keyword_category(c: Column, mapping: Mapping[str, str | None]) -> Column:

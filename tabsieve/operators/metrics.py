@@ -41,7 +41,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequen
             .select("actual", F.explode(values).alias("predicted")))
     counts = df.groupBy(known(df, label).alias("actual"), known(df, prediction).cast(dtype).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n"))
-    return F.broadcast(grid).join(counts, ["actual", "predicted"], "left").select(
+    return grid.join(counts, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 

@@ -22,7 +22,8 @@ from ..functions.bounded import collect_at_most
 from ..functions.hashing import digest_bucket, key_digest
 from ..functions.nulls import known, ref, require_columns, type_of
 
-PREFIX_DIGITS = 4           # 65,536 digest prefixes per class
+PREFIX_ROWS = 50_000        # rows of a class that should share a digest prefix
+MAX_PREFIX_DIGITS = 5       # at most 1,048,576 prefixes per class
 MAX_CLASSES = 10_000
 
 Sizes = Callable[[dict[Any, int]], dict[Any, list[int]]]
@@ -61,8 +62,16 @@ def class_sizes(df: DataFrame, stratify: str | None) -> dict[Any, int]:
     return {r["c"]: r["n"] for r in rows}
 
 
+def prefix_length(rows: int) -> int:
+    """Hexadecimal digits that cut the largest class into pieces one task can order."""
+    digits = 1
+    while digits < MAX_PREFIX_DIGITS and rows > PREFIX_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def find_cuts(df: DataFrame, key_cols: Sequence[str], stratify: str | None, seed: int, sizes: Sizes,
-              prefix_digits: int = PREFIX_DIGITS) -> DigestCuts:
+              prefix_digits: int | None = None) -> DigestCuts:
     """Find the digests at cumulative ranks ``sizes(class counts)`` of every class."""
     spark = df.sparkSession
     require_columns(df, key_cols)
@@ -70,6 +79,7 @@ def find_cuts(df: DataFrame, key_cols: Sequence[str], stratify: str | None, seed
     class_type: T.DataType = T.IntegerType() if stratify is None else type_of(df, stratify)
     counts = class_sizes(df, stratify)
     wanted = sizes(counts)
+    prefix_digits = prefix_digits or prefix_length(max(counts.values(), default=0))
     cuts: dict[Any, list[str]] = {c: [""] * len(ranks) for c, ranks in wanted.items()}
     empty_tail = "g"            # above every hexadecimal digest
     targets = []

@@ -41,7 +41,7 @@ def _infer(df: DataFrame) -> dict[str, T.DataType]:
     for i, c in enumerate(df.columns):
         v = ref(c)
         aggs += [F.count(v).alias(f"n{i}"), F.count(_boolean(v)).alias(f"b{i}"),
-                 F.count(F.when(v.rlike(r"^\s*[+-]?[0-9]+\s*$"), v.try_cast("bigint"))).alias(f"i{i}"),
+                 F.count(F.when(v.rlike(r"^\s*[+-]?[0-9]{1,19}\s*$"), v.try_cast("bigint"))).alias(f"i{i}"),
                  F.count(to_numeric(v, T.StringType())).alias(f"f{i}")]
     row = df.agg(*aggs).first()
     types: dict[str, T.DataType] = {}

@@ -33,7 +33,8 @@ def test_split_sizes_and_determinism(df):
 
 def test_short_prefixes_give_the_same_cut(df):
     sizes = lambda counts: {c: [n // 3, n] for c, n in counts.items()}
-    assert S.find_cuts(df, ["id"], "c", 42, sizes).cuts == S.find_cuts(df, ["id"], "c", 42, sizes, prefix_digits=1).cuts
+    assert S.find_cuts(df, ["id"], "c", 42, sizes).cuts == S.find_cuts(df, ["id"], "c", 42, sizes, prefix_digits=4).cuts
+    assert [S.prefix_length(n) for n in (0, 800_000, 800_001, 10**12)] == [1, 1, 2, 5]
 
 
 def test_unstratified(df):
