@@ -32,4 +32,3 @@ from .sources.encoding import detect_encodings
 from .sources.export import export_split, export_train_test, read_exported
 from .sources.generators import random_terms, random_vectors
 
-__all__ = [name for name in dir() if not name.startswith("_")]

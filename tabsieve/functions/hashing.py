@@ -28,8 +28,3 @@ def digest_unit(digest: Column) -> Column:
 def digest_int(digest: Column, n: int) -> Column:
     """Map a digest to an integer in [0, n)."""
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") % F.lit(n)).cast("int")
-
-
-def digest_bucket(digest: Column, hex_digits: int) -> Column:
-    """The leading ``hex_digits`` of a digest as an integer: an order-preserving bucket."""
-    return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("int")

@@ -16,9 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """Reference a top-level column whose name may hold dots or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def sql_double(v: float) -> str:

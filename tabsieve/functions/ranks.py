@@ -14,9 +14,10 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .bounded import BROADCAST_ROWS, broadcast_if_small
-from .nulls import ref, sql_double
+from .nulls import quoted, ref, sql_double
 
 MIN_BUCKETS, MAX_BUCKETS = 64, 4096
+TREE_LEAVES = 256
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -25,16 +26,33 @@ def bucket_count(spark: SparkSession) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
 
 
-def bucket_of(c: Column, bounds: Sequence[float]) -> Column:
-    """Number of bounds at or below the value: an order-preserving bucket, found by bisection."""
+def _tree(column: str, bounds: Sequence[float], first: int = 0) -> str:
+    """Nested IFs that count the bounds at or below the value by bisection."""
     if not bounds:
-        return F.lit(0)
-    points = _points(bounds)
-    steps = F.expr(f"array({', '.join(str(1 << i) for i in reversed(range(len(bounds).bit_length())))})")
-    return F.aggregate(
+        return str(first)
+    middle = len(bounds) // 2
+    return (f"if({column} >= {sql_double(bounds[middle])}, {_tree(column, bounds[middle + 1:], first + middle + 1)}, "
+            f"{_tree(column, bounds[:middle], first)})")
+
+
+def bucket_of(column: str, bounds: Sequence[float]) -> Column:
+    """Number of bounds at or below the value: an order-preserving bucket.
+
+    A tree of comparisons runs as generated code, but only up to some size; many
+    bounds are cut into blocks, the tree finds the block and the rest is a bisection.
+    """
+    if len(bounds) < TREE_LEAVES:
+        return F.expr(_tree(column, bounds))
+    size = -(-len(bounds) // TREE_LEAVES)
+    blocks = [bounds[i:i + size] for i in range(0, len(bounds), size)]
+    block = F.expr(_tree(column, [b[0] for b in blocks[1:]]))
+    points = F.get(F.expr("array(" + ", ".join(f"array({', '.join(map(sql_double, b))})" for b in blocks) + ")"), block)
+    steps = F.expr(f"array({', '.join(str(1 << i) for i in reversed(range(size.bit_length())))})")
+    inside = F.aggregate(
         steps, F.lit(0),
         # past the end of the bounds get() is NULL, which is not at or below the value
-        lambda at, step: F.when(F.get(points, at + step - 1) <= c, at + step).otherwise(at))
+        lambda at, step: F.when(F.get(points, at + step - 1) <= F.expr(column), at + step).otherwise(at))
+    return block * size + inside
 
 
 def _points(values: Sequence[float]) -> Column:
@@ -61,7 +79,7 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None)
     ``cols`` are double columns without NULL.  Small tables come back as broadcast sides.
     """
     cuts = bucket_bounds(df, cols, buckets or bucket_count(df.sparkSession))
-    pairs = F.array(*[F.struct(F.lit(i).alias("c"), bucket_of(ref(c), cuts[c][0]).alias("b"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), bucket_of(quoted(c), cuts[c][0]).alias("b"))
                       for i, c in enumerate(cols)])
     sizes = df.select(F.inline(pairs)).groupBy("c", "b").count().collect()
     tables = {}
@@ -74,7 +92,7 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None)
         starts = [0, *accumulate(per_bucket)][:-1]
         offset = F.get(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("bucket"))
         values = (df.groupBy(ref(c).alias("value")).agg(F.count(F.lit(1)).alias("ties"))
-                  .withColumn("bucket", bucket_of(F.col("value"), bounds)))
+                  .withColumn("bucket", bucket_of("value", bounds)))
         before = F.sum("ties").over(
             Window.partitionBy("bucket").orderBy("value")) - F.col("ties")
         table = values.select("value", (offset + before).alias("below"), "ties")

@@ -93,6 +93,7 @@ class BaselineClassifierModel(Model, _BaselineParams):
             total = sum(weights)
             edges = F.array(*[F.lit(w / total) for w in list(accumulate(weights))[:-1]]).cast("array<double>")
             draw = digest_unit(key_digest(self.getKeyCols(), self.getSeed()))
-            place = F.size(F.filter(edges, lambda e: e <= draw))
+            # the one-element transform computes the draw once for all edges
+            place = F.get(F.transform(F.array(draw), lambda d: F.size(F.filter(edges, lambda e: e <= d))), F.lit(0))
             guess = F.get(F.array(*[F.lit(c) for c in classes]), place)
         return dataset.withColumn(self.getPredictionCol(), guess)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import is_nested, known, ref, require_columns, type_of
 
@@ -80,16 +80,27 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
     order = list(require_columns(df, order_by or ())) + [c for c in key_cols if c not in (order_by or ())]
     if not key_cols:
         order += [c for c in df.columns if c not in order and not is_nested(type_of(df, c))]
-    place = F.struct(*[known(df, c).alias(f"o{i}") for i, c in enumerate(order)])
-    kept = F.min(place) if keep == "first" else F.max(place)
-    groups = df.groupBy(*keys).agg(kept.alias("__kept"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    kept_first = keep == "first"
+    if len(order) == 1 and isinstance(type_of(df, order[0]), (T.NumericType, T.DatetimeType)):
+        # a fixed-width value is aggregated by hash; a missing one comes before all others
+        place = known(df, order[0])
+        behind = (place > F.col("__kept")) | (F.col("__gaps") > 0)
+        before = place.isNull() & F.col("__kept").isNotNull() | (place < F.col("__kept"))
+        beyond = place.isNotNull() & behind if kept_first else before
+        tied = place.eqNullSafe(F.when((F.col("__gaps") == 0) | F.lit(not kept_first), F.col("__kept")))
+    else:
+        place = F.struct(*[known(df, c).alias(f"o{i}") for i, c in enumerate(order)])
+        beyond = place > F.col("__kept") if kept_first else place < F.col("__kept")
+        tied = place == F.col("__kept")
+    groups = df.groupBy(*keys).agg(
+        (F.min(place) if kept_first else F.max(place)).alias("__kept"), F.count(F.lit(1)).alias("__n"),
+        (F.count(F.lit(1)) - F.count(place)).alias("__gaps")).where("__n > 1")
     joined = df.join(groups, _same_group(df, cols), "inner")
-    beyond = place > F.col("__kept") if keep == "first" else place < F.col("__kept")
     surplus = joined.where(beyond).select(*[ref(c) for c in df.columns])
     if key_cols:
         return surplus
     # Rows equal to the kept one in every column: all but one of them are surplus, too.
-    level = joined.where(place == F.col("__kept")).groupBy(*[ref(c) for c in df.columns]).agg(
+    level = joined.where(tied).groupBy(*[ref(c) for c in df.columns]).agg(
         (F.count(F.lit(1)) - 1).alias("__copies")).where("__copies > 0")
     return surplus.unionByName(_repeat(level, "__copies", df.columns))
 

@@ -2,11 +2,11 @@
 
 Every row gets the md5 of its key and the seed.  Per class the rows with the
 smallest digests form the test side (or the first fold, and so on).  Sorting a
-class would put it in one task; instead the digest value at each wanted rank is
-looked up: counts per digest prefix find the prefix that holds the rank, and
-only the rows of that one prefix are ordered.  What is left is a comparison
-with a handful of constants, a map-only projection that gives a row the same
-side on every run.
+class would put it in one task; instead the digest at each wanted rank is looked
+up.  Digests are spread evenly, so the one at rank r of n lies close to r/n of
+the way: rows outside a narrow window around that place are only counted, and
+the few inside it are ordered.  What is left is a comparison with a handful of
+constants, a map-only projection that gives a row the same side on every run.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.bounded import collect_at_most
-from ..functions.hashing import digest_bucket, key_digest
+from ..functions.hashing import key_digest
 from ..functions.nulls import known, ref, require_columns, type_of
 
-PREFIX_ROWS = 50_000        # rows of a class that should share a digest prefix
-MAX_PREFIX_DIGITS = 5       # at most 1,048,576 prefixes per class
+WINDOW_SIGMAS = 6.0         # half width of a window, in standard deviations of the rank
+DIGEST_DIGITS = 13          # 52 bits of a digest, as many as a double holds
 MAX_CLASSES = 10_000
 
 Sizes = Callable[[dict[Any, int]], dict[Any, list[int]]]
@@ -42,15 +42,20 @@ class DigestCuts:
     def part(self, df: DataFrame, name: str) -> DataFrame:
         """Add the part number: how many of its class's cuts lie before the row."""
         digest = key_digest(self.key_cols, self.seed)
+        n_cuts = len(next(iter(self.cuts.values()), ()))
+
+        def number(cut: Callable[[int], Column]) -> Column:
+            # one term per cut keeps this in generated code, where the digest is computed once
+            return sum(((cut(i) < digest).cast("int") for i in range(n_cuts)), F.lit(0))
+
         if self.stratify is None:
-            cuts = F.array(*[F.lit(c) for c in self.cuts[None]])
-            return df.withColumn(name, F.size(F.filter(cuts, lambda c: c < digest)))
+            return df.withColumn(name, number(lambda i: F.lit(self.cuts[None][i])))
         schema = T.StructType([T.StructField("__class", self.class_type),
                                T.StructField("__cuts", T.ArrayType(T.StringType()))])
         table = F.broadcast(df.sparkSession.createDataFrame(list(self.cuts.items()), schema))
-        number = F.size(F.filter(F.col("__cuts"), lambda c: c < digest))
         return (df.join(table, known(df, self.stratify).eqNullSafe(F.col("__class")), "left")
-                .withColumn(name, F.coalesce(number, F.lit(0))).drop("__class", "__cuts"))
+                .withColumn(name, F.coalesce(number(lambda i: F.get("__cuts", F.lit(i))), F.lit(0)))
+                .drop("__class", "__cuts"))
 
 
 def class_sizes(df: DataFrame, stratify: str | None) -> dict[Any, int]:
@@ -62,16 +67,28 @@ def class_sizes(df: DataFrame, stratify: str | None) -> dict[Any, int]:
     return {r["c"]: r["n"] for r in rows}
 
 
-def prefix_length(rows: int) -> int:
-    """Hexadecimal digits that cut the largest class into pieces one task can order."""
-    digits = 1
-    while digits < MAX_PREFIX_DIGITS and rows > PREFIX_ROWS * 16**digits:
-        digits += 1
-    return digits
+def _as_digest(fraction: float) -> str:
+    """The digest prefix that lies at a fraction of the digest range."""
+    if fraction >= 1.0:
+        return "g"              # above every hexadecimal digest
+    return format(int(max(fraction, 0.0) * 16**DIGEST_DIGITS), f"0{DIGEST_DIGITS}x")
+
+
+def rank_windows(n: int, ranks: Sequence[int], slack: float = 1.0) -> list[str]:
+    """Disjoint digest windows around the places of ranks 1…n: ``[from, to, from, to, …]``."""
+    windows: list[list[float]] = []
+    for rank in sorted(ranks):
+        place = rank / n
+        margin = slack * (WINDOW_SIGMAS * math.sqrt(place * (1 - place) / n) + 2 / n)
+        if windows and place - margin <= windows[-1][1]:
+            windows[-1][1] = place + margin
+        else:
+            windows.append([place - margin, place + margin])
+    return [_as_digest(edge) for window in windows for edge in window]
 
 
 def find_cuts(df: DataFrame, key_cols: Sequence[str], stratify: str | None, seed: int, sizes: Sizes,
-              prefix_digits: int | None = None) -> DigestCuts:
+              slack: float = 1.0) -> DigestCuts:
     """Find the digests at cumulative ranks ``sizes(class counts)`` of every class."""
     spark = df.sparkSession
     require_columns(df, key_cols)
@@ -79,38 +96,47 @@ def find_cuts(df: DataFrame, key_cols: Sequence[str], stratify: str | None, seed
     class_type: T.DataType = T.IntegerType() if stratify is None else type_of(df, stratify)
     counts = class_sizes(df, stratify)
     wanted = sizes(counts)
-    prefix_digits = prefix_digits or prefix_length(max(counts.values(), default=0))
     cuts: dict[Any, list[str]] = {c: [""] * len(ranks) for c, ranks in wanted.items()}
-    empty_tail = "g"            # above every hexadecimal digest
-    targets = []
+    missing: dict[Any, dict[int, int]] = {}
     for c, ranks in wanted.items():
         for i, rank in enumerate(ranks):
             if rank >= counts[c]:
-                cuts[c][i] = empty_tail
+                cuts[c][i] = _as_digest(1.0)
             elif rank > 0:
-                targets.append((0 if stratify is None else c, i, rank))
-    if targets:
-        schema = T.StructType([T.StructField("__class", class_type), T.StructField("__cut", T.IntegerType()),
-                               T.StructField("__rank", T.LongType())])
-        wanted_ranks = F.broadcast(spark.createDataFrame(targets, schema))
-        digests = df.select(stratum.alias("__c"), key_digest(key_cols, seed).alias("__digest"))
-        digests = digests.withColumn("__prefix", digest_bucket(F.col("__digest"), prefix_digits))
-        prefixes = digests.groupBy("__c", "__prefix").agg(F.count(F.lit(1)).alias("__n"))
-        running = F.sum("__n").over(Window.partitionBy("__c").orderBy("__prefix"))
-        located = (prefixes.withColumn("__upto", running)
-                   .join(wanted_ranks, F.col("__c").eqNullSafe(F.col("__class")), "inner")
-                   .where((F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__n")))
-                   .select("__class", "__cut", F.col("__prefix").alias("__at"),
-                           (F.col("__rank") - (F.col("__upto") - F.col("__n"))).alias("__place")))
-        found = located.collect()                     # one row per class and cut
-        spots = F.broadcast(spark.createDataFrame(found, located.schema))
-        order = Window.partitionBy("__class", "__cut").orderBy("__digest")
-        picked = (digests.join(spots, F.col("__c").eqNullSafe(F.col("__class"))
-                               & (F.col("__prefix") == F.col("__at")), "inner")
-                  .withColumn("__row", F.row_number().over(order))
-                  .where(F.col("__row") == F.col("__place")).select("__class", "__cut", "__digest").collect())
-        for r in picked:
-            cuts[None if stratify is None else r["__class"]][r["__cut"]] = r["__digest"]
+                missing.setdefault(c, {})[i] = rank
+
+    def label(c: Any) -> Any:
+        return 0 if stratify is None else c
+
+    digests = df.select(stratum.alias("__c"), key_digest(key_cols, seed).alias("__digest"))
+    while missing:
+        edges = F.broadcast(spark.createDataFrame(
+            [(label(c), rank_windows(counts[c], list(r.values()), slack)) for c, r in missing.items()],
+            T.StructType([T.StructField("__class", class_type), T.StructField("__edges", T.ArrayType(T.StringType()))])))
+        ranks = F.broadcast(spark.createDataFrame(
+            [(label(c), i, rank) for c, r in missing.items() for i, rank in r.items()],
+            T.StructType([T.StructField("__of", class_type), T.StructField("__cut", T.IntegerType()),
+                          T.StructField("__rank", T.LongType())])))
+        # regions of the digest range: even ones lie between windows, odd ones are windows
+        most = max(2 * len(r) for r in missing.values())
+        region = sum((F.coalesce((F.get("__edges", F.lit(i)) <= F.col("__digest")).cast("int"), F.lit(0))
+                      for i in range(most)), F.lit(0))
+        located = (digests.join(edges, F.col("__c").eqNullSafe(F.col("__class")), "inner")
+                   .select("__class", region.alias("region"), "__digest")
+                   .groupBy("__class", "region", F.when(F.col("region") % 2 == 1, F.col("__digest")).alias("digest"))
+                   .agg(F.count(F.lit(1)).alias("__n")))
+        running = F.sum("__n").over(Window.partitionBy("__class").orderBy("region", "digest"))
+        picked = (located.withColumn("__upto", running)
+                  .join(ranks, F.col("__class").eqNullSafe(F.col("__of")), "inner")
+                  .where((F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__n")))
+                  .select("__class", "__cut", "digest"))
+        for r in picked.collect():                  # one row per class and cut
+            c = None if stratify is None else r["__class"]
+            if r["digest"] is not None:             # else the rank fell outside its window
+                cuts[c][r["__cut"]] = r["digest"]
+                del missing[c][r["__cut"]]
+        missing = {c: r for c, r in missing.items() if r}
+        slack *= 4
     return DigestCuts(list(key_cols), stratify, seed, class_type, cuts)
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabsieve.functions import ranks
 from tabsieve.functions.ranks import average_ranks, bucket_of
 from tabsieve.operators import correlation as R
 
@@ -80,12 +81,14 @@ def test_ranks_with_hot_value(spark):
     assert got == want
 
 
-def test_buckets(spark):
+@pytest.mark.parametrize("leaves", [256, 3, 2])
+def test_buckets(spark, monkeypatch, leaves):
+    monkeypatch.setattr(ranks, "TREE_LEAVES", leaves)
     bounds = [1.0, 2.0, 2.5, 7.0, 9.0, 11.0, 20.0]
     points = [0.0, 1.0, 1.5, 2.0, 2.4, 2.5, 8.0, 9.0, 19.9, 20.0, 21.0]
     df = spark.createDataFrame([(p,) for p in points], "v double")
     for n in range(len(bounds) + 1):
-        got = {r["v"]: r["b"] for r in df.select("v", bucket_of(F.col("v"), bounds[:n]).alias("b")).collect()}
+        got = {r["v"]: r["b"] for r in df.select("v", bucket_of("v", bounds[:n]).alias("b")).collect()}
         assert got == {p: sum(b <= p for b in bounds[:n]) for p in points}
 
 

@@ -41,6 +41,25 @@ def test_matches_pandas_on_ties(spark):
     assert whole == Counter(map(tuple, pdf[pdf.duplicated()].to_numpy().tolist()))
 
 
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_missing_key_values(spark, keep):
+    rows = [("a", None, 1), ("a", 5, 2), ("a", 3, 3), ("b", None, 4), ("b", 1, 5), ("c", None, 6)]
+    df = spark.createDataFrame(rows, "s string, id int, n int").repartition(3)
+    got = sorted(r["n"] for r in D.duplicate_rows(df, ["s"], keep, key_cols=["id"]).collect())
+    ordered = pd.DataFrame(rows, columns=["s", "id", "n"]).sort_values("id", na_position="first")
+    assert got == sorted(ordered[ordered.duplicated(["s"], keep=keep)]["n"])
+    # the same through order_by alone, where nothing promises unique values
+    again = sorted(r["n"] for r in D.duplicate_rows(df, ["s"], keep, order_by=["id"]).collect())
+    assert again == got
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_single_column_ordered_by_itself(spark, keep):
+    df = spark.createDataFrame([(None,)] * 3 + [(1,)] * 2 + [(2,)], "id int")
+    got = Counter(r["id"] for r in D.duplicate_rows(df, ["id"], keep, order_by=["id"]).collect())
+    assert got == {None: 2, 1: 1}
+
+
 def test_many_copies(spark, monkeypatch):
     monkeypatch.setattr(D, "COPIES_PER_ROW", 7)
     df = spark.createDataFrame([("hot",)] * 50 + [("cold",)], "s string")

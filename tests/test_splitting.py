@@ -31,10 +31,14 @@ def test_split_sizes_and_determinism(df):
     assert out.count() == 3001
 
 
-def test_short_prefixes_give_the_same_cut(df):
-    sizes = lambda counts: {c: [n // 3, n] for c, n in counts.items()}
-    assert S.find_cuts(df, ["id"], "c", 42, sizes).cuts == S.find_cuts(df, ["id"], "c", 42, sizes, prefix_digits=4).cuts
-    assert [S.prefix_length(n) for n in (0, 800_000, 800_001, 10**12)] == [1, 1, 2, 5]
+def test_windows_only_steer(df):
+    sizes = lambda counts: {c: [n // 3, n // 2, n] for c, n in counts.items()}
+    narrow = S.find_cuts(df, ["id"], "c", 42, sizes, slack=0.001)       # misses at first, then widens
+    wide = S.find_cuts(df, ["id"], "c", 42, sizes, slack=1000.0)        # whole digest range
+    assert narrow.cuts == wide.cuts == S.find_cuts(df, ["id"], "c", 42, sizes).cuts
+    assert all(len(c) == 32 for cuts in wide.cuts.values() for c in cuts[:2])
+    edges = S.rank_windows(10**12, [2 * 10**11, 8 * 10**11])
+    assert edges == sorted(edges) and len(edges) == 4
 
 
 def test_unstratified(df):
