@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from .queries import KEYWORDS, LINE_NUMBERS, SEED, TIED_NUMBERS
+import itertools
+import random
+
+from ..operators.baseline import STRATEGIES
+from .queries import KEYWORDS, LINE_NUMBERS, RANDOM_GRID, SEED, TIED_NUMBERS
 from .tables import DIRTY_ORDERS
 
 DIRTY = f"dirty AS (SELECT {DIRTY_ORDERS} FROM orders)"
@@ -190,25 +194,29 @@ def _clean() -> str:
          coalesce(valid, mv) AS o_totalprice FROM v, med2"""
 
 
-def _searched() -> str:
-    """Five stratified folds of the train side; each strategy trained on four and scored on the fifth."""
-    strategies = {
-        "most_frequent": "(SELECT y FROM b WHERE b.f = t.f ORDER BY n DESC, y LIMIT 1)",
-        "stratified": f"CASE WHEN {DRAW} < (SELECT sum(n) FILTER (y = 0) / sum(n) FROM b WHERE b.f = t.f) THEN 0 ELSE 1 END",
-        "uniform": f"CASE WHEN {DRAW} < 0.5 THEN 0 ELSE 1 END",
-    }
-    strategies["prior"] = strategies["most_frequent"]
+def _searched(candidates, k: int) -> str:
+    """Stratified folds of the train side; each (strategy, seed) trained on the others and scored on the fold."""
+    def guess(strategy: str, seed: int) -> str:
+        draw = _unit(f"concat_ws(':', doc_id, '{seed}')")
+        return {
+            "stratified": f"CASE WHEN {draw} < (SELECT sum(n) FILTER (y = 0) / sum(n) FROM b WHERE b.f = t.f) THEN 0 ELSE 1 END",
+            "uniform": f"CASE WHEN {draw} < 0.5 THEN 0 ELSE 1 END",
+        }.get(strategy, "(SELECT y FROM b WHERE b.f = t.f ORDER BY n DESC, y LIMIT 1)")
+
     scores = " UNION ALL ".join(
-        f"SELECT '{s}' AS strategy, f, avg((y = {guess})::INT::DOUBLE) AS score FROM (SELECT doc_id, quality AS y, fold AS f FROM folds) t GROUP BY f"
-        for s, guess in strategies.items())
+        f"SELECT {i} AS candidate, '{strategy}' AS strategy, {seed} AS seed, f, avg((y = {guess(strategy, seed)})::INT::DOUBLE) AS score "
+        f"FROM (SELECT doc_id, quality AS y, fold AS f FROM folds) t GROUP BY f" for i, (strategy, seed) in enumerate(candidates))
     return f"""WITH {_split('labels', 'doc_id', 'quality')},
   train AS (SELECT * EXCLUDE (split) FROM split WHERE split = 'train'),
-  folds AS ({_folds('train', 'doc_id', 'quality', 5)}),
-  b AS (SELECT k.f, quality AS y, count(*) AS n FROM folds, (SELECT unnest(range(5)) AS f) k WHERE fold <> k.f GROUP BY 1, 2),
+  folds AS ({_folds('train', 'doc_id', 'quality', k)}),
+  b AS (SELECT k.f, quality AS y, count(*) AS n FROM folds, (SELECT unnest(range({k})) AS f) k WHERE fold <> k.f GROUP BY 1, 2),
   scores AS ({scores}),
-  means AS (SELECT strategy, avg(score) AS m, stddev_pop(score) AS d FROM scores GROUP BY 1)
-  SELECT strategy, round(m, 6) AS mean_score, round(d, 6) AS std_score,
-         CAST(1 + (SELECT count(*) FROM means o WHERE round(o.m, 12) > round(means.m, 12)) AS INTEGER) AS rank FROM means"""
+  means AS (SELECT candidate, strategy, seed, avg(score) AS m, stddev_pop(score) AS d FROM scores GROUP BY ALL),
+  ranked AS (SELECT candidate::INTEGER AS candidate, strategy, seed::INTEGER AS seed, round(m, 6) AS mean_score, round(d, 6) AS std_score,
+    CAST(1 + (SELECT count(*) FROM means o WHERE round(o.m, 12) > round(means.m, 12)) AS INTEGER) AS rank FROM means)"""
+
+
+RANDOM_CANDIDATES = random.Random(SEED).sample(list(itertools.product(*RANDOM_GRID.values())), 4)
 
 
 def _study() -> str:
@@ -329,7 +337,8 @@ ORACLES: dict[str, str] = {
     "baseline_prior": "SELECT doc_id, (SELECT quality FROM labels GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)::INTEGER AS prediction FROM labels",
     "baseline_stratified": f"SELECT doc_id, (CASE WHEN {DRAW} < (SELECT avg((quality = 0)::INT::DOUBLE) FROM labels) THEN 0 ELSE 1 END)::INTEGER AS prediction FROM labels",
     "baseline_uniform": f"SELECT doc_id, (CASE WHEN {DRAW} < 0.5 THEN 0 ELSE 1 END)::INTEGER AS prediction FROM labels",
-    "baseline_search": _searched(),
+    "baseline_search": _searched([(s, SEED) for s in STRATEGIES], 5) + " SELECT strategy, mean_score, std_score, rank FROM ranked",
+    "random_search": _searched(RANDOM_CANDIDATES, 3) + " SELECT candidate, strategy, seed, mean_score, rank FROM ranked",
     "baseline_report": f"WITH {_split('labels', 'doc_id', 'quality')}, best AS (SELECT quality AS p FROM split WHERE split = 'train' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), "
                        f"g AS (SELECT quality AS y, p FROM split, best WHERE split = 'test'), {REPORT}",
     "regression_search": f"""WITH {_split('orders', 'o_orderkey', None)},

@@ -519,13 +519,18 @@ def baseline_report(spark, sf):
     return rounded(found.classification_report, "precision", "recall", "f1_score")
 
 
+RANDOM_GRID = {"strategy": ["stratified", "uniform"], "seed": list(range(8))}
+
+
 @query
 def random_search(spark, sf):
     train, test = _label_sides(spark, sf)
-    grid = {"strategy": ["stratified", "uniform"], "seed": list(range(8))}
-    found = evaluate.eval_classification(baseline.BaselineClassifier(), grid, train, test, "quality", ["doc_id"],
+    found = evaluate.eval_classification(baseline.BaselineClassifier(), RANDOM_GRID, train, test, "quality", ["doc_id"],
                                          search_type="random", n_iter=4, cv=3, seed=SEED)
-    return found.cv_results.select("candidate", "params", "mean_score", "rank")
+    params = F.col("params")
+    out = found.cv_results.select("candidate", params["strategy"].alias("strategy"),
+                                  params["seed"].cast("int").alias("seed"), "mean_score", "rank")
+    return rounded(out, "mean_score")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row
 
 BROADCAST_ROWS = 100_000
 
@@ -17,15 +17,3 @@ def collect_at_most(df: DataFrame, limit: int, what: str) -> list[Row]:
     if len(rows) > limit:
         raise TooManyRows(f"{what}: more than {limit} rows")
     return rows
-
-
-def broadcast_if_small(spark: SparkSession, df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it is proven to hold at most ``limit`` rows.
-
-    A larger table is returned as it is: the join then shuffles both sides and
-    adaptive execution splits skewed partitions.
-    """
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return df
-    return F.broadcast(spark.createDataFrame(rows, df.schema))

@@ -13,7 +13,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .bounded import BROADCAST_ROWS, broadcast_if_small
+from .bounded import BROADCAST_ROWS
 from .nulls import quoted, ref, sql_double
 
 MIN_BUCKETS, MAX_BUCKETS = 64, 4096
@@ -73,18 +73,43 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     return {c: (sorted(set(row[f"b{i}"] or [])), row[f"d{i}"]) for i, c in enumerate(cols)}
 
 
-def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> dict[str, DataFrame]:
+RANK_SCHEMA = "value double, below bigint, ties bigint"
+
+
+def _small_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """Rank tables of columns with few distinct values, all from one pre-aggregated count.
+
+    Empty if the values turn out to be more than a broadcast side may hold.
+    """
+    if not cols:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), ref(c).alias("value")) for i, c in enumerate(cols)])
+    counts = df.select(F.inline(pairs)).groupBy("c", "value").agg(F.count(F.lit(1)).alias("ties"))
+    rows = counts.limit(BROADCAST_ROWS + 1).toPandas().sort_values(["c", "value"])
+    if len(rows) > BROADCAST_ROWS:
+        return {}
+    rows["below"] = rows.groupby("c")["ties"].cumsum() - rows["ties"]
+    return {c: F.broadcast(df.sparkSession.createDataFrame(
+        rows.loc[rows["c"] == i, ["value", "below", "ties"]], RANK_SCHEMA)) for i, c in enumerate(cols)}
+
+
+def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
+                small: int = BROADCAST_ROWS // 10) -> dict[str, DataFrame]:
     """Per column a table ``(value, below, ties)``: rows below the value, rows equal to it.
 
-    ``cols`` are double columns without NULL.  Small tables come back as broadcast sides.
+    ``cols`` are double columns without NULL.  Columns with at most ``small``
+    distinct values (by estimate, then checked) come back as broadcast sides.
     """
     cuts = bucket_bounds(df, cols, buckets or bucket_count(df.sparkSession))
+    tables = _small_tables(df, [c for c in cols if cuts[c][1] <= small])
+    many = [c for c in cols if c not in tables]
+    if not many:
+        return tables
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), bucket_of(quoted(c), cuts[c][0]).alias("b"))
-                      for i, c in enumerate(cols)])
+                      for i, c in enumerate(many)])
     sizes = df.select(F.inline(pairs)).groupBy("c", "b").count().collect()
-    tables = {}
-    for i, c in enumerate(cols):
-        bounds, estimate = cuts[c]
+    for i, c in enumerate(many):
+        bounds = cuts[c][0]
         per_bucket = [0] * (len(bounds) + 1)
         for r in sizes:
             if r["c"] == i:
@@ -93,12 +118,8 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None)
         offset = F.get(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("bucket"))
         values = (df.groupBy(ref(c).alias("value")).agg(F.count(F.lit(1)).alias("ties"))
                   .withColumn("bucket", bucket_of("value", bounds)))
-        before = F.sum("ties").over(
-            Window.partitionBy("bucket").orderBy("value")) - F.col("ties")
-        table = values.select("value", (offset + before).alias("below"), "ties")
-        if estimate <= BROADCAST_ROWS:
-            table = broadcast_if_small(df.sparkSession, table)
-        tables[c] = table
+        before = F.sum("ties").over(Window.partitionBy("bucket").orderBy("value")) - F.col("ties")
+        tables[c] = values.select("value", (offset + before).alias("below"), "ties")
     return tables
 
 
@@ -111,7 +132,7 @@ def attach(df: DataFrame, col: str, table: DataFrame, rank: Column, name: str) -
 def average_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Replace double columns without NULL by their ranks from 1, ties sharing their mean rank."""
     mean_rank = F.col("below") + (F.col("ties") + 1) / 2
-    out = df
-    for i, (c, table) in enumerate(value_ranks(df, cols, buckets).items()):
-        out = attach(out, c, table, mean_rank, f"__r{i}")
+    out, tables = df, value_ranks(df, cols, buckets)
+    for i, c in enumerate(cols):
+        out = attach(out, c, tables[c], mean_rank, f"__r{i}")
     return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)])

@@ -9,14 +9,14 @@ projection.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.nulls import drop_below, known, ref, replace_values, to_numeric, type_of
+from ..functions.nulls import drop_below, known, replace_values, to_numeric, type_of
 from ..functions.persistence import JsonState
 from .cleaning import with_replaced
 from .columns import drop_columns_if_present

@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bounded import collect_at_most
-from ..functions.nulls import known, ref, require_columns, type_of
+from ..functions.nulls import known, require_columns, type_of
 
 MAX_CLASSES = 1_000
 

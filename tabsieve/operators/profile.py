@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.nulls import doubles, is_nested, is_numeric, known, known_double, ref, require_columns
+from ..functions.nulls import doubles, is_nested, is_numeric, known, known_double, require_columns
 from ..functions.quantiles import exact_quantiles
 from .columns import numeric_columns, string_columns
 

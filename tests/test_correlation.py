@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabsieve.functions import ranks
+from tabsieve.functions import ranks as rank_tables
 from tabsieve.functions.ranks import average_ranks, bucket_of
 from tabsieve.operators import correlation as R
 
@@ -44,8 +44,9 @@ def as_matrix(frame):
     return {(r["row"], r["col"]): r["corr"] for r in frame.collect()}
 
 
-@pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_matrix_like_pandas(df, data, method):
+@pytest.mark.parametrize("method,small", [("pearson", 0), ("spearman", 0), ("spearman", 10_000)])
+def test_matrix_like_pandas(df, data, method, small, monkeypatch):
+    monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, small))
     got = as_matrix(R.correlation_matrix(df, method=method))
     if method == "pearson":
         want = data.corr()
@@ -60,7 +61,9 @@ def test_matrix_like_pandas(df, data, method):
         assert g is None if math.isnan(w) else g == pytest.approx(w)
 
 
-def test_kendall_against_brute_force(df, data):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_kendall_against_brute_force(df, data, monkeypatch, small):
+    monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, small))
     for a, b in [("a", "b"), ("b", "c"), ("a", "c")]:
         pair = data[[a, b]].dropna().to_numpy()
         assert R.kendall_tau(df, a, b) == pytest.approx(tau_b(pair[:, 0], pair[:, 1]))
@@ -73,7 +76,12 @@ def test_kendall_extremes(spark):
     assert R.kendall_tau(df.limit(1), "x", "y") is None
 
 
-def test_ranks_with_hot_value(spark):
+@pytest.mark.parametrize("path", ["broadcast", "buckets", "estimate too low"])
+def test_ranks_with_hot_value(spark, monkeypatch, path):
+    if path == "buckets":
+        monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, 0))
+    if path == "estimate too low":
+        monkeypatch.setattr(rank_tables, "BROADCAST_ROWS", 20)
     values = [3.0] * 40 + [float(i) for i in range(30)]
     df = spark.createDataFrame([(v, v) for v in values], "v double, w double")
     got = sorted(tuple(r) for r in average_ranks(df.select("w", "v"), ["w", "v"], buckets=7).collect())
@@ -83,7 +91,7 @@ def test_ranks_with_hot_value(spark):
 
 @pytest.mark.parametrize("leaves", [256, 3, 2])
 def test_buckets(spark, monkeypatch, leaves):
-    monkeypatch.setattr(ranks, "TREE_LEAVES", leaves)
+    monkeypatch.setattr(rank_tables, "TREE_LEAVES", leaves)
     bounds = [1.0, 2.0, 2.5, 7.0, 9.0, 11.0, 20.0]
     points = [0.0, 1.0, 1.5, 2.0, 2.4, 2.5, 8.0, 9.0, 19.9, 20.0, 21.0]
     df = spark.createDataFrame([(p,) for p in points], "v double")

@@ -1,6 +1,3 @@
-import math
-
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
