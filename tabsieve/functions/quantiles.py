@@ -21,7 +21,7 @@ from .nulls import sql_double
 
 SKETCH_ACCURACY = 2_000     # rank error of one sketch: 1/2000 of its rows
 GRID = 1_000                # a bracket's sketch is read at 0/1000, 1/1000, … 1000/1000
-INSIDE_LIMIT = 50_000       # distinct values one bracket may bring together
+INSIDE_LIMIT = 100_000      # distinct values one bracket may bring together
 INF = math.inf
 
 
