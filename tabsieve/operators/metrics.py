@@ -57,7 +57,7 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def class_scores(confusion: DataFrame) -> DataFrame:
-    """Per class ``(label, precision, recall, f1_score, support)``; an empty denominator scores 0."""
+    """Per class ``(label, precision, recall, f1_score, support, chosen, hits)``; an empty denominator scores 0."""
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     none = F.lit(0).cast("bigint")
     sides = F.array(
@@ -68,7 +68,7 @@ def class_scores(confusion: DataFrame) -> DataFrame:
     return sums.select(
         "label", _ratio(F.col("hits"), F.col("chosen")).alias("precision"),
         _ratio(F.col("hits"), F.col("support")).alias("recall"),
-        _ratio(2 * F.col("hits"), F.col("support") + F.col("chosen")).alias("f1_score"), "support", "hits")
+        _ratio(2 * F.col("hits"), F.col("support") + F.col("chosen")).alias("f1_score"), "support", "chosen", "hits")
 
 
 def classification_report(df: DataFrame, label: str, prediction: str, classes: Sequence | None = None,
@@ -147,7 +147,7 @@ class Scorer(Evaluator):
         elif self.scoring in CLASSIFICATION_SCORING:
             # averaged over the classes that occur as truth or prediction in this fold
             rows = class_scores(confusion_matrix(dataset, self.label, self.prediction, self.classes)).collect()
-            seen = [r for r in rows if r["support"] or r["precision"] or r["f1_score"]]
+            seen = [r for r in rows if r["support"] or r["chosen"]]
             if self.scoring == "f1_macro":
                 value = sum(r["f1_score"] for r in seen) / len(seen) if seen else None
             else:

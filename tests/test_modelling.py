@@ -58,6 +58,12 @@ def test_scorer(spark, scoring, want):
     assert M.Scorer(scoring, "y", "p", [0, 1, 2]).evaluate(df) == pytest.approx(want)
 
 
+def test_macro_counts_classes_only_predicted(spark):
+    # class 1 is predicted but never true: it scores 0 and counts; class 2 does not occur at all
+    df = scored(spark, [(0, 0), (0, 0), (0, 1)])
+    assert M.Scorer("f1_macro", "y", "p", [0, 1, 2]).evaluate(df) == pytest.approx(0.4)
+
+
 def test_scorer_errors(spark):
     perfect = scored(spark, [(1, 1), (2, 2)])
     assert M.Scorer("neg_root_mean_squared_error", "y", "p").evaluate(perfect) == 0.0
