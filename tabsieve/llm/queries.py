@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsieve.llm.bpe import round_trip
-from tabsieve.llm.common import table
+from tabsieve.llm.common import scratch_folder, table
 from tabsieve.llm.decontamination import leaked_items
 from tabsieve.llm.language import held_out, identify_language, language_samples
 from tabsieve.llm.pii import find_personal_data
+from tabsieve.llm.secrets import find_secrets
 from tabsieve.llm.simhash import simhash_components
+from tabsieve.llm.token_files import read_token_files, write_token_files
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +35,16 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op8_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     samples = language_samples(docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()))
@@ -45,6 +57,8 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii_crf": op5_pii_crf,
+    "op8_secret_links": op8_secret_links,
+    "op9_token_files": op9_token_files,
     "op10_cross_parsing": op10_cross_parsing,
 }
 
