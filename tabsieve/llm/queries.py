@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from tabsieve.llm.bpe import round_trip
 from tabsieve.llm.common import scratch_folder, table
 from tabsieve.llm.decontamination import leaked_items
+from tabsieve.llm.html_extraction import extract_text
 from tabsieve.llm.language import held_out, identify_language, language_samples
+from tabsieve.llm.masked_lm import fit, score
 from tabsieve.llm.pii import find_personal_data
+from tabsieve.llm.quality import judge_quality
 from tabsieve.llm.secrets import find_secrets
 from tabsieve.llm.simhash import simhash_components
 from tabsieve.llm.token_files import read_token_files, write_token_files
@@ -22,6 +25,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
@@ -35,6 +42,16 @@ def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, *fit(docs), keep=["doc_id"])
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
 def op8_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -54,9 +71,12 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_html_extraction": op2_html_extraction,
     "op3_simhash": op3_simhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii_crf": op5_pii_crf,
+    "op6_masked_lm": op6_masked_lm,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_secret_links": op8_secret_links,
     "op9_token_files": op9_token_files,
     "op10_cross_parsing": op10_cross_parsing,
