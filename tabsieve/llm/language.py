@@ -178,7 +178,8 @@ def language_samples(df: DataFrame, text: str = "text", lang: str = "lang", rows
     keyed = known.select("t", "l", F.pmod(h, F.lit(rows)).alias("b"), F.shiftrightunsigned(h, 2).alias("h"), fits.alias("fits"))
     keyed = keyed.withColumn("v", F.col("h") + F.when(F.col("fits"), 0).otherwise(F.lit(1 << 62))).select("t", "l", "b", "v")
     chosen = keyed.groupBy("l", "b").agg(F.min("v").alias("v"))
-    found = keyed.join(chosen, ["l", "b", "v"]).groupBy("l", "b").agg(F.min(F.substring("t", 1, longest)).alias("t")).collect()
+    # as many rows as buckets and languages, like the texts read below: so the texts need no shuffle
+    found = keyed.join(F.broadcast(chosen), ["l", "b", "v"]).groupBy("l", "b").agg(F.min(F.substring("t", 1, longest)).alias("t")).collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(found, key=lambda r: (r.l, r.b)):
         texts.setdefault(r.l, []).append(r.t)
