@@ -10,12 +10,15 @@ Spark commits the files, so a lost executor leaves none half written.  Beside th
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,10 @@ from tabsieve.llm.common import append_columns, pa_type, quoted
 BLOCK_TOKENS = 1 << 20
 #: Tokens that one file holds, about.
 FILE_TOKENS = 1 << 24
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+#: Characters that may join with their neighbours, or whose lower case does.
+BEYOND = re.compile("[^\x00-\u012f\u0131-\u02ff]")
 #: By control byte: the sizes of its four values.
 SIZES = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
@@ -53,6 +59,7 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -60,46 +67,75 @@ def _tokenizer(path: str):
     return tokenizer, {}
 
 
-def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """df with `ids`: each text's ids as little-endian 32-bit words; null and empty texts have none.
+def id_bytes(path: str) -> int:
+    """Bytes that hold any id of the vocabulary: 2 or 4."""
+    return 2 if _tokenizer(path)[0].get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
-    For vocabularies that drop white space: what blanks and line ends part is encoded apart and remembered.
+
+def prepared(text: str) -> str:
+    """The text with more of its pieces parted by blanks and in fewer spellings, which the tokenizer would do itself.
+
+    In texts of common letters, lower case is taken here, letter by letter, and a full stop or comma between a letter or
+    digit and white space, a piece of its own, is parted.
+    """
+    if not BEYOND.search(text):
+        text = STOP.sub(r" \1", text.lower())
+    return text.replace("\n", " ")
+
+
+def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, end: int | None = None) -> DataFrame:
+    """df with `ids` and `tally`.
+
+    ids: each text's ids as little-endian words of id_bytes(path), with the end id if there is one; null and empty
+    texts have no others.  tally: once in a slice of texts the ids in it and how often each comes, two rows of 32-bit
+    words, else null.  For vocabularies that drop white space and case: what blanks part is encoded apart and
+    remembered.
     """
+    kind = f"<u{id_bytes(path)}"
 
     def make():
         tokenizer, known = _tokenizer(path)
 
         def work(texts: list[str | None]) -> list[list]:
-            parts = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+            parts = pc.split_pattern(pa.array([prepared(t) if t else "" for t in texts], pa.string()), " ")
+            coded = pc.dictionary_encode(parts.flatten())
+            distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             if len(known) > REMEMBERED:
                 known.clear()
-            new = sorted(set().union(*parts).difference(known))
+            new = [w for w in distinct if w not in known]
             for k in range(0, len(new), 20_000):
                 some = new[k : k + 20_000]
                 for word, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = np.array(found.ids, "<u4").tobytes()
-            return [[b"".join(map(known.__getitem__, own)) for own in parts]]
+                    known[word] = np.array(found.ids, kind).tobytes()
+            own = [known[w] for w in distinct]
+            size = np.fromiter(map(len, own), np.int64, len(own)) // int(kind[-1])
+            first, counts = (np.cumsum(size) - size)[which], size[which]
+            last = np.cumsum(counts)
+            ids = np.frombuffer(b"".join(own), kind)[np.arange(int(counts.sum())) + np.repeat(first - last + counts, counts)]
+            cuts = np.concatenate(([0], last))[parts.offsets.to_numpy() - parts.offsets[0].as_py()].tolist()
+            tail = b"" if end is None else np.array([end], kind).tobytes()
+            rows = [ids[i:j].tobytes() + tail for i, j in zip(cuts, cuts[1:])]
+            total = np.bincount(ids, minlength=(end or 0) + 1)
+            if end is not None:
+                total[end] += len(texts)
+            seen = np.flatnonzero(total)
+            return [rows, [np.array([seen, total[seen]], "<u4").tobytes(), *[None] * (len(texts) - 1)]]
 
         return work
 
-    return append_columns(df, text, "ids binary", make, keep)
+    return append_columns(df, text, "ids binary, tally binary", make, keep)
 
 
 def count_ids(tokens: DataFrame) -> DataFrame:
-    """(id, n) over all documents, from the column ids."""
+    """(id, n) over all documents, from the column tally."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(ids, "<u4"))
-                if len(own) > len(total):
-                    total = np.concatenate((total, np.zeros(len(own) - len(total), np.int64)))
-                total[: len(own)] += own
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+            for tally in batch.column(0).to_pylist():
+                seen, total = np.frombuffer(tally, "<u4").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total, pa.int64())], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.where("tally IS NOT NULL").select("tally").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(df: DataFrame, path: str, folder: str, key: str = "doc_id", text: str = "text", end: int = 1) -> None:
@@ -109,8 +145,8 @@ def write_token_files(df: DataFrame, path: str, folder: str, key: str = "doc_id"
     id alone.  The ids are kept as a table in folder/ids meanwhile, so texts are tokenized once.
     """
     spark = df.sparkSession
-    plain = tokenize(df.select(quoted(key).alias("key"), quoted(text).alias("text")), path, keep=["key"])
-    plain = plain.withColumn("ids", F.concat("ids", F.lit(int(end).to_bytes(4, "little"))))
+    width = id_bytes(path)
+    plain = tokenize(df.select(quoted(key).alias("key"), quoted(text).alias("text")), path, keep=["key"], end=end)
     narrow = plain.withColumn("order", F.xxhash64("ids"))
     narrow.write.option("compression", "zstd").parquet(f"{folder}/ids")
     ids = spark.read.schema(narrow.schema).parquet(f"{folder}/ids")
@@ -138,7 +174,7 @@ def write_token_files(df: DataFrame, path: str, folder: str, key: str = "doc_id"
         for batch in batches:
             for k, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 keys.append(k)
-                parts.append(np.frombuffer(own, "<u4"))
+                parts.append(np.frombuffer(own, f"<u{width}"))
                 held += len(parts[-1])
                 if held >= BLOCK_TOKENS:
                     yield flush()
