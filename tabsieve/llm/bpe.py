@@ -12,16 +12,15 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tabsieve.llm.common import append_columns
+from tabsieve.llm.common import append_columns, resident
 
 #: Encodings of pieces that a worker keeps at a time.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 
 class ByteBpe:
@@ -45,7 +44,8 @@ class ByteBpe:
 
     @classmethod
     def load(cls, path: str) -> ByteBpe:
-        return _load(path)
+        with open(path, "rb") as lines:
+            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
 
     def _merge(self, piece: bytes, stop: int) -> list[bytes]:
         """Merge the pair of lowest rank, leftmost first, until `stop` parts are left or no pair is a token."""
@@ -75,7 +75,7 @@ class ByteBpe:
         The two tokens are taken apart again at their border, the later merge first: they stay apart unless the two
         parts at the border make a token that is merged before the merge just undone.
         """
-        if len(self.pairs) > 2 * REMEMBERED:
+        if len(self.pairs) > REMEMBERED:
             self.pairs.clear()
         key, until, tokens, good = (left, right), len(self.tokens) + 1, self.tokens, self.half(right) is not None
         while good:
@@ -102,12 +102,6 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-@lru_cache(maxsize=4)
-def _load(path: str) -> ByteBpe:
-    with open(path, "rb") as lines:
-        return ByteBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
-
-
 class PrefixTable:
     """The last token of every prefix of one piece of bytes."""
 
@@ -186,12 +180,7 @@ class Encoder:
 
 
 def _worker(path: str, pattern: str) -> Encoder:
-    return _encoder(path, pattern)
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(ByteBpe.load(path), pattern)
+    return resident(("bpe", path, pattern), lambda: Encoder(ByteBpe.load(path), pattern))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

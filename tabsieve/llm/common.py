@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: UTF-8 bytes of text that are turned into Python objects at a time.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,17 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_resident: dict = {}
+
+
+def resident(key: tuple, build: Callable):
+    """What a worker process keeps from task to task: the state of the operator that ran last, and no other's."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = build()
+    return _resident[key]
+
+
 def slices(batch: pa.RecordBatch, index: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts in column `index` take about `most` bytes; at least one row each."""
     if not batch.num_rows:
@@ -75,6 +86,7 @@ def append_columns(df: DataFrame, text: str, fields: str | T.StructType, make: C
                 made = work(*(part.column(i).to_pylist() for i in inputs))
                 arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, kind) for x, kind in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *arrays], names=names)
+        pa.default_memory_pool().release_unused()
 
     return frame.mapInArrow(run, out)
 

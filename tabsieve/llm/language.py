@@ -10,6 +10,7 @@ For that, texts are cut after every SEGMENT characters; a cut ends a phrase.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabsieve.llm.common import append_columns, quoted
+from tabsieve.llm.common import append_columns, quoted, resident
 
 UNKNOWN = "und"
 SEGMENT = 512
@@ -190,24 +191,17 @@ def language_samples(df: DataFrame, text: str = "text", lang: str = "lang", rows
     return {name: [t for t in own if t] for name, own in texts.items()}
 
 
-_parsers: dict[str, CrossParser] = {}
-
-
 def identify_language(df: DataFrame, samples: dict[str, list[str]], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """df with lang_pred and score.
 
     lang_pred is a language of the samples, `und` for a null, empty or letterless text (score 0.0) or without samples;
     ties go to the language first in order.  Equal texts get equal answers; an input column of these names is replaced.
     """
-    session = df.sparkSession.sparkContext
-    shared = session.broadcast(samples)  # bounded, see language_samples
-    key = str(id(shared)) + "-" + session.applicationId
+    shared = df.sparkSession.sparkContext.broadcast(samples)  # bounded, see language_samples
+    key = ("language", uuid.uuid4().hex)
 
     def make():
-        if key not in _parsers:  # one build for a worker process
-            _parsers.clear()
-            _parsers[key] = CrossParser(shared.value)
-        return _parsers[key].predict
+        return resident(key, lambda: CrossParser(shared.value)).predict
 
     return append_columns(df, text, "lang_pred string, score double", make, keep)
 

@@ -13,12 +13,13 @@ from __future__ import annotations
 import hashlib
 import re
 import string
+import uuid
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tabsieve.llm.common import append_columns
+from tabsieve.llm.common import append_columns, resident
 from tabsieve.llm.pii_examples import examples
 
 #: The order of spans.
@@ -299,9 +300,10 @@ def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None
     null when masked.  An input column of these names is replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast(default_model())  # some 100 shapes by 9 labels
+    key = ("crf", uuid.uuid4().hex)
 
     def make():
-        model = shared.value
+        model = resident(key, lambda: Crf(shared.value.weights, shared.value.moves, shared.value.start))
 
         def work(texts: list[str | None]) -> list[list]:
             rows = []

@@ -14,7 +14,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsieve.llm.common import append_columns, pa_type, quoted
+from tabsieve.llm.common import append_columns, pa_type, quoted, resident
 
 BLOCK_TOKENS = 1 << 20
 #: Tokens that one file holds, about.
@@ -57,8 +56,11 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=1)
 def _tokenizer(path: str):
+    return resident(("tokenizer", path), lambda: _load(path))
+
+
+def _load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
     from tokenizers import Tokenizer
 
