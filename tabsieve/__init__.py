@@ -9,7 +9,7 @@ from .operators.cleaning import (add_type_column, convert_bool_to_uint8, log1p_c
                                  normalize_all_text_columns, normalize_columns, replace_and_invalidate, to_numeric)
 from .operators.columns import (class_share, drop_columns, drop_columns_if_present, drop_empty_columns,
                                 drop_one_column, features_and_target, head, identify_column_types, numeric_columns,
-                                select_existing, select_existing_features, string_columns, where_known)
+                                select_existing, string_columns, where_known)
 from .operators.correlation import (collinear_pairs, correlation_matrix, feature_collinearity, kendall_tau,
                                     lower_triangle, target_correlation_bars, target_correlations)
 from .operators.distributions import histograms, scatter_points, target_counts, value_counts

@@ -254,6 +254,8 @@ ORACLES: dict[str, str] = {
     "column_info": f"WITH {DIRTY} " + _per_column("count({c})", "non_null", ", {i}::INTEGER AS position, '{dtype}' AS dtype"),
     "class_share": f"WITH {DIRTY} SELECT round(100.0::DOUBLE * avg(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END), 6) AS share FROM dirty",
     "drop_empty_columns": f"WITH {DIRTY} SELECT * EXCLUDE (empty_col) FROM dirty",
+    "file_encodings": """SELECT lang, CASE WHEN bool_and(octet_length(encode(text)) = length(text)) THEN 'ascii' ELSE 'utf-8' END AS encoding,
+        CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY lang""",
     "drop_columns": f"WITH {DIRTY} SELECT * EXCLUDE (empty_col, sparse_col, const_col) FROM dirty",
     "select_existing": f"WITH {DIRTY} SELECT is_even, o_orderkey FROM dirty",
     "known_rows": f"WITH {DIRTY} SELECT o_orderkey, o_totalprice FROM dirty WHERE o_totalprice IS NOT NULL",

@@ -108,8 +108,8 @@ def drop_empty_columns(spark, sf):
 
 @query
 def drop_columns(spark, sf):
-    one = columns.drop_one_column(dirty_orders(spark, sf), "const_col")
-    return columns.drop_columns(one, ["empty_col", "sparse_col"])
+    one, _ = columns.drop_one_column(dirty_orders(spark, sf), "const_col")
+    return columns.drop_columns(one, ["empty_col", "sparse_col"])[0]
 
 
 @query

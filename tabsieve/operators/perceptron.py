@@ -26,7 +26,7 @@ def weighted_sum(df: DataFrame, features: str | Sequence[str], weights: Sequence
         require_columns(df, [features])
         if not isinstance(type_of(df, features), T.ArrayType):
             raise ValueError(f"{features} is no array column")
-        x = _array(ref(features))
+        x = F.transform(_array(ref(features)), lambda v: F.when(~F.isnan(v), v))
         w = F.array(*[F.lit(v) for v in weights]).cast("array<double>")
         if truncate:
             size = F.least(F.size(x), F.lit(len(weights)))

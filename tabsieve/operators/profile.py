@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.nulls import doubles, is_nested, is_numeric, known, known_double, require_columns
+from ..functions.nulls import doubles, is_nested, is_numeric, known, known_double, require_columns, type_of
 from ..functions.quantiles import exact_quantiles
 from .columns import numeric_columns, string_columns
 
@@ -139,11 +139,17 @@ def missing_like_columns(df: DataFrame, key_cols: Sequence[str] = ()) -> list[st
     return [f.column for f in column_facts(df, key_cols) if f.missing_like]
 
 
+def _one_zero(df: DataFrame, col: str) -> Column:
+    """The known value; of floating-point numbers, -0.0 as 0.0."""
+    kind = type_of(df, col)
+    return known(df, col) + F.lit(0).cast(kind) if isinstance(kind, (T.DoubleType, T.FloatType)) else known(df, col)
+
+
 def long_values(df: DataFrame, cols: Sequence[str], texts: dict[str, Column] | None = None) -> DataFrame:
     """Unpivot columns to (column, value as text), one pass for all of them."""
     texts = texts or {}
     pairs = [F.struct(F.lit(c).alias("column"),
-                      texts.get(c, known(df, c).cast("string")).alias("value")) for c in cols]
+                      texts.get(c, _one_zero(df, c).cast("string")).alias("value")) for c in cols]
     return df.select(F.inline(F.array(*pairs)))
 
 

@@ -9,6 +9,7 @@ small driver thread pool.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import statistics
 from collections.abc import Mapping, Sequence
@@ -76,10 +77,13 @@ def _names(params: ParamMap) -> dict[str, Any]:
 
 
 def summarize(spark, param_maps: Sequence[ParamMap], scores: Sequence[Sequence[float]]) -> DataFrame:
-    """One row per candidate: parameters, score per fold, mean, population deviation, rank."""
+    """One row per candidate: parameters, score per fold, mean, population deviation, rank.
+
+    An undefined fold score makes mean and deviation undefined, and puts the candidate last.
+    """
     means = [statistics.fmean(s) for s in scores]
-    rows = [(i, {n: str(v) for n, v in _names(p).items()}, list(s), m, statistics.pstdev(s),
-             1 + sum(other > m for other in means))
+    rows = [(i, {n: str(v) for n, v in _names(p).items()}, list(s), m, math.nan if math.isnan(m) else statistics.pstdev(s),
+             1 + sum(not math.isnan(other) and (math.isnan(m) or other > m) for other in means))
             for i, (p, s, m) in enumerate(zip(param_maps, scores, means))]
     return spark.createDataFrame(rows, CV_SCHEMA)
 

@@ -42,8 +42,7 @@ def study(df: DataFrame, target: str, key_cols: Sequence[str], test_size: float
     """
     require_unique_key(df, key_cols)
     duplicates = count_duplicates(df, key_cols=key_cols)
-    dropped: list[str] = []
-    clean = drop_columns(df, empty_columns(df, key_cols), dropped)
+    clean, dropped = drop_columns(df, empty_columns(df, key_cols))
     split = train_test_split(clean, key_cols, target, test_size, seed)
     train, test = (split.where(f"split = '{side}'").drop("split") for side in ("train", "test"))
     numeric, categorical = identify_column_types(train.drop(target), key_cols)

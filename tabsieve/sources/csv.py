@@ -76,12 +76,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
     Give a ``schema`` for large inputs: without one the types are inferred, which
     reads the files once more.  ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.
+    at the price of one task per file.  Rows with too few or too many fields,
+    as quoted breaks give without it, are an error, never cut or filled.
     """
     raw = _name_blank_headers(
         spark.read.option("header", header).option("encoding", encoding).option("sep", sep)
         .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-        .option("mode", "FAILFAST" if schema is not None else "PERMISSIVE")
+        .option("mode", "FAILFAST")
         .csv(path if isinstance(path, str) else list(path)))
     texts = raw.select([F.when(~ref(c).isin(*na_values), ref(c)).alias(c) for c in raw.columns])
     if schema is None:
@@ -96,5 +97,6 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 def write_csv(df: DataFrame, path: str, sep: str = ",", na_token: str = "") -> str:
     """Write with a header line, doubling quotes inside quoted values."""
     (df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"')
-     .option("escape", '"').option("nullValue", na_token).option("emptyValue", '""').csv(path))
+     .option("escape", '"').option("nullValue", na_token).option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

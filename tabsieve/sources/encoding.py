@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-HEAD_BYTES = 10_000     # fixed value: how much of a file is looked at
+CHUNK_BYTES = 1 << 20     # read at a time
 
 # Byte order marks (hexadecimal) and the encodings they announce; longer marks first.
 BYTE_ORDER_MARKS = (
@@ -19,19 +20,11 @@ BYTE_ORDER_MARKS = (
 )
 
 
-def encoding_of(content: Column, cut: Column | None = None) -> Column:
-    """Encoding of a binary column; ``cut`` says whether the bytes stop in the middle of a text.
-
-    A multi-byte character cut at the end does not count against UTF-8.
-    """
+def encoding_of(content: Column) -> Column:
+    """Encoding of a binary column."""
     marks = F.hex(F.substring(content, 1, 4))
     text = content.cast("string")
     valid = F.is_valid_utf8(text)
-    if cut is not None:
-        size = F.octet_length(content)
-        for missing in (1, 2, 3):
-            shorter = F.substr(content, F.lit(1), F.greatest(size - missing, F.lit(0))).cast("string")
-            valid = valid | (cut & F.is_valid_utf8(shorter))
     (first, name), *others = BYTE_ORDER_MARKS
     guess = F.when(marks.startswith(first), name)
     for mark, name in others:
@@ -40,31 +33,44 @@ def encoding_of(content: Column, cut: Column | None = None) -> Column:
             .when(valid, "utf-8").otherwise("ISO-8859-1"))
 
 
-def detect_encodings(spark: SparkSession, path: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
+def _encoding(stream) -> str | None:
+    """Encoding of a whole stream of bytes, read once and in chunks; None for an empty one."""
+    decoder, plain, valid = codecs.getincrementaldecoder("utf-8")(), True, True
+    chunk = head = stream.read(CHUNK_BYTES)
+    mark = next((name for code, name in BYTE_ORDER_MARKS if head.startswith(bytes.fromhex(code))), None)
+    if mark or not head:
+        return mark
+    while chunk and valid:
+        plain = plain and chunk.isascii()
+        following = stream.read(CHUNK_BYTES)
+        try:
+            decoder.decode(chunk, final=not following)
+        except UnicodeDecodeError:
+            valid = False
+        chunk = following
+    return "ISO-8859-1" if not valid else "ascii" if plain else "utf-8"
+
+
+def detect_encodings(spark: SparkSession, path: str) -> DataFrame:
     """``(path, n_bytes, encoding)`` per file under ``path`` (a folder, file or glob).
 
-    Listing is Spark's; each task opens its files and reads only their first
-    bytes, so a file may be larger than memory.  Empty files, which have nothing
-    to guess from, are not listed.
+    Listing is Spark's; each task reads its files whole, in chunks, so a file
+    may be larger than memory.  An empty file has the encoding NULL.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select("path", F.col("length").alias("n_bytes")))
 
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
         for batch in batches:
-            read = []
+            found = []
             for uri in batch["path"]:
                 # Hadoop writes file:/x, the URI standard file:///x
                 uri = "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
                 system, name = fs.FileSystem.from_uri(uri)
                 with system.open_input_stream(name) as stream:
-                    read.append(stream.read(head_bytes))
-            yield batch.assign(head=read)
+                    found.append(_encoding(stream))
+            yield batch.assign(encoding=found)
 
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("n_bytes", T.LongType()),
-                           T.StructField("head", T.BinaryType())])
-    opened = files.mapInPandas(heads, schema)
-    return opened.select("path", "n_bytes",
-                         encoding_of(F.col("head"), F.col("n_bytes") > head_bytes).alias("encoding"))
+    return files.mapInPandas(look, "path string, n_bytes long, encoding string")

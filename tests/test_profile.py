@@ -91,12 +91,14 @@ def test_profile_does_not_depend_on_layout(mixed):
 
 def test_column_choice(mixed):
     log = []
-    assert C.drop_columns(mixed, ["s", "d"], log).columns == ["id", "b", "e", "z", "k"]
-    assert C.drop_one_column(mixed, "k", log).columns[-1] == "z" and log == ["s", "d", "k"]
+    rest, gone = C.drop_columns(mixed, ["s", "d"])
+    assert rest.columns == ["id", "b", "e", "z", "k"] and gone == ["s", "d"]
+    rest, gone = C.drop_one_column(mixed, "k")
+    assert rest.columns[-1] == "z" and gone == ["k"]
     with pytest.raises(ValueError):
         C.drop_columns(mixed, ["zzz"])
     assert C.drop_columns_if_present(mixed, ["zzz", "k"]).columns == mixed.columns[:-1]
-    assert C.select_existing_features(["z", "q", "id", "z"], mixed.columns) == ["z", "id", "z"]
+    assert C.select_existing(mixed, ["z", "q", "id", "z"]).columns == ["z", "id", "z"]
     assert "e" not in C.drop_empty_columns(mixed).columns
     x, y = C.features_and_target(mixed, "k")
     assert "k" not in x.columns and y.columns == ["k"]
