@@ -30,5 +30,5 @@ from .plans.study import study
 from .sources.csv import key_columns, read_csv, write_csv
 from .sources.encoding import detect_encodings
 from .sources.export import export_split, export_train_test, read_exported
-from .sources.generators import random_terms, random_vectors
+from .sources.generators import keyed_vectors, random_terms, random_vectors
 

@@ -129,11 +129,16 @@ def _value_counts(source: str, cols, n: int) -> str:
         f"(SELECT {label} AS value FROM {source}) GROUP BY value) WHERE r <= {n})" for c, label in cols)
 
 
+def _digest(*parts: str) -> str:
+    """md5 of every part as length:text."""
+    return "md5(concat(" + ", ".join(f"length({p}::VARCHAR), ':', {p}" for p in parts) + "))"
+
+
 def _split(source: str, key: str, stratum: str | None, name: str = "split") -> str:
     """CTEs giving every row its side: smallest digests first, class sizes by largest remainder."""
     s = stratum or "0"
     return f"""
-  {name}_h AS (SELECT *, {s} AS stratum_, md5(concat_ws(':', {key}, '{SEED}')) AS digest_ FROM {source}),
+  {name}_h AS (SELECT *, {s} AS stratum_, {_digest(key, f"'{SEED}'")} AS digest_ FROM {source}),
   {name}_c AS (SELECT stratum_, count(*) AS n FROM {name}_h GROUP BY 1),
   {name}_t AS (SELECT sum(n) AS total, sum(n) - ceil(sum(n) * 0.2::DOUBLE) AS n_train FROM {name}_c),
   {name}_e AS (SELECT stratum_, n, n_train, n_train::DOUBLE * n / total AS x FROM {name}_c, {name}_t),
@@ -145,10 +150,15 @@ def _split(source: str, key: str, stratum: str | None, name: str = "split") -> s
 
 
 def _folds(source: str, key: str, stratum: str, k: int) -> str:
-    return f"""SELECT *, CAST(CASE WHEN r < (n % {k}) * (n // {k} + 1) THEN r // (n // {k} + 1)
-      ELSE n % {k} + (r - (n % {k}) * (n // {k} + 1)) // greatest(n // {k}, 1) END AS INTEGER) AS fold FROM (
-      SELECT *, count(*) OVER (PARTITION BY {stratum}) AS n, row_number() OVER (PARTITION BY {stratum}
-      ORDER BY md5(concat_ws(':', {key}, '{SEED}'))) - 1 AS r FROM {source})"""
+    """Smallest digests first; a class's surplus rows go to the folds after those the classes before it served."""
+    # the fold is the number of folds that end at or before the row
+    ends = [f"{i} * (n // {k}) + list_sum(list_transform(range({i}), lambda j: ((j + {k} - before_ % {k}) % {k} < n % {k})::INT))"
+            for i in range(1, k)]
+    fold = " + ".join(f"(r >= {end})::INT" for end in ends)
+    return f"""SELECT * EXCLUDE (before_), CAST({fold} AS INTEGER) AS fold FROM (
+      SELECT s.*, c.n, c.before_, row_number() OVER (PARTITION BY s.{stratum} ORDER BY {_digest(f's.{key}', f"'{SEED}'")}) - 1 AS r
+      FROM {source} s JOIN (SELECT {stratum} AS g, count(*) AS n, (sum(count(*)) OVER (ORDER BY {stratum}::VARCHAR) - count(*))::BIGINT AS before_
+      FROM {source} GROUP BY 1) c ON s.{stratum} = c.g)"""
 
 
 def _scaled(c: str) -> str:
@@ -157,11 +167,11 @@ def _scaled(c: str) -> str:
             f"ELSE {q.format(0.75)} - {q.format(0.25)} END, 6) AS \"num__{c}\"")
 
 
-def _unit(key: str) -> str:
-    return f"CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+def _unit(*parts: str) -> str:
+    return f"CAST('0x' || substr({_digest(*parts)}, 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
 
 
-DRAW = _unit(f"concat_ws(':', doc_id, '{SEED}')")
+DRAW = _unit("doc_id", f"'{SEED}'")
 PRIORITIES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 REPORT = """
@@ -197,7 +207,7 @@ def _clean() -> str:
 def _searched(candidates, k: int) -> str:
     """Stratified folds of the train side; each (strategy, seed) trained on the others and scored on the fold."""
     def guess(strategy: str, seed: int) -> str:
-        draw = _unit(f"concat_ws(':', doc_id, '{seed}')")
+        draw = _unit("doc_id", f"'{seed}'")
         return {
             "stratified": f"CASE WHEN {draw} < (SELECT sum(n) FILTER (y = 0) / sum(n) FROM b WHERE b.f = t.f) THEN 0 ELSE 1 END",
             "uniform": f"CASE WHEN {draw} < 0.5 THEN 0 ELSE 1 END",
@@ -223,9 +233,9 @@ def _study() -> str:
     return f"""WITH {_split('orders', 'o_orderkey', 'o_orderstatus')},
   t AS (SELECT *, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS y FROM split WHERE split = 'train')
   SELECT 'o_custkey' AS feature, round(abs(corr(o_custkey, y)), 6) AS abs_corr, (SELECT count(*) - count(DISTINCT
-         (o_custkey, o_orderstatus, o_totalprice, o_orderpriority)) FROM orders)::INTEGER AS n_duplicates FROM t
+         (o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)) FROM orders)::INTEGER AS n_duplicates FROM t
   UNION ALL SELECT 'o_totalprice', round(abs(corr(o_totalprice, y)), 6), (SELECT count(*) - count(DISTINCT
-         (o_custkey, o_orderstatus, o_totalprice, o_orderpriority)) FROM orders)::INTEGER FROM t"""
+         (o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)) FROM orders)::INTEGER FROM t"""
 
 
 def _slots() -> str:
@@ -237,6 +247,21 @@ def _slots() -> str:
     return f"WITH {DIRTY} " + " UNION ALL ".join(parts)
 
 
+KNOWN_STATUS = "CASE WHEN o_orderstatus NOT IN ('', 'na') THEN o_orderstatus END AS o_orderstatus"
+GUESS = "CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN toxic + 0.9::DOUBLE ELSE toxic END"
+
+
+def _fold_scores(score: str) -> str:
+    """A straight line fitted on two of three folds of the train side, scored on the third."""
+    return f"""WITH {_split('orders', 'o_orderkey', None)},
+  train AS (SELECT o_orderkey, o_custkey, o_totalprice, 0 AS one FROM split WHERE split = 'train'),
+  folds AS ({_folds('train', 'o_orderkey', 'one', 3)}),
+  fit AS (SELECT k.f, regr_slope(o_totalprice, o_custkey) AS a, regr_intercept(o_totalprice, o_custkey) AS b
+          FROM folds, (SELECT unnest(range(3)) AS f) k WHERE fold <> k.f GROUP BY 1),
+  t AS (SELECT fold, o_totalprice AS y, a * o_custkey + b AS p FROM folds JOIN fit ON fold = f)
+  SELECT fold, round({score}, 4) AS score FROM t GROUP BY fold"""
+
+
 WEIGHT = "((({i} - 1) % 7) - 3) / 10.0::DOUBLE"
 
 ORACLES: dict[str, str] = {
@@ -263,8 +288,9 @@ ORACLES: dict[str, str] = {
     "duplicate_rows_first": _duplicates("", "r > 1"),
     "duplicate_rows_last": _duplicates("DESC", "r > 1"),
     "duplicate_rows_none": _duplicates("", "n > 1"),
-    "duplicate_rows_ordered": "SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice FROM (SELECT *, row_number() OVER "
-                              "(PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_extendedprice) r FROM lineitem) WHERE r > 1",
+    "duplicate_rows_ordered": "SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+                              "ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+                              "l_returnflag, l_linestatus) r FROM lineitem) WHERE r > 1",
     "duplicate_rows_identical": "SELECT l_returnflag, l_linestatus, l_linenumber, l_discount FROM (SELECT *, row_number() OVER "
                                 "(PARTITION BY l_returnflag, l_linestatus, l_linenumber, l_discount) r FROM lineitem) WHERE r > 1",
     "count_duplicates": "SELECT count(*) - count(DISTINCT text) AS n_duplicates FROM documents",
@@ -296,9 +322,9 @@ ORACLES: dict[str, str] = {
         for i, a in enumerate(LINE_NUMBERS + ["mixed"]) for b in (LINE_NUMBERS + ["mixed"])[i + 1:]) + ") WHERE abs_corr > 0.8",
     "target_corr_top": _target_corr(" LIMIT 3"),
     "target_corr_bars": _target_corr("", ", 'returned' AS target"),
-    "spearman": _spearman("lineitem", [(LINE_NUMBERS[i], LINE_NUMBERS[j]) for i in range(3) for j in range(i)]),
+    "spearman": _spearman("lineitem", [(LINE_NUMBERS[i], LINE_NUMBERS[j]) for i in range(4) for j in range(i)]),
     "spearman_with_gaps": f"WITH {DIRTY} " + _spearman("dirty", [("sparse_col", "o_totalprice")]),
-    "kendall": _kendall([(TIED_NUMBERS[1], TIED_NUMBERS[0])]),
+    "kendall": _kendall([(TIED_NUMBERS[i], TIED_NUMBERS[j]) for i in range(4) for j in range(i)]),
     "histogram_40": _bins("events", "value", True),
     "histogram_all_columns": " UNION ALL ".join(f"({_bins('lineitem', c, False)})" for c in LINE_NUMBERS),
     "histogram_with_gaps": f"WITH {DIRTY} " + " UNION ALL ".join(
@@ -358,10 +384,37 @@ ORACLES: dict[str, str] = {
   SELECT vec_id, (i - 1)::INTEGER AS pos, embedding[i]::DOUBLE AS x, {WEIGHT.format(i='i')} AS w FROM (
   SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))""",
     "random_terms": f"""SELECT c_custkey, pos::INTEGER AS pos,
-  CAST(CAST('0x' || substr(md5(concat_ws(':', c_custkey, pos, '{SEED}', 'x')), 1, 13) AS BIGINT) % 11 AS INTEGER) AS x,
-  round({_unit(f"concat_ws(':', c_custkey, pos, '{SEED}', 'w')")}, 9) AS w
+  CAST(CAST('0x' || substr({_digest('c_custkey', 'pos', f"'{SEED}'", "'x'")}, 1, 13) AS BIGINT) % 11 AS INTEGER) AS x,
+  round({_unit('c_custkey', 'pos', f"'{SEED}'", "'w'")}, 9) AS w
   FROM (SELECT c_custkey, unnest(range(4)) AS pos FROM customer)""",
-    "csv_roundtrip": f"WITH {DIRTY} SELECT * EXCLUDE (o_orderdate) REPLACE (CASE WHEN o_orderstatus NOT IN ('', 'na') THEN o_orderstatus END AS o_orderstatus) FROM dirty",
+    "csv_roundtrip": f"WITH {DIRTY} SELECT * REPLACE ({KNOWN_STATUS}, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate) FROM dirty",
+    "csv_with_schema": f"WITH {DIRTY} SELECT * REPLACE ({KNOWN_STATUS}) FROM dirty",
+    "csv_documents": "SELECT * FROM documents",
+    "csv_latin1": "SELECT * REPLACE ('É' || c_name || 'ñ' AS c_name) FROM customer",
+    "csv_key_by_position": "SELECT o_orderkey, o_custkey, o_totalprice AS unnamed FROM orders",
+    "features_part": "SELECT * EXCLUDE (o_totalprice) FROM orders",
+    "target_part": "SELECT o_totalprice FROM orders",
+    "value_counts_all": _value_counts("customer", [("c_name", "c_name"), ("c_mktsegment", "c_mktsegment")], 1 << 62),
+    "random_vectors": f"SELECT c_custkey, round(list_sum(list_transform(range(4), lambda pos: "
+                      f"(CAST('0x' || substr({_digest('c_custkey', 'pos', f"'{SEED}'", "'x'")}, 1, 13) AS BIGINT) % 11) * "
+                      f"{_unit('c_custkey', 'pos', f"'{SEED}'", "'w'")})), 6) AS total FROM customer",
+    "confusion_pivot": "SELECT quality AS actual, count(*) FILTER (toxic = 0) AS predicted_0, count(*) FILTER (toxic = 1) AS predicted_1, "
+                       "count(*) FILTER (toxic NOT IN (0, 1)) AS other FROM labels GROUP BY 1",
+    "confusion_with_gaps": f"SELECT quality::DOUBLE AS actual, {GUESS} AS predicted, count(*) AS n FROM labels GROUP BY 1, 2",
+    "class_report_with_gaps": f"WITH g AS (SELECT quality AS y, {GUESS} AS p FROM labels), "
+                              + REPORT.replace("sum(hits)::DOUBLE / sum(support), sum(support)::BIGINT FROM s",
+                                               "(SELECT sum(hits) FROM s)::DOUBLE / count(*), count(*) FROM g", 1),
+    "scores_by_name": f"""WITH g AS (SELECT quality AS y, toxic AS p FROM labels), r AS (SELECT l_extendedprice AS y, l_quantity * 1500 AS p FROM lineitem),
+  {REPORT.split("lines AS (")[0].strip().rstrip(",")}
+  SELECT 'accuracy' AS scoring, round(avg((y = p)::INT::DOUBLE), 4) AS score FROM g
+  UNION ALL SELECT 'f1_macro', round(avg(f1_score), 4) FROM s
+  UNION ALL SELECT 'f1_weighted', round(sum(f1_score * support) / sum(support), 4) FROM s
+  UNION ALL SELECT 'r2', round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 4) FROM r
+  UNION ALL SELECT 'neg_root_mean_squared_error', round(-sqrt(avg((y - p) ** 2)), 4) FROM r
+  UNION ALL SELECT 'neg_mean_absolute_error', round(-avg(abs(y - p)), 4) FROM r""",
+    "regression_folds_rmse": _fold_scores("-sqrt(avg((y - p) ** 2))"),
+    "regression_folds_mae": _fold_scores("-avg(abs(y - p))"),
+    "export_split": f"WITH {_split('orders', 'o_orderkey', 'o_orderstatus')} SELECT * EXCLUDE (o_orderdate) FROM split",
     "page_encodings": "SELECT page_id, CASE WHEN strlen(html) = length(html) THEN 'ascii' ELSE 'utf-8' END AS encoding FROM pages",
     "export_sides": f"WITH {_split('orders', 'o_orderkey', 'o_orderstatus')} SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, "
                     "round(ln(1 + o_totalprice), 6) AS log_price, split AS side FROM split",

@@ -152,7 +152,7 @@ def duplicate_rows_none(spark, sf):
 
 @query
 def duplicate_rows_ordered(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    lines = table(spark, sf, "lineitem")
     return duplicates.duplicate_rows(lines, ["l_orderkey", "l_linenumber"], "first", order_by=["l_shipdate"])
 
 
@@ -299,6 +299,16 @@ def target_corr_top(spark, sf):
     return rounded(correlation.target_correlations(_returned(spark, sf), "returned", 3), "abs_corr")
 
 
+@query
+def features_part(spark, sf):
+    return columns.features_and_target(table(spark, sf, "orders"), "o_totalprice")[0]
+
+
+@query
+def target_part(spark, sf):
+    return columns.features_and_target(table(spark, sf, "orders"), "o_totalprice")[1]
+
+
 @query
 def target_corr_bars(spark, sf):
     return rounded(correlation.target_correlation_bars(_returned(spark, sf), "returned"), "abs_corr")
@@ -310,7 +320,7 @@ def _lower(df, cols, method):
 
 @query
 def spearman(spark, sf):
-    return _lower(table(spark, sf, "lineitem"), LINE_NUMBERS[:3], "spearman")
+    return _lower(table(spark, sf, "lineitem"), LINE_NUMBERS, "spearman")
 
 
 @query
@@ -320,7 +330,7 @@ def spearman_with_gaps(spark, sf):
 
 @query
 def kendall(spark, sf):
-    return _lower(table(spark, sf, "lineitem"), TIED_NUMBERS[:2], "kendall")
+    return _lower(table(spark, sf, "lineitem"), TIED_NUMBERS, "kendall")
 
 
 # --- distributions ----------------------------------------------------------------------------
@@ -352,6 +362,11 @@ def value_counts_with_gaps(spark, sf):
     return distributions.value_counts(dirty_orders(spark, sf), 4)
 
 
+@query
+def value_counts_all(spark, sf):
+    return distributions.value_counts(table(spark, sf, "customer"), None, ["c_name", "c_mktsegment"])
+
+
 @query
 def target_counts(spark, sf):
     return distributions.target_counts(dirty_orders(spark, sf), "o_orderstatus")
@@ -464,6 +479,38 @@ def class_report(spark, sf):
     return rounded(out, "precision", "recall", "f1_score")
 
 
+@query
+def confusion_pivot(spark, sf):
+    out = metrics.confusion_table(table(spark, sf, "labels"), "quality", "toxic", [0, 1])
+    return out.withColumnsRenamed({"0": "predicted_0", "1": "predicted_1"})
+
+
+def _doubtful(spark, sf):
+    """Predictions that are missing, or no class at all."""
+    guess = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 7 == 0, F.col("toxic") + 0.9).otherwise(F.col("toxic"))
+    return table(spark, sf, "labels").select("doc_id", "quality", guess.cast("double").alias("guess"))
+
+
+@query
+def confusion_with_gaps(spark, sf):
+    return metrics.confusion_matrix(_doubtful(spark, sf), "quality", "guess")
+
+
+@query
+def class_report_with_gaps(spark, sf):
+    out = metrics.classification_report(_doubtful(spark, sf), "quality", "guess", [0, 1])
+    return rounded(out, "precision", "recall", "f1_score")
+
+
+@query
+def scores_by_name(spark, sf):
+    labels = table(spark, sf, "labels")
+    lines = table(spark, sf, "lineitem").select("l_extendedprice", (F.col("l_quantity") * 1500).alias("guess"))
+    scores = [(name, metrics.Scorer(name, "quality", "toxic").evaluate(labels)) for name in metrics.CLASSIFICATION_SCORING]
+    scores += [(name, metrics.Scorer(name, "l_extendedprice", "guess").evaluate(lines)) for name in metrics.REGRESSION_SCORING]
+    return rounded(spark.createDataFrame(scores, "scoring string, score double"), "score", digits=4)
+
+
 @query
 def regression_metrics(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_extendedprice", (F.col("l_quantity") * 1500).alias("guess"))
@@ -545,10 +592,31 @@ def regression_search(spark, sf):
     return rounded(rounded(scores, "r2"), "rmse", "mae", digits=4)
 
 
+def _plain_regression(spark, sf, scoring):
+    """Scores of each fold, without a grid."""
+    lines = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    vectors = VectorAssembler(inputCols=["o_custkey"], outputCol="features").transform(lines)
+    split = splitting.train_test_split(vectors, ["o_orderkey"], seed=SEED)
+    train, test = (split.where(f"split = '{s}'") for s in ("train", "test"))
+    found = evaluate.evaluate_model(LinearRegression(), None, train, test, "o_totalprice", ["o_orderkey"],
+                                    scoring=scoring, cv=3, seed=SEED)
+    out = found.cv_results.select(F.posexplode("split_scores").alias("fold", "score"))
+    return rounded(out, "score", digits=4)
+
+
+@query
+def regression_folds_rmse(spark, sf):
+    return _plain_regression(spark, sf, "neg_root_mean_squared_error")
+
+
+@query
+def regression_folds_mae(spark, sf):
+    return _plain_regression(spark, sf, "neg_mean_absolute_error")
+
+
 @query
 def first_study(spark, sf):
-    df = table(spark, sf, "orders").drop("o_orderdate")
-    found = study(df, "o_orderstatus", ["o_orderkey"], cv=3, seed=SEED)
+    found = study(table(spark, sf, "orders"), "o_orderstatus", ["o_orderkey"], cv=3, seed=SEED)
     return rounded(found.target_correlations.withColumn("n_duplicates", F.lit(found.n_duplicates)), "abs_corr")
 
 
@@ -577,15 +645,56 @@ def random_terms(spark, sf):
     return rounded(generators.random_terms(table(spark, sf, "customer"), ["c_custkey"], 4, SEED), "w", digits=9)
 
 
+@query
+def random_vectors(spark, sf):
+    """Vectors drawn by the keys of a table, scored by their own weights."""
+    drawn = generators.keyed_vectors(table(spark, sf, "customer"), ["c_custkey"], 4, SEED)
+    total = F.aggregate(F.zip_with("x", "w", lambda x, w: x * w), F.lit(0.0), lambda a, b: a + b)
+    return rounded(drawn.select("c_custkey", total.alias("total")), "total")
+
+
 # --- files ------------------------------------------------------------------------------------
 
 @query
 def csv_roundtrip(spark, sf):
+    """All types inferred; a time stays text."""
     path = scratch.scratch_dir(spark, "csv")
-    csv.write_csv(dirty_orders(spark, sf).drop("o_orderdate"), path)
+    csv.write_csv(dirty_orders(spark, sf), path)
     return csv.read_csv(spark, path)
 
 
+@query
+def csv_with_schema(spark, sf):
+    df, path = dirty_orders(spark, sf), scratch.scratch_dir(spark, "csv")
+    csv.write_csv(df, path)
+    return csv.read_csv(spark, path, schema=df.schema)
+
+
+@query
+def csv_documents(spark, sf):
+    """Texts with line breaks and quotes, there and back."""
+    df, path = table(spark, sf, "documents"), scratch.scratch_dir(spark, "csv")
+    csv.write_csv(df, path)
+    return csv.read_csv(spark, path, schema=df.schema, multi_line=True)
+
+
+@query
+def csv_latin1(spark, sf):
+    df, path = table(spark, sf, "customer"), scratch.scratch_dir(spark, "csv")
+    accented = df.withColumn("c_name", F.concat(F.lit("É"), "c_name", F.lit("ñ")))
+    csv.write_csv(accented, path, encoding="ISO-8859-1")
+    return csv.read_csv(spark, path, schema=df.schema, encoding="ISO-8859-1")
+
+
+@query
+def csv_key_by_position(spark, sf):
+    """A file whose second column has no name, its key given by position."""
+    path = scratch.scratch_dir(spark, "csv")
+    csv.write_csv(table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey").toDF("o_orderkey", "", "o_custkey"), path)
+    df = csv.read_csv(spark, path)
+    return df.select(*csv.key_columns(df, [0, "o_custkey"]), F.col("`Unnamed: 1`").alias("unnamed"))
+
+
 @query
 def page_encodings(spark, sf):
     pages = table(spark, sf, "pages")
@@ -611,3 +720,10 @@ def export_sides(spark, sf):
     out = sides["X_test"].join(sides["y_test"], "o_orderkey").withColumn("side", F.lit("test")).unionByName(
         sides["X_train"].join(sides["y_train"], "o_orderkey").withColumn("side", F.lit("train")))
     return rounded(out, "log_price")
+
+
+@query
+def export_split(spark, sf):
+    split = splitting.train_test_split(table(spark, sf, "orders"), ["o_orderkey"], "o_orderstatus", seed=SEED)
+    path = export.export_split(split, scratch.scratch_dir(spark, "export"), drop_cols=["o_orderdate"])
+    return spark.read.parquet(path)

@@ -14,10 +14,14 @@ from pyspark.sql import Column, functions as F
 from .nulls import ref
 
 
-def key_digest(key_cols: Sequence[str], *salt: object) -> Column:
-    """md5 (32 hex digits) of ``key:…:salt:…``."""
-    parts = [ref(c).cast("string") for c in key_cols] + [F.lit(str(s)) for s in salt]
-    return F.md5(F.concat_ws(":", *parts).cast("binary"))
+def key_digest(key_cols: Sequence[str | Column], *salt: object) -> Column:
+    """md5 (32 hex digits) of the key's and the salt's parts, each as ``length:text``, a missing one as ``-``.
+
+    With the lengths written down no two different keys give the same text.
+    """
+    parts = [(c if isinstance(c, Column) else ref(c)).cast("string") for c in key_cols] + [F.lit(str(s)) for s in salt]
+    marked = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.md5(F.concat(*marked).cast("binary"))
 
 
 def digest_unit(digest: Column) -> Column:

@@ -3,7 +3,7 @@
 ``percentile``/``median`` are exact, but their one final task holds every
 distinct value.  Here each wanted order statistic is first bracketed with a
 quantile sketch; the rows outside the brackets are only counted, and just the
-few distinct values inside them are brought together.  A bracket that may still
+few distinct values inside them are ordered, one task a column.  A bracket that may still
 hold too many values is narrowed again, so the work is a handful of column
 scans and no shuffle of the data, at any size.  The sketch only steers: the
 counts prove that a bracket holds the wanted rank, and a miss widens it.
@@ -15,8 +15,9 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .bounded import local_table
 from .nulls import sql_double
 
 SKETCH_ACCURACY = 2_000     # rank error of one sketch: 1/2000 of its rows
@@ -114,12 +115,22 @@ def _merged(bands: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _read(values: DataFrame, targets: list[_Target], limit: int) -> None:
+def between(low: float, high: float, weight: float) -> float:
+    """Linear interpolation; towards an infinite neighbour it is infinite, between both infinities undefined (NaN)."""
+    if weight == 0.0 or low == high:
+        return low
+    if math.isinf(low) or math.isinf(high):
+        return math.nan if math.isinf(low) and math.isinf(high) else low if math.isinf(low) else high
+    width = high - low
+    return low * (1 - weight) + high * weight if math.isinf(width) else low + width * weight
+
+
+def _read(values: DataFrame, targets: list[_Target]) -> None:
     """One scan: count outside the brackets and per distinct value inside them, pick the ranks.
 
     The regions of a column are numbered along its axis: even ones lie between
-    brackets and are counted as a whole, odd ones are brackets.  Should the
-    brackets hold far more than the sketch promised, they are narrowed instead.
+    brackets and are counted as a whole, odd ones are brackets.  Running counts
+    find the two values that a target asks for; nothing else is returned.
     """
     entries = []
     for c in sorted({t.column for t in targets}):
@@ -132,23 +143,18 @@ def _read(values: DataFrame, targets: list[_Target], limit: int) -> None:
         entries.append(f"named_struct('c', {c}, 'r', {place}, 'v', q{c})")
     regions = values.selectExpr(f"inline(array({', '.join(entries)}))").where("r is not null")
     counts = (regions.selectExpr("c", "r", "case when r % 2 = 1 then v end as v")
-              .groupBy("c", "r", "v").count())
-    most = len(targets) * (4 * limit + 3)
-    counts = counts.limit(most + 1).toPandas().sort_values(["c", "r", "v"])
-    if len(counts) > most:
-        for t in targets:
-            t.expected = 2.0 * limit + 1
-        return
-    for c, part in counts.groupby("c"):
-        upto = part["count"].cumsum().to_numpy()
-        found, region = part["v"].to_numpy(), part["r"].to_numpy()
-        for t in (t for t in targets if t.column == c):
-            low, high = (int(upto.searchsorted(k, side="right")) for k in (t.low_rank, t.high_rank))
-            if region[low] % 2 == 1 and region[high] % 2 == 1:
-                a, b = float(found[low]), float(found[high])
-                t.value = a if t.weight == 0.0 else a + (b - a) * t.weight
-            else:
-                t.lo, t.hi, t.expected, t.slack = -INF, INF, INF, t.slack * 4
+              .groupBy("c", "r", "v").agg(F.count(F.lit(1)).alias("n")))
+    running = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("c").orderBy("r", "v")))
+    asked = sorted({(t.column, rank) for t in targets for rank in (t.low_rank, t.high_rank)})
+    ranks = local_table(values.sparkSession, asked, "of int, rank bigint")
+    holds = (F.col("c") == F.col("of")) & (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    found = {(r["c"], r["rank"]): (r["r"], r["v"]) for r in running.join(ranks, holds).select("c", "rank", "r", "v").collect()}
+    for t in targets:
+        (region_low, low), (region_high, high) = found[t.column, t.low_rank], found[t.column, t.high_rank]
+        if region_low % 2 == 1 and region_high % 2 == 1:
+            t.value = between(low, high, t.weight)
+        else:
+            t.lo, t.hi, t.expected, t.slack = -INF, INF, INF, t.slack * 4
 
 
 def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float],
@@ -156,7 +162,8 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
                     inside_limit: int = INSIDE_LIMIT) -> dict[str, list[float | None]]:
     """Quantiles (linear interpolation) of named double expressions over ``df``.
 
-    NULL values are ignored; a column without any value has quantiles ``None``.
+    NULL values are ignored; a column without any value has quantiles ``None``,
+    and so has a place between minus and plus infinity.
     """
     if not values:
         return {}
@@ -174,6 +181,8 @@ def exact_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
             wide = [t for t in wide if INF > t.expected > inside_limit]
         ready = [t for t in waiting if t.expected <= inside_limit]
         if ready:
-            _read(table, ready, inside_limit)
+            _read(table, ready)
         waiting = [t for t in waiting if t.value is None]
-    return {name: [t.value for t in targets if t.column == i] for i, name in enumerate(values)}
+    # NaN is the one value that differs from itself
+    return {name: [None if t.value != t.value else t.value for t in targets if t.column == i]
+            for i, name in enumerate(values)}

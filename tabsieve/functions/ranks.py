@@ -98,10 +98,13 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
     """Per column a table ``(value, below, ties)``: rows below the value, rows equal to it.
 
     ``cols`` are double columns without NULL.  Columns with at most ``small``
-    distinct values (by estimate, then checked) come back as broadcast sides.
+    distinct values (by estimate, then checked) come back as broadcast sides, as
+    many of them as fit one broadcast; the others are ranked by buckets.
     """
     cuts = bucket_bounds(df, cols, buckets or bucket_count(df.sparkSession))
-    tables = _small_tables(df, [c for c in cols if cuts[c][1] <= small])
+    few = sorted((c for c in cols if cuts[c][1] <= small), key=lambda c: cuts[c][1])
+    together = accumulate(cuts[c][1] for c in few)      # half of the room is left to the estimates' error
+    tables = _small_tables(df, [c for c, n in zip(few, together) if n <= BROADCAST_ROWS // 2])
     many = [c for c in cols if c not in tables]
     if not many:
         return tables

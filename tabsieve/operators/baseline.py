@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -9,15 +10,14 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.bounded import collect_at_most
 from ..functions.hashing import digest_unit, key_digest
-from ..functions.nulls import known, require_columns
+from ..functions.nulls import known, ref, require_columns, sql_double
+from ..functions.ranks import bucket_of
 
 # The strategies.
 STRATEGIES = ("most_frequent", "prior", "stratified", "uniform")
-MAX_CLASSES = 10_000
 
 
 class _BaselineParams(HasLabelCol, HasPredictionCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -58,16 +58,30 @@ class BaselineClassifier(Estimator, _BaselineParams):
                   keyCols=list(keyCols), seed=seed)
 
     def _fit(self, dataset: DataFrame) -> "BaselineClassifierModel":
-        self._checked_strategy()
+        return self._model({r["y"]: r["n"] for r in self._counts(dataset).collect()})
+
+    def fit_folds(self, dataset: DataFrame, fold_col: str, k: int) -> list["BaselineClassifierModel"]:
+        """One model per fold, each of all the other folds; a single count serves them all."""
+        counts = [(r["fold"], r["y"], r["n"]) for r in self._counts(dataset, ref(fold_col).alias("fold")).collect()]
+        total = Counter()
+        for _, y, n in counts:
+            total[y] += n
+        own = [{y: n for fold, y, n in counts if fold == i} for i in range(k)]
+        return [self._model({y: n - held.get(y, 0) for y, n in total.items() if n > held.get(y, 0)}) for held in own]
+
+    def _counts(self, dataset: DataFrame, *by: Column) -> DataFrame:
+        """Rows per class (and fold).  The class list is the model: one entry a class is all the driver gets."""
         label = self.getLabelCol()
         require_columns(dataset, [label])
-        counts = dataset.where(known(dataset, label).isNotNull()).groupBy(
-            known(dataset, label).cast("double").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-        rows = sorted((r["y"], r["n"]) for r in collect_at_most(counts, MAX_CLASSES, f"classes of {label}"))
-        if not rows:
+        y = known(dataset, label)
+        return dataset.where(y.isNotNull()).groupBy(*by, y.cast("double").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+
+    def _model(self, counts: dict[float, int]) -> "BaselineClassifierModel":
+        self._checked_strategy()
+        if not counts:
             raise ValueError("no labelled row to learn from")
-        model = BaselineClassifierModel([y for y, _ in rows], [float(n) for _, n in rows])
-        return self._copyValues(model)
+        rows = sorted(counts.items())
+        return self._copyValues(BaselineClassifierModel([y for y, _ in rows], [float(n) for _, n in rows]))
 
 
 class BaselineClassifierModel(Model, _BaselineParams):
@@ -91,9 +105,8 @@ class BaselineClassifierModel(Model, _BaselineParams):
         else:
             weights = counts if strategy == "stratified" else [1.0] * len(counts)
             total = sum(weights)
-            edges = F.array(*[F.lit(w / total) for w in list(accumulate(weights))[:-1]]).cast("array<double>")
-            draw = digest_unit(key_digest(self.getKeyCols(), self.getSeed()))
-            # the one-element transform computes the draw once for all edges
-            place = F.get(F.transform(F.array(draw), lambda d: F.size(F.filter(edges, lambda e: e <= d))), F.lit(0))
-            guess = F.get(F.array(*[F.lit(c) for c in classes]), place)
+            edges = [w / total for w in list(accumulate(weights))[:-1]]
+            drawn = dataset.withColumn("__draw", digest_unit(key_digest(self.getKeyCols(), self.getSeed())))
+            values = F.expr(f"array({', '.join(map(sql_double, classes))})")
+            return drawn.withColumn(self.getPredictionCol(), F.get(values, bucket_of("__draw", edges))).drop("__draw")
         return dataset.withColumn(self.getPredictionCol(), guess)

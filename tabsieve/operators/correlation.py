@@ -29,10 +29,13 @@ def _numeric(df: DataFrame, cols: Sequence[str] | None, key_cols: Sequence[str])
     return cols
 
 
-def _complete_columns(df: DataFrame, cols: Sequence[str]) -> set[str]:
-    """Columns without a missing value, from one count per column."""
-    row = doubles(df, cols).agg(F.count(F.lit(1)), *[F.expr(f"count(c{i})") for i in range(len(cols))]).first()
-    return {c for c, n in zip(cols, row[1:]) if n == row[0]}
+def _complete_and_varying(df: DataFrame, cols: Sequence[str]) -> tuple[set[str], set[str]]:
+    """Columns without a missing value, and columns with two different values, from one scan."""
+    n = len(cols)
+    row = doubles(df, cols).agg(F.count(F.lit(1)), *[F.expr(f"count(c{i})") for i in range(n)],
+                                *[F.expr(f"min(c{i}) < max(c{i})") for i in range(n)]).first()
+    return ({c for c, count in zip(cols, row[1:]) if count == row[0]},
+            {c for c, varies in zip(cols, row[1 + n:]) if varies})
 
 
 def _pearson(a: str, b: str, complete: bool) -> str:
@@ -132,12 +135,11 @@ def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
     rows = _complete_rows(df, a, b)
     counted = rows.groupBy(ref(a), ref(b)).agg(F.count(F.lit(1)).alias("w"))
     ranks = value_ranks(rows, [a, b])
-    totals = rows.agg(F.count(F.lit(1)).alias("n")).first()
-    n = totals["n"]
+    tied_a, tied_b = (int(ranks[c].agg(_choose_two(F.col("ties"))).first()[0]) // 2 for c in (a, b))
+    totals = counted.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n"), _choose_two(F.col("w")).alias("tied")).first()
+    n, tied_both = totals["n"], int(totals["tied"]) // 2
     if n < 2:
         return None
-    tied_a, tied_b = (int(ranks[c].agg(_choose_two(F.col("ties"))).first()[0]) // 2 for c in (a, b))
-    tied_both = int(counted.agg(_choose_two(F.col("w"))).first()[0]) // 2
     points = attach(counted, a, ranks[a], F.col("below"), "rx")
     points = attach(points, b, ranks[b], F.col("below"), "ry").select("rx", "ry", "w")
     discordant = int(discordant_pairs(points, n - 1).first()[0])
@@ -150,24 +152,20 @@ def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
     return max(-1.0, min(1.0, tau))
 
 
-def correlation_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]],
-                      method: str = "pearson") -> dict[tuple[str, str], float | None]:
-    """Coefficients of the given column pairs."""
+def correlation_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str = "pearson",
+                      complete: set[str] | None = None) -> dict[tuple[str, str], float | None]:
+    """Coefficients of the given column pairs; ``complete`` names columns known to have no missing value."""
     if method not in ("pearson", "spearman", "kendall"):
         raise ValueError("method must be 'pearson', 'spearman' or 'kendall'")
     if not pairs:
         return {}
     if method == "kendall":
         return {(a, b): kendall_tau(df, a, b) for a, b in pairs}
-    complete = _complete_columns(df, list(dict.fromkeys(c for p in pairs for c in p)))
+    if complete is None:
+        complete = _complete_and_varying(df, list(dict.fromkeys(c for p in pairs for c in p)))[0]
     return (_pearson_pairs if method == "pearson" else _ranked_pairs)(df, pairs, complete)
 
 
-def _varying(df: DataFrame, cols: Sequence[str]) -> set[str]:
-    row = doubles(df, cols).agg(*[F.expr(f"min(c{i}) < max(c{i})") for i in range(len(cols))]).first()
-    return {c for c, v in zip(cols, row) if v}
-
-
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method: str = "pearson",
                        key_cols: Sequence[str] = ()) -> DataFrame:
     """The full matrix in long form: ``(row_pos, col_pos, row, col, corr)``."""
@@ -175,8 +173,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method:
     if not cols:
         return df.sparkSession.createDataFrame([], MATRIX_SCHEMA)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    found = correlation_pairs(df, pairs, method)
-    varying = _varying(df, cols)
+    complete, varying = _complete_and_varying(df, cols)
+    found = correlation_pairs(df, pairs, method, complete)
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ..functions.bounded import local_table
 from ..functions.hashing import digest_unit, key_digest
 from ..functions.nulls import doubles, known, known_double, log1p_or_null, ref, require_columns, sql_double, type_of
 from .columns import numeric_columns
@@ -14,6 +16,13 @@ from .profile import long_values
 
 HISTOGRAM_SCHEMA = "column string, bin int, bin_start double, bin_end double, n bigint"
 PARTIAL_TOP = 1_000     # up to here Spark keeps only the top rows of each task before the shuffle
+PIVOTS = 4_096          # values, about, that part a full ranking into ranges
+HEAD = 64               # characters of a value that a pivot keeps
+
+
+def bin_width(lo: float, hi: float, bins: int) -> float:
+    """Width of equal bins; of a range too wide for a double, from the widths of its two parts."""
+    return (hi - lo) / bins if math.isfinite(hi - lo) else hi / bins - lo / bins
 
 
 def _bin_of(v: str, lo: float, hi: float, bins: int) -> str:
@@ -21,8 +30,9 @@ def _bin_of(v: str, lo: float, hi: float, bins: int) -> str:
 
     The division may round across an edge, so the guess is compared with the edges themselves.
     """
-    start, step = sql_double(lo), sql_double((hi - lo) / bins)
-    guess = f"cast(least(floor(({v} - {start}) / {step}), {bins - 1}) as int)"
+    start, step = sql_double(lo), sql_double(bin_width(lo, hi, bins))
+    place = f"({v} - {start}) / {step}" if math.isfinite(hi - lo) else f"{v} / {step} - {start} / {step}"
+    guess = f"cast(least(floor({place}), {bins - 1}) as int)"
     down = f"if({v} < {start} + {guess} * {step}, 1, 0)"
     up = f"if({v} >= {start} + ({guess} + 1) * {step} and {guess} < {bins - 1}, 1, 0)"
     return f"case when {v} is not null then {guess} - {down} + {up} end"      # least() skips NULL
@@ -51,6 +61,8 @@ def histograms(df: DataFrame, bins: int = 40, cols: Sequence[str] | None = None,
         if math.isinf(lo) or math.isinf(hi):
             raise ValueError(f"{c} holds infinite values: no finite range")
         ranges[c] = (lo, hi) if lo < hi else (lo - 0.5, hi + 0.5)
+        if not 0 < bin_width(*ranges[c], bins) < math.inf:
+            raise ValueError(f"{c}: no {bins} bins of a width that a double holds between {lo} and {hi}")
     if not ranges:
         return spark.createDataFrame([], HISTOGRAM_SCHEMA)
     entries = [f"named_struct('i', {i}, 'bin', {_bin_of(f'c{i}', *ranges[c], bins)})"
@@ -58,8 +70,8 @@ def histograms(df: DataFrame, bins: int = 40, cols: Sequence[str] | None = None,
     counts = (values.selectExpr(f"inline(array({', '.join(entries)}))").where("bin is not null")
               .groupBy("i", "bin").agg(F.count(F.lit(1)).alias("n")))
     edges = spark.createDataFrame(
-        [(names.index(c), c, b, lo + b * ((hi - lo) / bins), hi if b == bins - 1 else lo + (b + 1) * ((hi - lo) / bins))
-         for c, (lo, hi) in ranges.items() for b in range(bins)],
+        [(names.index(c), c, b, lo + b * width, hi if b == bins - 1 else lo + (b + 1) * width)
+         for c, (lo, hi) in ranges.items() for width in [bin_width(lo, hi, bins)] for b in range(bins)],
         "i int, column string, bin int, bin_start double, bin_end double")
     joined = edges.join(counts, ["i", "bin"], "left" if include_empty else "inner")
     return joined.select("column", "bin", "bin_start", "bin_end",
@@ -76,24 +88,55 @@ def value_counts(df: DataFrame, top_n: int | None = 20, cols: Sequence[str] | No
     """Most frequent values per text or boolean column, a missing value being one of them.
 
     ``(column, value, n, rank)``; equal counts are ordered by value, missing first.
-    Counting is pre-aggregated per task; only the top rows of each task meet.
+    Counting is pre-aggregated per task.  Of a short list only the top rows of
+    each task meet; a long one, or all values (``top_n=None``), is ranked by ranges.
     """
     cols = qualitative_columns(df, key_cols) if cols is None else require_columns(df, cols)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
     labels = {c: F.initcap(known(df, c).cast("string")) for c in cols if isinstance(type_of(df, c), T.BooleanType)}
     counts = (long_values(df, cols, labels).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    if top_n is None or top_n > PARTIAL_TOP:
+        ranked = _ranked_by_ranges(counts)
+        return ranked if top_n is None else ranked.where(F.col("rank") <= top_n)
     order = [F.desc("n"), F.asc_nulls_first("value")]
-    if top_n is not None and top_n > PARTIAL_TOP:
-        # A value outside the top of its slice is outside the top of its column.
-        slices = Window.partitionBy("column", F.pmod(F.xxhash64("value"), F.lit(512))).orderBy(*order)
-        counts = counts.withColumn("rank", F.row_number().over(slices)).where(F.col("rank") <= top_n).drop("rank")
-    if top_n is None:
-        return counts
     ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(*order)))
     return ranked.where(F.col("rank") <= top_n)
 
 
+def _ranked_by_ranges(counts: DataFrame) -> DataFrame:
+    """Rank of every (column, value) by count, without one task that sees a whole column.
+
+    About PIVOTS rows, chosen by the hash of their content, cut the common order
+    into ranges; the ranges' sizes give each one's first rank.
+    """
+    spark = counts.sparkSession
+    place = F.struct(F.col("column"), (-F.col("n")).alias("n"), F.col("value").isNotNull().alias("given"),
+                     F.coalesce(F.substring("value", 1, HEAD), F.lit("")).alias("head"))
+    placed = counts.withColumn("place", place)
+    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = max(1, sum(sizes.values()) // PIVOTS)
+    chosen = placed.where(F.pmod(F.xxhash64("column", "value"), F.lit(share)) == 0).select("place").distinct()
+    pivots = sorted(tuple(r["place"]) for r in chosen.collect())
+    listed = json.dumps([dict(zip(("column", "n", "given", "head"), p)) for p in pivots])
+    table = F.from_json(F.lit(listed), T.ArrayType(placed.schema["place"].dataType))      # folded into one literal
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(pivots).bit_length())))])
+    # the number of pivots at or before the row, by bisection; past their end get() is NULL
+    at = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
+        F.get(table, low + step - 1) <= F.col("place"), low + step).otherwise(low))
+    ranged = placed.withColumn("range", at).select("column", "value", "n", "range")
+    held = ranged.groupBy("column", "range").agg(F.count(F.lit(1)).alias("held")).collect()
+    before, rows = dict.fromkeys(sizes, 0), []
+    for r in sorted(held, key=lambda r: (r["column"], r["range"])):
+        rows.append((r["column"], r["range"], before[r["column"]]))
+        before[r["column"]] += r["held"]
+    firsts = local_table(spark, rows, "column string, range int, before bigint")
+    order = Window.partitionBy("column", "range").orderBy(F.desc("n"), F.asc_nulls_first("value"))
+    inside = ranged.withColumn("inside", F.row_number().over(order))
+    return inside.join(firsts, ["column", "range"]).select(
+        "column", "value", "n", (F.col("before") + F.col("inside")).cast("int").alias("rank"))
+
+
 def target_counts(df: DataFrame, target: str) -> DataFrame:
     """Rows per class: ``(target, n)``."""
     require_columns(df, [target])

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.nulls import is_nested, known, ref, require_columns, type_of
 
 COPIES_PER_ROW = 10_000
+LONG_TEXT = 64      # bytes; longer texts are compared by digest
 
 
 def _compared(df: DataFrame, subset: Sequence[str] | None, key_cols: Sequence[str]) -> list[str]:
@@ -27,26 +28,36 @@ def _compared(df: DataFrame, subset: Sequence[str] | None, key_cols: Sequence[st
     return [c for c in df.columns if c not in keys]
 
 
+def _group_key(df: DataFrame, name: str) -> Column:
+    """What a value is compared by: long texts by their SHA-256, so no document is shuffled to be counted."""
+    value = known(df, name)
+    if not isinstance(type_of(df, name), T.StringType):
+        return value
+    # the first letter keeps a text that looks like a digest apart from a digest
+    return F.when(F.octet_length(value) > LONG_TEXT, F.concat(F.lit("h"), F.sha2(value, 256))).otherwise(
+        F.concat(F.lit("t"), value))
+
+
 def _same_group(rows: DataFrame, cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b,
-                  [known(rows, c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(cols)])
+                  [_group_key(rows, c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(cols)])
 
 
 def _group_keys(df: DataFrame, cols: Sequence[str]) -> list[Column]:
-    return [known(df, c).alias(f"__g{i}") for i, c in enumerate(cols)]
+    return [_group_key(df, c).alias(f"__g{i}") for i, c in enumerate(cols)]
 
 
 def _repeat(counted: DataFrame, times: str, cols: Sequence[str]) -> DataFrame:
-    """Emit each row ``times`` times; a huge count is first cut into pieces spread over tasks."""
-    pieces = counted.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(times) - 1,
-                                  F.lit(COPIES_PER_ROW).cast("bigint"))).alias("__from"))
-    spread = pieces.repartition(*[F.col(c) for c in ("__from",)], *[ref(c) for c in cols])
-    return spread.select(
-        *[ref(c) for c in cols],
-        F.explode(F.sequence(F.col("__from"),
-                             F.least(F.col("__from") + COPIES_PER_ROW, F.col(times)) - 1)).alias("__i"),
-    ).drop("__i")
+    """Emit each row ``times`` times; a huge count is cut into pieces, and these again, spread over tasks."""
+    def cut(rows: DataFrame, size: int, within: int) -> DataFrame:
+        steps = F.sequence(F.col("__from"), F.least(F.col("__from") + within, F.col(times)) - 1, F.lit(size).cast("bigint"))
+        return rows.select(*[ref(c) for c in cols], times, F.explode(steps).alias("__from"))
+
+    whole = counted.select("*", F.lit(0).cast("bigint").alias("__from"))
+    coarse = cut(whole, COPIES_PER_ROW**2, 1 << 62)
+    fine = cut(coarse.repartition("__from", *[ref(c) for c in cols]), COPIES_PER_ROW, COPIES_PER_ROW**2)
+    each = cut(fine.repartition("__from", *[ref(c) for c in cols]), 1, COPIES_PER_ROW)
+    return each.select(*[ref(c) for c in cols])
 
 
 def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,

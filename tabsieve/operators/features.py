@@ -15,7 +15,9 @@ from ..functions.quantiles import exact_quantiles
 from .columns import identify_column_types
 from .profile import long_values
 
-MAX_CATEGORIES = 10_000
+
+#: Integer types of class codes, and how many classes each holds.
+CODE_TYPES = {"tinyint": 1 << 7, "smallint": 1 << 15, "int": 1 << 31, "bigint": 1 << 63}
 
 
 def _label(df: DataFrame, name: str) -> Column:
@@ -46,21 +48,22 @@ def robust_scaled(df: DataFrame, name: str, scaling: Sequence[float | None]) ->
 
 
 def learn_categories(df: DataFrame, cols: Sequence[str],
-                     limit: int = MAX_CATEGORIES) -> dict[str, list[str | None]]:
+                     limit: int | None = None) -> dict[str, list[str | None]]:
     """Sorted categories per column, from one pre-aggregated count over all columns.
 
-    The categories become columns and travel with the model, so their number is
-    checked: a column beyond the limit is an identifier, and is refused.
+    The categories are the model: they travel with it, and one-hot columns are
+    made of them.  A caller that fears identifiers sets a ``limit`` per column,
+    beyond which a column is refused.
     """
     if not cols:
         return {}
     labels = {c: _label(df, c) for c in cols}
     pairs = long_values(df, cols, labels).distinct()
-    rows = collect_at_most(pairs, limit * len(cols), f"categories of {list(cols)}")
+    rows = pairs.collect() if limit is None else collect_at_most(pairs, limit * len(cols), f"categories of {list(cols)}")
     found: dict[str, list[str | None]] = {c: [] for c in cols}
     for r in rows:
         found[r["column"]].append(r["value"])
-    crowded = [c for c, v in found.items() if len(v) > limit]
+    crowded = [c for c, v in found.items() if limit is not None and len(v) > limit]
     if crowded:
         raise ValueError(f"more than {limit} categories in {crowded}")
     return {c: _sorted_labels(v, type_of(df, c)) for c, v in found.items()}
@@ -74,7 +77,7 @@ class FeaturePreprocessor(Estimator, JsonState):
 
     def __init__(self, numeric_columns: Sequence[str] | None = None,
                  categorical_columns: Sequence[str] | None = None, key_cols: Sequence[str] = (),
-                 output_col: str = "features", max_categories: int = MAX_CATEGORIES) -> None:
+                 output_col: str = "features", max_categories: int | None = None) -> None:
         super().__init__()
         self._set(state={
             "numeric": None if numeric_columns is None else list(numeric_columns),
@@ -161,11 +164,16 @@ def preprocess_data(df: DataFrame, numeric_columns: Sequence[str] | None = None,
 
 
 class LabelEncoder(Estimator, JsonState):
-    """Classes in sorted order to 0…k-1; a class not seen in training is an error."""
+    """Classes in sorted order to 0…k-1; a class not seen in training is an error.
+
+    ``dtype`` is the integer type of the codes; one too narrow for the classes is refused.
+    """
 
-    def __init__(self, input_col: str = "label", output_col: str = "label_index") -> None:
+    def __init__(self, input_col: str = "label", output_col: str = "label_index", dtype: str = "int") -> None:
         super().__init__()
-        self._set(state={"input": input_col, "output": output_col})
+        if dtype not in CODE_TYPES:
+            raise ValueError(f"dtype must be one of {sorted(CODE_TYPES)}")
+        self._set(state={"input": input_col, "output": output_col, "dtype": dtype})
 
     def _fit(self, dataset: DataFrame) -> "LabelEncoderModel":
         s = self.get_state()
@@ -173,14 +181,16 @@ class LabelEncoder(Estimator, JsonState):
         classes = learn_categories(dataset, [s["input"]])[s["input"]]
         if None in classes:
             raise ValueError(f"{s['input']} has missing classes")
-        return LabelEncoderModel(classes, s["input"], s["output"])
+        if len(classes) > CODE_TYPES[s["dtype"]]:
+            raise ValueError(f"{len(classes)} classes do not fit {s['dtype']}")
+        return LabelEncoderModel(classes, s["input"], s["output"], s["dtype"])
 
 
 class LabelEncoderModel(Model, JsonState):
     def __init__(self, classes: Sequence[str] = (), input_col: str = "label",
-                 output_col: str = "label_index") -> None:
+                 output_col: str = "label_index", dtype: str = "int") -> None:
         super().__init__()
-        self._set(state={"classes": list(classes), "input": input_col, "output": output_col})
+        self._set(state={"classes": list(classes), "input": input_col, "output": output_col, "dtype": dtype})
 
     @property
     def classes(self) -> list[str]:
@@ -194,5 +204,5 @@ class LabelEncoderModel(Model, JsonState):
         s = self.get_state()
         keyed = dataset.withColumn("__label", _label(dataset, s["input"]))
         index = StringIndexerModel.from_labels(s["classes"], "__label", "__code", handleInvalid="error")
-        coded = index.transform(keyed).withColumn(s["output"], F.col("__code").cast("int"))
+        coded = index.transform(keyed).withColumn(s["output"], F.col("__code").cast(s["dtype"]))
         return coded.drop("__label", "__code")

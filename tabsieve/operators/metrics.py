@@ -5,12 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import Evaluator
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.bounded import collect_at_most
-from ..functions.nulls import known, require_columns, type_of
-
-MAX_CLASSES = 1_000
+from ..functions.nulls import is_float, known, require_columns, type_of
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -20,36 +17,61 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
+def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """``(actual, predicted, n)`` for all pairs that occur, missing values being one of them.
+
+    Both sides have the wider of their types, so a prediction of 0.9 is no class 0.
+    """
+    require_columns(df, [label, prediction])
+    kinds = [type_of(df, c) for c in (label, prediction)]
+    y, p = known(df, label), known(df, prediction)
+    if kinds[0] != kinds[1]:
+        wide = df.select(F.coalesce(y, p).alias("c")).schema["c"].dataType
+        y, p = y.cast(wide), p.cast(wide)
+    return df.groupBy(y.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def observed_classes(df: DataFrame, label: str, prediction: str) -> list:
-    seen = df.select(F.explode(F.array(known(df, label), known(df, prediction))).alias("c")).where(
-        F.col("c").isNotNull()).distinct()
-    return sorted(r["c"] for r in collect_at_most(seen, MAX_CLASSES, f"classes of {label}"))
+    """The classes that occur as truth or prediction, sorted; missing values are no class."""
+    pairs = _pair_counts(df, label, prediction)
+    seen = pairs.select(F.explode(F.array("actual", "predicted")).alias("c")).where(F.col("c").isNotNull()).distinct()
+    return sorted(r["c"] for r in seen.collect())
+
+
+def _class_frame(spark, classes: Sequence, dtype: T.DataType, names: Sequence[str] | None = None) -> DataFrame:
+    """``(c, position, name)`` per class."""
+    names = [str(c) for c in classes] if names is None else list(names)
+    rows = [(i, float(c) if is_float(dtype) else int(c) if isinstance(dtype, T.IntegralType) else c, n)
+            for i, (c, n) in enumerate(zip(classes, names, strict=True))]
+    return spark.createDataFrame(rows, T.StructType().add("position", T.IntegerType()).add("c", dtype).add("name", T.StringType()))
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """Rows per pair of classes, zeros included: ``(actual, predicted, n)``.
+    """Rows per pair of classes: ``(actual, predicted, n)``.
 
-    ``classes`` come from the encoder; by default they are those that occur.
+    The pairs that occur, every row counted: a missing value or a class that
+    nobody named has lines of its own.  Named ``classes`` (as an encoder knows
+    them) add their empty pairs with 0, a grid the caller asked for.
     """
-    require_columns(df, [label, prediction])
-    classes = observed_classes(df, label, prediction) if classes is None else list(classes)
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    dtype = type_of(df, label).simpleString()
-    values = F.array(*[F.lit(c).cast(dtype) for c in classes])
-    grid = (df.sparkSession.range(1).select(F.explode(values).alias("actual"))
-            .select("actual", F.explode(values).alias("predicted")))
-    counts = df.groupBy(known(df, label).alias("actual"), known(df, prediction).cast(dtype).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return grid.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+    counts = _pair_counts(df, label, prediction)
+    if classes is None:
+        return counts
+    one = _class_frame(df.sparkSession, classes, counts.schema["actual"].dataType)
+    every = F.array_sort(F.collect_list("c"))
+    grid = (one.agg(every.alias("cs")).select(F.explode("cs").alias("actual"), "cs")
+            .select("actual", F.explode("cs").alias("predicted"), F.lit(0).cast("bigint").alias("n")))
+    return counts.unionByName(grid).groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
 
 
 def confusion_table(df: DataFrame, label: str, prediction: str, classes: Sequence | None = None) -> DataFrame:
-    """The same with one column per predicted class, in class order."""
+    """The same with one column per predicted class, in class order, and ``other`` for all other predictions."""
     classes = observed_classes(df, label, prediction) if classes is None else list(classes)
     cells = confusion_matrix(df, label, prediction, classes)
-    return cells.groupBy("actual").pivot("predicted", list(classes)).agg(F.sum("n")).orderBy("actual")
+    known_class = F.col("predicted").isin(list(classes)) if classes else F.lit(False)
+    none = F.lit(0).cast("bigint")
+    wide = [F.coalesce(F.sum(F.when(F.col("predicted") == F.lit(c), F.col("n"))), none).alias(str(c)) for c in classes]
+    other = F.coalesce(F.sum(F.when(~F.coalesce(known_class, F.lit(False)), F.col("n"))), none)
+    return cells.groupBy("actual").agg(*wide, other.alias("other")).orderBy("actual")
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -57,13 +79,16 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def class_scores(confusion: DataFrame) -> DataFrame:
-    """Per class ``(label, precision, recall, f1_score, support, chosen, hits)``; an empty denominator scores 0."""
+    """Per class ``(label, precision, recall, f1_score, support, chosen, hits)``; an empty denominator scores 0.
+
+    A row whose truth or prediction is missing counts for the class it names on the other side.
+    """
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     none = F.lit(0).cast("bigint")
     sides = F.array(
         F.struct(F.col("actual").alias("label"), F.col("n").alias("support"), none.alias("chosen"), hit.alias("hits")),
         F.struct(F.col("predicted").alias("label"), none.alias("support"), F.col("n").alias("chosen"), none.alias("hits")))
-    sums = confusion.select(F.inline(sides)).groupBy("label").agg(
+    sums = confusion.select(F.inline(sides)).where(F.col("label").isNotNull()).groupBy("label").agg(
         F.sum("support").alias("support"), F.sum("chosen").alias("chosen"), F.sum("hits").alias("hits"))
     return sums.select(
         "label", _ratio(F.col("hits"), F.col("chosen")).alias("precision"),
@@ -75,23 +100,26 @@ def classification_report(df: DataFrame, label: str, prediction: str, classes: S
                           class_names: Sequence[str] | None = None) -> DataFrame:
     """Scores per class, then the accuracy, macro average and weighted average rows.
 
-    ``(position, label, precision, recall, f1_score, support)``.
+    ``(position, label, precision, recall, f1_score, support)``.  The accuracy
+    line is over all rows: one whose truth or prediction is missing is a miss.
+    Named ``classes`` limit the other lines and the averages to them.
     """
     classes = observed_classes(df, label, prediction) if classes is None else list(classes)
-    names = [str(c) for c in classes] if class_names is None else list(class_names)
-    scores = class_scores(confusion_matrix(df, label, prediction, classes))
-    dtype = type_of(df, label).simpleString()
-    order = df.sparkSession.range(1).select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("position"), F.lit(c).cast(dtype).alias("c"), F.lit(n).alias("name"))
-        for i, (c, n) in enumerate(zip(classes, names))])))
-    named = scores.join(F.broadcast(order), F.col("label") == F.col("c"))
-    per_class = named.select("position", F.col("name").alias("label"), "precision", "recall", "f1_score", "support")
+    pairs = _pair_counts(df, label, prediction)
+    dtype = pairs.schema["actual"].dataType
+    order = _class_frame(df.sparkSession, classes, dtype, class_names)
+    none = F.lit(0).cast("bigint")
+    # a named class that does not occur scores 0 everywhere
+    scores = order.join(class_scores(pairs), F.col("c") == F.col("label"), "left").select(
+        "position", F.col("name").alias("label"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision", "recall", "f1_score")],
+        F.coalesce("support", none).alias("support"))
     total = F.sum("support")
 
     def weighted(c: str) -> Column:
         return F.sum(F.col(c) * F.col("support")) / F.nullif(total, F.lit(0).cast("bigint"))
 
-    summary = scores.agg(F.sum("hits").alias("hits"), total.alias("support"),
+    summary = scores.agg(total.alias("support"),
                          *[F.avg(c).alias(f"macro_{c}") for c in ("precision", "recall", "f1_score")],
                          *[weighted(c).alias(f"weighted_{c}") for c in ("precision", "recall", "f1_score")])
     k = len(classes)
@@ -102,10 +130,12 @@ def classification_report(df: DataFrame, label: str, prediction: str, classes: S
                         recall.alias("recall"), f1.alias("f1_score"), F.col("support"))
 
     lines = F.array(
-        line(k, "accuracy", empty, empty, F.col("hits") / F.nullif(F.col("support"), F.lit(0).cast("bigint"))),
         line(k + 1, "macro avg", *[F.col(f"macro_{c}") for c in ("precision", "recall", "f1_score")]),
         line(k + 2, "weighted avg", *[F.col(f"weighted_{c}") for c in ("precision", "recall", "f1_score")]))
-    return per_class.unionByName(summary.select(F.inline(lines)))
+    rows = pairs.agg(F.sum("n").alias("support"),
+                     F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)).alias("hits"))
+    right = F.array(line(k, "accuracy", empty, empty, F.col("hits") / F.nullif(F.col("support"), none)))
+    return scores.unionByName(rows.select(F.inline(right))).unionByName(summary.select(F.inline(lines)))
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -131,12 +161,11 @@ REGRESSION_SCORING = ("r2", "neg_root_mean_squared_error", "neg_mean_absolute_er
 class Scorer(Evaluator):
     """A named score where larger is better, as an evaluator for searches."""
 
-    def __init__(self, scoring: str = "accuracy", label: str = "label", prediction: str = "prediction",
-                 classes: Sequence | None = None) -> None:
+    def __init__(self, scoring: str = "accuracy", label: str = "label", prediction: str = "prediction") -> None:
         super().__init__()
         if scoring not in CLASSIFICATION_SCORING + REGRESSION_SCORING:
             raise ValueError(f"scoring must be one of {CLASSIFICATION_SCORING + REGRESSION_SCORING}")
-        self.scoring, self.label, self.prediction, self.classes = scoring, label, prediction, classes
+        self.scoring, self.label, self.prediction = scoring, label, prediction
 
     def isLargerBetter(self) -> bool:
         return True
@@ -146,13 +175,10 @@ class Scorer(Evaluator):
             value = accuracy(dataset, self.label, self.prediction).first()[0]
         elif self.scoring in CLASSIFICATION_SCORING:
             # averaged over the classes that occur as truth or prediction in this fold
-            rows = class_scores(confusion_matrix(dataset, self.label, self.prediction, self.classes)).collect()
-            seen = [r for r in rows if r["support"] or r["chosen"]]
-            if self.scoring == "f1_macro":
-                value = sum(r["f1_score"] for r in seen) / len(seen) if seen else None
-            else:
-                support = sum(r["support"] for r in seen)
-                value = sum(r["f1_score"] * r["support"] for r in seen) / support if support else None
+            scores = class_scores(_pair_counts(dataset, self.label, self.prediction))
+            support = F.nullif(F.sum("support"), F.lit(0).cast("bigint"))
+            value = scores.agg(F.avg("f1_score") if self.scoring == "f1_macro"
+                               else F.sum(F.col("f1_score") * F.col("support")) / support).first()[0]
         else:
             row = regression_metrics(dataset, self.label, self.prediction).first()
             value = {"r2": row["r2"], "neg_root_mean_squared_error": row["rmse"] and -row["rmse"],

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.nulls import known_double, ref, require_columns, type_of
 
 
+TERMS_AT_ONCE = 1_000_000     # of one output batch, about
+
+
 def _array(features: Column) -> Column:
     return features.cast("array<double>")
 
@@ -56,24 +61,35 @@ def perceptron_predict(df: DataFrame, features: str | Sequence[str], weights: Se
 def partial_sums(df: DataFrame, features: str, weights: Sequence[float], key_cols: Sequence[str]) -> DataFrame:
     """Every term and the running sum: ``(key…, pos, x, w, product, running_sum)``.
 
-    The running sum is computed inside the row, so no term is shuffled.
+    The running sums are made inside the rows, in Arrow batches, so no term is
+    shuffled; a missing feature makes its row's sums missing from there on.
     """
     require_columns(df, [features, *key_cols])
-    x = _array(ref(features))
-    w = F.array(*[F.lit(float(v)) for v in weights]).cast("array<double>")
-    size = F.least(F.size(x), F.lit(len(weights)))
-    none = F.array().cast("array<struct<x:double,w:double,product:double,running_sum:double>>")
-
-    def term(done: Column, pair: Column) -> Column:
-        product = pair["x"] * pair["w"]
-        before = F.coalesce(F.get(done, F.size(done) - 1)["running_sum"], F.lit(0.0))
-        return F.concat(done, F.array(F.struct(
-            pair["x"].alias("x"), pair["w"].alias("w"), product.alias("product"),
-            (before + product).alias("running_sum"))).cast(
-                "array<struct<x:double,w:double,product:double,running_sum:double>>"))
-
-    pairs = F.zip_with(F.slice(x, F.lit(1), size), F.slice(w, F.lit(1), size),
-                       lambda a, b: F.struct(a.alias("x"), b.alias("w")))
-    steps = F.aggregate(pairs, none, term)
-    return df.select(*[ref(c) for c in key_cols], F.posexplode(steps).alias("pos", "t")).select(
-        *[ref(c) for c in key_cols], "pos", "t.x", "t.w", "t.product", "t.running_sum")
+    fields = [*(df.schema[c] for c in key_cols), T.StructField("pos", T.IntegerType()),
+              *(T.StructField(n, T.DoubleType()) for n in ("x", "w", "product", "running_sum"))]
+    x = F.transform(_array(ref(features)), lambda v: F.when(~F.isnan(v), v))
+    factors, n_keys, names = np.array(weights, float), len(key_cols), [f.name for f in fields]
+
+    def doubles(values: np.ndarray) -> pa.Array:
+        return pa.array(values, mask=np.isnan(values))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(n_keys)
+            flat = vectors.values.to_numpy(zero_copy_only=False).astype(float)
+            begin = vectors.offsets.to_numpy()
+            size = np.where(vectors.is_null().to_numpy(zero_copy_only=False), 0, np.minimum(np.diff(begin), len(factors)))
+            piece = np.cumsum(size) // TERMS_AT_ONCE
+            for rows in np.split(np.arange(len(size)), np.flatnonzero(np.diff(piece)) + 1):
+                ends = np.cumsum(size[rows])
+                owner = np.repeat(rows, size[rows])
+                pos = np.arange(len(owner)) - np.repeat(ends - size[rows], size[rows])
+                values, w = flat[begin[owner] + pos], factors[pos]
+                product = values * w
+                running = [np.cumsum(own) for own in np.split(product, ends[:-1])]
+                keys = [batch.column(i).take(pa.array(owner)) for i in range(n_keys)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, pa.array(pos, pa.int32()), doubles(values), pa.array(w), doubles(product),
+                     doubles(np.concatenate(running) if running else product)], names=names)
+
+    return df.select(*[ref(c) for c in key_cols], x.alias("__x")).mapInArrow(run, T.StructType(fields))

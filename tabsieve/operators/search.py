@@ -12,7 +12,7 @@ import itertools
 import math
 import random
 import statistics
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
@@ -51,15 +51,26 @@ def random_candidates(estimator: Estimator, grid: Mapping | Sequence[Mapping], n
 
 def cross_val_scores(estimator: Estimator, data: DataFrame, fold_col: str, k: int, evaluator: Evaluator,
                      param_maps: Sequence[ParamMap] = ({},), parallelism: int = 4) -> list[list[float]]:
-    """Score of every candidate on every fold, each trained on the other folds."""
-    def score(job: tuple[ParamMap, int]) -> float:
-        params, fold = job
-        model = estimator.fit(data.where(ref(fold_col) != fold), params)
-        return evaluator.evaluate(model.transform(data.where(ref(fold_col) == fold)))
+    """Score of every candidate on every fold, each trained on the other folds.
 
-    jobs = [(params, fold) for params in param_maps for fold in range(k)]
+    An estimator with a method ``fit_folds(data, fold_col, k)`` fits all folds
+    of a candidate at once.
+    """
+    def models(params: ParamMap) -> list[Callable[[], Model]]:
+        if hasattr(estimator, "fit_folds"):
+            fitted = estimator.copy(params).fit_folds(data, fold_col, k)
+            return [lambda model=model: model for model in fitted]
+        return [lambda fold=fold: estimator.fit(data.where(ref(fold_col) != fold), params) for fold in range(k)]
+
+    def score(job: tuple[Callable[[], Model], int]) -> float:
+        fit, fold = job
+        return evaluator.evaluate(fit().transform(data.where(ref(fold_col) == fold)))
+
+    in_threads = inheritable_thread_target(data.sparkSession)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(inheritable_thread_target(data.sparkSession)(score), jobs))
+        fits = list(pool.map(in_threads(models), param_maps))
+        jobs = [(fit, fold) for own in fits for fold, fit in enumerate(own)]
+        scores = list(pool.map(in_threads(score), jobs))
     return [scores[i * k:(i + 1) * k] for i in range(len(param_maps))]
 
 

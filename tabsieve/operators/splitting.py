@@ -5,8 +5,8 @@ smallest digests form the test side (or the first fold, and so on).  Sorting a
 class would put it in one task; instead the digest at each wanted rank is looked
 up.  Digests are spread evenly, so the one at rank r of n lies close to r/n of
 the way: rows outside a narrow window around that place are only counted, and
-the few inside it are ordered.  What is left is a comparison with a handful of
-constants, a map-only projection that gives a row the same side on every run.
+the few inside it are ordered.  What is left is a comparison with the cuts of the
+class, a table of one row a class that Spark broadcasts while it is small, a map-only projection that gives a row the same side on every run.
 """
 
 from __future__ import annotations
@@ -14,17 +14,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.bounded import collect_at_most
+from ..functions.bounded import local_table
 from ..functions.hashing import key_digest
 from ..functions.nulls import known, ref, require_columns, type_of
 
 WINDOW_SIGMAS = 6.0         # half width of a window, in standard deviations of the rank
 DIGEST_DIGITS = 13          # 52 bits of a digest, as many as a double holds
-MAX_CLASSES = 10_000
 
 Sizes = Callable[[dict[Any, int]], dict[Any, list[int]]]
 
@@ -52,19 +52,18 @@ class DigestCuts:
             return df.withColumn(name, number(lambda i: F.lit(self.cuts[None][i])))
         schema = T.StructType([T.StructField("__class", self.class_type),
                                T.StructField("__cuts", T.ArrayType(T.StringType()))])
-        table = F.broadcast(df.sparkSession.createDataFrame(list(self.cuts.items()), schema))
+        table = local_table(df.sparkSession, list(self.cuts.items()), schema)
         return (df.join(table, known(df, self.stratify).eqNullSafe(F.col("__class")), "left")
                 .withColumn(name, F.coalesce(number(lambda i: F.get("__cuts", F.lit(i))), F.lit(0)))
                 .drop("__class", "__cuts"))
 
 
 def class_sizes(df: DataFrame, stratify: str | None) -> dict[Any, int]:
+    """Rows per class; like the class list of any classifier it is held by the driver, one entry a class."""
     if stratify is None:
         return {None: df.count()}
-    rows = collect_at_most(
-        df.groupBy(known(df, stratify).alias("c")).agg(F.count(F.lit(1)).alias("n")),
-        MAX_CLASSES, f"classes of {stratify}")
-    return {r["c"]: r["n"] for r in rows}
+    counts = df.groupBy(known(df, stratify).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["c"]: r["n"] for r in counts.toLocalIterator()}
 
 
 def _as_digest(fraction: float) -> str:
@@ -110,13 +109,14 @@ def find_cuts(df: DataFrame, key_cols: Sequence[str], stratify: str | None, seed
 
     digests = df.select(stratum.alias("__c"), key_digest(key_cols, seed).alias("__digest"))
     while missing:
-        edges = F.broadcast(spark.createDataFrame(
-            [(label(c), rank_windows(counts[c], list(r.values()), slack)) for c, r in missing.items()],
-            T.StructType([T.StructField("__class", class_type), T.StructField("__edges", T.ArrayType(T.StringType()))])))
-        ranks = F.broadcast(spark.createDataFrame(
+        edges = local_table(
+            spark, [(label(c), rank_windows(counts[c], list(r.values()), slack)) for c, r in missing.items()],
+            T.StructType([T.StructField("__class", class_type), T.StructField("__edges", T.ArrayType(T.StringType()))]))
+        ranks = local_table(
+            spark,
             [(label(c), i, rank) for c, r in missing.items() for i, rank in r.items()],
             T.StructType([T.StructField("__of", class_type), T.StructField("__cut", T.IntegerType()),
-                          T.StructField("__rank", T.LongType())])))
+                          T.StructField("__rank", T.LongType())]))
         # regions of the digest range: even ones lie between windows, odd ones are windows
         most = max(2 * len(r) for r in missing.values())
         region = sum((F.coalesce((F.get("__edges", F.lit(i)) <= F.col("__digest")).cast("int"), F.lit(0))
@@ -179,19 +179,26 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], stratify: str | Non
     return parted.withColumn(split_col, side).drop("__part")
 
 
-def fold_edges(n: int, k: int) -> list[int]:
-    """Cumulative sizes of the first k-1 of k folds; the first ``n % k`` folds hold one more."""
-    return [i * (n // k) + min(i, n % k) for i in range(1, k)]
+def fold_edges(n: int, k: int, before: int = 0) -> list[int]:
+    """Cumulative sizes of the first k-1 of k folds.
+
+    ``n % k`` folds hold one more: those that follow, in a circle, on the last
+    one served by the ``before`` rows of the classes that came earlier.
+    """
+    sizes = [n // k + ((fold - before) % k < n % k) for fold in range(k)]
+    return list(accumulate(sizes))[:-1]
 
 
 def assign_folds(df: DataFrame, key_cols: Sequence[str], k: int = 5, stratify: str | None = None,
                  seed: int = 42, fold_col: str = "fold") -> DataFrame:
-    """Add a fold number 0…k-1; the folds of a class differ by at most one row."""
+    """Add a fold number 0…k-1; the folds differ by at most one row, within each class and in all."""
     if k < 2:
         raise ValueError("k must be at least 2")
 
     def sizes(counts: dict[Any, int]) -> dict[Any, list[int]]:
-        return {c: fold_edges(n, k) for c, n in counts.items()}
+        ordered = sorted(counts, key=_class_order)
+        before = accumulate((counts[c] for c in ordered), initial=0)
+        return {c: fold_edges(counts[c], k, total) for c, total in zip(ordered, before)}
 
     return find_cuts(df, key_cols, stratify, seed, sizes).part(df, fold_col)
 

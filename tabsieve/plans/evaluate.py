@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..operators import metrics
 from ..operators.features import LabelEncoder
-from ..operators.search import (N_ITER, SearchResult, candidates, cross_val_scores, random_candidates, search,
-                                summarize)
+from ..operators.search import N_ITER, SearchResult, candidates, random_candidates, search
 from ..operators.splitting import assign_folds
 
 FOLD_COL = "__fold"
@@ -60,9 +59,8 @@ def _search(algo: Estimator, param_grid: Mapping | Sequence[Mapping] | None, fol
     if param_grid is not None and search_type not in ("grid", "random"):
         raise ValueError("search_type must be 'grid' or 'random'")
     if param_grid is None:
-        scores = cross_val_scores(algo, folded, FOLD_COL, cv, scorer, parallelism=parallelism)
         params = {p.name: v for p, v in algo.extractParamMap().items()}
-        return SearchResult(algo.fit(folded), params, 0, summarize(folded.sparkSession, [{}], scores), scores)
+        return replace(search(algo, [{}], folded, FOLD_COL, cv, scorer, parallelism), best_params=params)
     maps = (candidates(algo, param_grid) if search_type == "grid"
             else random_candidates(algo, param_grid, n_iter, seed))
     return search(algo, maps, folded, FOLD_COL, cv, scorer, parallelism)
@@ -78,16 +76,15 @@ def eval_classification(algo: Estimator, param_grid: Mapping | Sequence[Mapping]
     estimator as it is and reports its cross-validation scores.
     """
     encoder = LabelEncoder(target, label_col).fit(train)
-    codes = list(range(len(encoder.classes)))
     algo = _with_columns(algo, label_col, key_cols)
     prediction = _prediction_col(algo)
     folded = assign_folds(encoder.transform(train), key_cols, cv, stratify=target, seed=seed, fold_col=FOLD_COL)
-    found = _search(algo, param_grid, folded, cv, metrics.Scorer(scoring, label_col, prediction, codes),
+    found = _search(algo, param_grid, folded, cv, metrics.Scorer(scoring, label_col, prediction),
                     search_type, n_iter, seed, parallelism)
     predictions = found.best_model.transform(encoder.transform(test))
-    confusion = metrics.confusion_matrix(predictions, label_col, prediction, codes)
-    hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
-    accuracy = confusion.agg(hits / F.nullif(F.sum("n"), F.lit(0).cast("bigint"))).first()[0]
+    codes = list(range(len(encoder.classes)))
+    confusion = metrics.confusion_matrix(predictions, label_col, prediction)
+    accuracy = metrics.accuracy(predictions, label_col, prediction).first()[0]
     report = metrics.classification_report(predictions, label_col, prediction, codes, encoder.classes)
     return ClassificationResult(found.best_params, accuracy, report, confusion, found.cv_results,
                                 found.best_model, encoder.classes, predictions)

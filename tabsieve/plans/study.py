@@ -13,7 +13,7 @@ from ..operators.correlation import collinear_pairs, target_correlations
 from ..operators.distributions import target_counts
 from ..operators.duplicates import count_duplicates, require_unique_key
 from ..operators.features import FeaturePreprocessor, FeaturePreprocessorModel, LabelEncoder, LabelEncoderModel
-from ..operators.profile import empty_columns, profile
+from ..operators.profile import empty_columns, kind_of, profile
 from ..operators.splitting import split_sizes, train_test_split
 from .evaluate import ClassificationResult, eval_classification
 
@@ -46,6 +46,8 @@ def study(df: DataFrame, target: str, key_cols: Sequence[str], test_size: float
     split = train_test_split(clean, key_cols, target, test_size, seed)
     train, test = (split.where(f"split = '{side}'").drop("split") for side in ("train", "test"))
     numeric, categorical = identify_column_types(train.drop(target), key_cols)
+    # a point in time is no category: one column a moment would follow
+    categorical = [c for c in categorical if kind_of(train.schema[c].dataType) != "temporal"]
     features = FeaturePreprocessor(numeric, categorical, key_cols).fit(train)
     encoder = LabelEncoder(target, "__target").fit(train)
     coded = encoder.transform(train)

@@ -94,9 +94,9 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return texts.select([_typed(ref(c), types[c]).alias(c) if c in types else ref(c) for c in texts.columns])
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", na_token: str = "") -> str:
+def write_csv(df: DataFrame, path: str, sep: str = ",", na_token: str = "", encoding: str = "UTF-8") -> str:
     """Write with a header line, doubling quotes inside quoted values."""
     (df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"')
-     .option("escape", '"').option("nullValue", na_token).option("emptyValue", '""')
+     .option("escape", '"').option("encoding", encoding).option("nullValue", na_token).option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import digest_int, digest_unit, key_digest
 from ..functions.nulls import ref, require_columns
@@ -26,14 +26,20 @@ def random_terms(df: DataFrame, key_cols: Sequence[str], size: int, seed: int =
                        digest_unit(key_digest(keys, seed, "w")).alias("w"))
 
 
-def random_vectors(spark: SparkSession, n: int, size: int, seed: int = 42) -> DataFrame:
-    """``n`` samples ``(id, x array<int>, w array<double>)`` of the given size."""
+def keyed_vectors(df: DataFrame, key_cols: Sequence[str], size: int, seed: int = 42) -> DataFrame:
+    """One sample ``(key…, x array<int>, w array<double>)`` of the given size per row of ``df``."""
+    require_columns(df, key_cols)
     positions = F.sequence(F.lit(0), F.lit(size - 1))
 
-    def digest(pos, salt: str):
-        return F.md5(F.concat_ws(":", F.col("id").cast("string"), pos.cast("string"),
-                                 F.lit(str(seed)), F.lit(salt)).cast("binary"))
+    def drawn(salt: str) -> Callable[[Column], Column]:
+        return lambda p: key_digest([*key_cols, p], seed, salt)
+
+    x, w = drawn("x"), drawn("w")
+    return df.select(*[ref(c) for c in key_cols],
+                     F.transform(positions, lambda p: digest_int(x(p), MAX_INPUT + 1)).alias("x"),
+                     F.transform(positions, lambda p: digest_unit(w(p))).alias("w"))
 
-    return spark.range(n).select(
-        "id", F.transform(positions, lambda p: digest_int(digest(p, "x"), MAX_INPUT + 1)).alias("x"),
-        F.transform(positions, lambda p: digest_unit(digest(p, "w"))).alias("w"))
+
+def random_vectors(spark: SparkSession, n: int, size: int, seed: int = 42) -> DataFrame:
+    """``n`` samples ``(id, x array<int>, w array<double>)`` of the given size."""
+    return keyed_vectors(spark.range(n), ["id"], size, seed)

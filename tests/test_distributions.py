@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -46,6 +48,22 @@ def test_large_top_goes_through_slices(spark, monkeypatch):
     assert [n for _, n in got] == want.head(5).tolist()
 
 
+def test_all_values_are_ranked(spark, monkeypatch):
+    monkeypatch.setattr(H, "PIVOTS", 7)
+    df = spark.createDataFrame([(f"v{i % 41:02}", i % 9 == 0) for i in range(900)] + [(None, None)] * 25, "s string, b boolean")
+    got = H.value_counts(df, None).collect()
+    for column, label in (("s", lambda v: v), ("b", lambda v: str(v) if v is not None else None)):
+        counts = Counter(label(r[column]) for r in df.collect())
+        want = sorted(counts.items(), key=lambda x: (-x[1], x[0] is not None, x[0] or ""))
+        assert [(r["value"], r["n"]) for r in sorted(got, key=lambda r: r["rank"]) if r["column"] == column] == want
+    assert sorted(r["rank"] for r in got if r["column"] == "s") == list(range(1, 43))
+
+
+def test_a_range_wider_than_a_double(spark):
+    df = spark.createDataFrame([(-1e308,), (1e308,), (0.0,)], "v double")
+    assert sorted((r["bin"], r["n"]) for r in H.histograms(df, 4).collect()) == [(0, 1), (2, 1), (3, 1)]
+
+
 def test_top_is_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([("a",)], "s string")
     assert "WindowGroupLimit" in H.value_counts(df, 20)._jdf.queryExecution().toString()

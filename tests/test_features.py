@@ -52,6 +52,7 @@ def test_label_encoder(spark, train):
     model = X.LabelEncoder("s", "y").fit(known)
     assert model.classes == ["a", "b", "c"] and model.mapping == {"a": 0, "b": 1, "c": 2}
     assert {(r["s"], r["y"]) for r in model.transform(known).collect()} == {("a", 0), ("b", 1), ("c", 2)}
+    assert dict(X.LabelEncoder("s", "y", "tinyint").fit(known).transform(known).dtypes)["y"] == "tinyint"
     with pytest.raises(Exception):
         model.transform(known.withColumn("s", F.lit("new"))).collect()
     numbers = spark.createDataFrame([(10,), (9,), (2,)], "s int")

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tabsieve.operators import metrics as M, search as Q, splitting as S
+from tabsieve.operators import features as X, metrics as M, search as Q, splitting as S
 from tabsieve.operators.baseline import BaselineClassifier, BaselineClassifierModel
 from tabsieve.plans import evaluate as E
 from tabsieve.plans.study import study
@@ -31,7 +31,7 @@ def test_confusion_and_report(spark):
     cells = {(r["actual"], r["predicted"]): r["n"] for r in M.confusion_matrix(df, "y", "p", [0, 1, 2, 3]).collect()}
     assert len(cells) == 16 and cells[(0.0, 0.0)] == 2 and cells[(3.0, 3.0)] == 0 and cells[(2.0, 0.0)] == 1
     table = M.confusion_table(df, "y", "p", [0.0, 1.0, 2.0]).collect()
-    assert [tuple(r) for r in table] == [(0.0, 2, 1, 0), (1.0, 0, 1, 0), (2.0, 1, 0, 0)]
+    assert [tuple(r) for r in table] == [(0.0, 2, 1, 0, 0), (1.0, 0, 1, 0, 0), (2.0, 1, 0, 0, 0)]
     rows = {r["label"]: r for r in M.classification_report(df, "y", "p", [0, 1, 2], ["a", "b", "c"]).collect()}
     assert rows["a"]["precision"] == pytest.approx(2 / 3) and rows["a"]["recall"] == pytest.approx(2 / 3)
     assert rows["b"]["f1_score"] == pytest.approx(2 / 3) and rows["c"]["f1_score"] == 0.0 and rows["c"]["support"] == 1
@@ -55,13 +55,13 @@ def test_regression_metrics(spark):
 @pytest.mark.parametrize("scoring,want", [("accuracy", 0.6), ("f1_macro", 4 / 9), ("f1_weighted", (3 * 2 / 3 + 2 / 3) / 5)])
 def test_scorer(spark, scoring, want):
     df = scored(spark, [(0, 0), (0, 0), (0, 1), (1, 1), (2, 0)])
-    assert M.Scorer(scoring, "y", "p", [0, 1, 2]).evaluate(df) == pytest.approx(want)
+    assert M.Scorer(scoring, "y", "p").evaluate(df) == pytest.approx(want)
 
 
 def test_macro_counts_classes_only_predicted(spark):
     # class 1 is predicted but never true: it scores 0 and counts; class 2 does not occur at all
     df = scored(spark, [(0, 0), (0, 0), (0, 1)])
-    assert M.Scorer("f1_macro", "y", "p", [0, 1, 2]).evaluate(df) == pytest.approx(0.4)
+    assert M.Scorer("f1_macro", "y", "p").evaluate(df) == pytest.approx(0.4)
 
 
 def test_scorer_errors(spark):
@@ -147,3 +147,45 @@ def test_study(points):
     assert [r["feature1"] for r in found.collinear.collect()] == ["y"]
     assert found.target_correlations.first()["feature"] == "x" or found.target_correlations.count() == 2
     assert found.features.transform(found.test).count() == 60
+
+
+def test_nothing_drops_out_of_the_scores(spark):
+    df = spark.createDataFrame([(0, 0.9), (1, 1.7), (0, 0.0), (1, None), (2, 2.0)], "y int, p double")
+    cells = {(r["actual"], r["predicted"]): r["n"] for r in M.confusion_matrix(df, "y", "p").collect()}
+    assert cells == {(0.0, 0.9): 1, (1.0, 1.7): 1, (0.0, 0.0): 1, (1.0, None): 1, (2.0, 2.0): 1}
+    assert sum(r["n"] for r in M.confusion_matrix(df, "y", "p", [0, 1]).collect()) == 5
+    assert M.confusion_table(df, "y", "p", [0, 1]).where("actual = 1").first()["other"] == 2
+    report = {r["label"]: r for r in M.classification_report(df, "y", "p", [0, 1]).collect()}
+    assert report["accuracy"]["f1_score"] == M.accuracy(df, "y", "p").first()[0] == 0.4 and report["accuracy"]["support"] == 5
+    assert report["1"]["support"] == 2 and report["1"]["recall"] == 0.0
+
+
+def test_many_classes(spark):
+    """No step has a limit on the number of classes."""
+    n = 20_000
+    df = spark.range(2 * n).select("id", F.concat(F.lit("c"), F.col("id") % n).alias("kind"))
+    split = S.train_test_split(df, ["id"], "kind", 0.5)
+    assert {tuple(r) for r in split.groupBy("split").count().collect()} == {("train", n), ("test", n)}
+    coded = X.LabelEncoder("kind", "y").fit(df).transform(df)
+    assert coded.agg(F.max("y")).first()[0] == n - 1
+    model = BaselineClassifier("uniform", labelCol="y", keyCols=["id"]).fit(coded)
+    scored = model.transform(coded)
+    assert scored.agg(F.count_distinct("prediction")).first()[0] > n // 2
+    assert M.classification_report(scored, "y", "prediction").count() == n + 3
+    with pytest.raises(ValueError, match="fit"):
+        X.LabelEncoder("kind", "y", dtype="tinyint").fit(df)
+
+
+def test_all_folds_are_fitted_at_once(spark):
+    df = spark.range(60).select("id", (F.col("id") % 4 == 0).cast("int").alias("label"), (F.col("id") % 3).cast("int").alias("fold"))
+    estimator = BaselineClassifier("stratified", keyCols=["id"])
+    for fold, model in enumerate(estimator.fit_folds(df, "fold", 3)):
+        assert model.priors == estimator.fit(df.where(f"fold <> {fold}")).priors
+
+
+def test_search_with_rare_classes(spark):
+    df = spark.range(300).select("id", F.concat(F.lit("c"), F.col("id") % 100).alias("kind"))
+    folds = S.assign_folds(df, ["id"], 5, "kind").groupBy("fold").count().collect()
+    assert [r["count"] for r in folds] == [60] * 5
+    found = E.eval_classification(BaselineClassifier(), None, df, df, "kind", ["id"])
+    assert found.cv_results.first()["rank"] == 1

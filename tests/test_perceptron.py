@@ -35,6 +35,14 @@ def test_columns(spark):
         N.perceptron_predict(df, ["a", "b"], [1.0], threshold=0)
 
 
+def test_partial_sums_of_uneven_and_missing_vectors(spark, monkeypatch):
+    monkeypatch.setattr(N, "TERMS_AT_ONCE", 5)
+    rows = [(1, [1.0, 2.0, 3.0]), (2, None), (3, []), (4, [1.0, None, 2.0]), (5, [float("nan"), 1.0]), (6, [2.0] * 9)]
+    got = N.partial_sums(spark.createDataFrame(rows, "id int, x array<double>"), "x", [1.0, 10.0, 100.0, 0.5], ["id"]).collect()
+    sums = {i: [r["running_sum"] for r in sorted((r for r in got if r["id"] == i), key=lambda r: r["pos"])] for i in range(1, 7)}
+    assert sums == {1: [1.0, 21.0, 321.0], 2: [], 3: [], 4: [1.0, None, None], 5: [None, None], 6: [2.0, 22.0, 222.0, 223.0]}
+
+
 def test_generators(spark):
     out = G.random_vectors(spark, 500, 4, seed=7)
     rows = out.collect()

@@ -43,6 +43,21 @@ def test_missing_values(spark):
     assert exact_quantiles(df, {}, (0.5,)) == {}
 
 
+def test_between_infinities(spark):
+    df = spark.createDataFrame([(float("inf"),), (1.0,), (float("-inf"),)], "a double")
+    assert exact_quantiles(df, {"a": F.col("a")}, (0.25, 0.75))["a"] == [float("-inf"), float("inf")]
+    assert exact_quantiles(df.where("a <> 1"), {"a": F.col("a")}, (0.5,))["a"] == [None]
+    wide = spark.createDataFrame([(-1e308,), (1e308,)], "a double")
+    assert exact_quantiles(wide, {"a": F.col("a")}, (0.5,))["a"] == [0.0]
+
+
+def test_many_columns(spark):
+    df = spark.range(500).select(*[((F.col("id") * (i + 3)) % 499).cast("double").alias(f"v{i}") for i in range(60)])
+    got = exact_quantiles(df, {c: F.col(c) for c in df.columns}, (0.25, 0.5, 0.75))
+    want = df.toPandas().quantile([0.25, 0.5, 0.75])
+    assert all(got[c] == pytest.approx(want[c].tolist()) for c in df.columns)
+
+
 def test_infinities(spark):
     df = spark.createDataFrame([(float("inf"),), (1.0,), (2.0,), (float("-inf"),), (3.0,)], "a double")
     assert exact_quantiles(df, {"a": F.col("a")}, (0.0, 0.5, 1.0))["a"] == [float("-inf"), 2.0, float("inf")]

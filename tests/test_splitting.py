@@ -62,12 +62,22 @@ def test_folds(df):
     for (c,), n in counts(df, "c").items():
         sizes = [per.get((c, i), 0) for i in range(5)]
         assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
+    whole = counts(out, "fold").values()
+    assert max(whole) - min(whole) <= 1
     plain = counts(S.assign_folds(df, ["id"], 4), "fold")
     assert sorted(plain.values()) == [750, 750, 750, 751]
     with pytest.raises(ValueError):
         S.assign_folds(df, ["id"], 1)
 
 
+def test_keys_are_told_apart(spark):
+    """Parts that join to one text, and missing parts, are still different keys."""
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "2"), ("2", None), ("", "2"), ("1", "11"), ("11", "1"), ("x", "y")]
+    df = spark.createDataFrame([(a, b, i) for i in range(5) for a, b in rows], "a string, b string, i int")
+    for share, n in ((0.225, 9), (0.125, 5)):
+        assert S.train_test_split(df, ["a", "b", "i"], test_size=share).where("split = 'test'").count() == n
+
+
 def test_tiny_class_and_no_rows(spark, df):
     tiny = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, c string")
     assert S.assign_folds(tiny, ["id"], 5, "c").agg(F.max("fold")).first()[0] <= 4
