@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsieve.sources.scratch import scratch_dir
+
 #: UTF-8 bytes of text that are turned into Python objects at a time.
 SLICE_BYTES = 4_000_000
 
@@ -26,9 +26,8 @@ def quoted(name: str) -> Column:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; a local one where the session names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/') if shared else tempfile.mkdtemp(prefix='tabsieve-')}/llm-{uuid.uuid4().hex}"
+    """A new folder under spark.checkpoint.dir; a local session may do without, a cluster is refused then."""
+    return scratch_dir(spark, "llm")
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:

@@ -102,7 +102,7 @@ def simhash_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     fingerprint: 16 hex digits.  component_id: the smallest key among all documents that can be reached over links of
     at most `distance` bits, itself included (null keys count as none).  root: the component as a fingerprint.
     n_first: rows of the component that carry the key component_id.  Null and empty texts have fingerprint zero and
-    are linked like any other.  Repeated rows each stay.
+    are linked like any other.  Repeated rows each stay.  An input column of one of these names is replaced.
     """
     folder = scratch_folder(df.sparkSession)
     prints = written(fingerprints(df.select(quoted(key).alias("id"), quoted(text).alias("text")), "text", shingle, keep=["id"]), folder, "prints")
@@ -112,23 +112,31 @@ def simhash_components(df: DataFrame, key: str = "doc_id", text: str = "text", s
     rooted = distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     mapped = rooted.join(smallest, "root").select("fp", "root", "component_id")
-    if keep is not None and set(keep) <= {key}:
-        rows = prints.select(*[F.col("id").alias(c) for c in keep], "fp")
-        return _named(rows.join(mapped, "fp"), keep)
+    if keep == [key]:
+        return _named(prints.join(mapped, "fp"), {key: "id"})
     firsts = prints.join(mapped, "fp").where("id <=> component_id").groupBy("root").agg(F.count(F.lit(1)).alias("n_first"))
-    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in {"fingerprint", "component_id", "root", "n_first", "fp"}]
-    rows = fingerprints(df, text, shingle, keep=kept)
-    return _named(rows.join(mapped.join(firsts, "root", "left"), "fp"), kept, "n_first")
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in {"fingerprint", "component_id", "root", "n_first"}]
+    own = {c: "__body" if c == text else f"__c{i}" for i, c in enumerate(kept)}  # no name of the joined tables
+    body = [] if text in own else [quoted(text).alias("__body")]
+    rows = fingerprints(df.select(*(quoted(c).alias(n) for c, n in own.items()), *body), "__body", shingle, keep=list(own.values()))
+    joined = rows.join(mapped.join(firsts, "root", "left"), "fp")
+    return _named(joined, own, "n_first")
 
 
-def _named(rows: DataFrame, kept: list[str], *more: str) -> DataFrame:
-    return rows.select(*map(quoted, kept), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", *more)
+def _named(rows: DataFrame, kept: dict[str, str], *more: str) -> DataFrame:
+    """The columns to keep, by their names outside and in `rows`, and what was found."""
+    return rows.select(*(F.col(n).alias(c) for c, n in kept.items()), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", *more)
 
 
 def first_of_each_component(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One row of df for each component: that of the smallest key; of repeated rows with this key, one."""
-    found = simhash_components(df, key, text, shingle, distance)
-    first = found.where(quoted(key).eqNullSafe(F.col("component_id")))
+    """One row of df for each component: that of the smallest key; of repeated rows with this key, one.
+
+    All columns of df stay as they are, whatever their names.
+    """
+    names = [f"__d{i}" for i in range(len(df.columns))]
+    own_key, own_text = (names[df.columns.index(c)] for c in (key, text))
+    found = simhash_components(df.toDF(*names), own_key, own_text, shingle, distance)
+    first = found.where(F.col(own_key).eqNullSafe(F.col("component_id")))
     alone = first.where("n_first = 1")
     repeated = first.where("n_first > 1").dropDuplicates(["root"])
-    return alone.select(*map(quoted, df.columns)).union(repeated.select(*map(quoted, df.columns)))
+    return alone.select(*names).union(repeated.select(*names)).toDF(*df.columns)

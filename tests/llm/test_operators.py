@@ -248,3 +248,21 @@ def test_pipeline(spark):
         spans = pii.all_spans(pii.base_spans(docs[r.doc_id].text), pii.default_model().spans([docs[r.doc_id].text])[0])
         assert r.text == pii.masked(docs[r.doc_id].text, spans) and r.n_chars == len(r.text)
         assert r.decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest()
+
+
+CLASHING = ("fp", "root", "Component_ID", "leaks", "lang_pred", "score", "masked", "spans", "n_tokens", "__text", "id")
+
+
+def test_stages_leave_other_columns_alone(spark):
+    rows = [(i, t, None if i == 8 else "en", "x", len(t or ""), *(f"{c}{i}" for c in CLASHING)) for i, t in EDGE]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALLEST)
+        last = name == corpus_pipeline.STAGES[-1][0]
+        assert out.columns[:5] == docs.columns[:5] and (last or out.columns == docs.columns)
+        found = out.collect()
+        assert found and all(r[c] == f"{c}{r.doc_id}" for r in found for c in CLASHING if not (last and c == "n_tokens"))
+        assert stage(spark, docs.limit(0), SMALLEST).count() == 0
+    assert isinstance(found[0].n_tokens, int) and len({c.lower() for c in out.columns}) == len(out.columns)
+    named = simhash.simhash_components(docs)
+    assert all(r.fp == f"fp{r.doc_id}" and len(r.fingerprint) == 16 for r in named.collect())
