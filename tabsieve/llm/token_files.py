@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ BLOCK_TOKENS = 1 << 20
 #: Tokens that one file holds, about.
 FILE_TOKENS = 1 << 24
 REMEMBERED = 500_000
-STOP = re.compile(r"(?<=[^\W_])([.,])(?=[ \n])")
+STOP = re.compile(r"(?<=[^\W_])([^\w\s]+)(?=[ \n])")
 #: Characters that may join with their neighbours, or whose lower case does.
 BEYOND = re.compile("[^\x00-\u012f\u0131-\u02ff]")
 #: By control byte: the sizes of its four values.
@@ -69,6 +70,32 @@ def _load(path: str):
     return tokenizer, {}
 
 
+def _visible_bytes() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: a visible one for itself, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + n for n, b in enumerate(hidden)}
+
+
+VISIBLE = _visible_bytes()
+
+
+def encoded(tokenizer, pieces: list[str]) -> Iterator[list[int]]:
+    """The ids of each piece.
+
+    One of common small letters alone is not changed or parted by the steps before the model, so the model is asked
+    directly; the others go the whole way.
+    """
+    model = tokenizer.model.tokenize
+    plain = [w.isalpha() and w.islower() and not BEYOND.search(w) for w in pieces]
+    others = iter(tokenizer.encode_batch_fast([w for w, own in zip(pieces, plain) if not own], add_special_tokens=False))
+    for w, own in zip(pieces, plain):
+        if own:
+            yield [t.id for t in model(w if w.isascii() else w.encode().decode("latin-1").translate(VISIBLE))]
+        else:
+            yield next(others).ids
+
+
 def id_bytes(path: str) -> int:
     """Bytes that hold any id of the vocabulary: 2 or 4."""
     return 2 if _tokenizer(path)[0].get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
@@ -77,8 +104,8 @@ def id_bytes(path: str) -> int:
 def prepared(text: str) -> str:
     """The text with more of its pieces parted by blanks and in fewer spellings, which the tokenizer would do itself.
 
-    In texts of common letters, lower case is taken here, letter by letter, and a full stop or comma between a letter or
-    digit and white space, a piece of its own, is parted.
+    In texts of common letters, lower case is taken here, letter by letter, and the marks between a letter or digit and
+    white space, a piece of their own, are parted.
     """
     if not BEYOND.search(text):
         text = STOP.sub(r" \1", text.lower())
@@ -94,6 +121,7 @@ def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     remembered.
     """
     kind = f"<u{id_bytes(path)}"
+    code = np.dtype(kind).char
 
     def make():
         tokenizer, known = _tokenizer(path)
@@ -107,8 +135,8 @@ def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | Non
             new = [w for w in distinct if w not in known]
             for k in range(0, len(new), 20_000):
                 some = new[k : k + 20_000]
-                for word, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    known[word] = np.array(found.ids, kind).tobytes()
+                for word, ids in zip(some, encoded(tokenizer, some)):
+                    known[word] = array(code, ids).tobytes()
             own = [known[w] for w in distinct]
             size = np.fromiter(map(len, own), np.int64, len(own)) // int(kind[-1])
             first, counts = (np.cumsum(size) - size)[which], size[which]

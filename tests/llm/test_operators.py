@@ -266,3 +266,13 @@ def test_stages_leave_other_columns_alone(spark):
     assert isinstance(found[0].n_tokens, int) and len({c.lower() for c in out.columns}) == len(out.columns)
     named = simhash.simhash_components(docs)
     assert all(r.fp == f"fp{r.doc_id}" and len(r.fingerprint) == 16 for r in named.collect())
+
+
+def test_pieces_are_encoded_as_whole_texts_are():
+    tokenizer, rng = Tokenizer.from_file(WORDS), random.Random(8)
+    tokenizer.encode_special_tokens = True
+    some = [chr(c) for c in range(1, 0x300)] + list("aaaeeettt   \n\n,.!'&%sS_9") * 20 + ["ing", "ähnlich", "'s", "...", " \"x\" ", "漢", "e\u0301", "ª", "²"]
+    for _ in range(3_000):
+        text = "".join(rng.choice(some) for _ in range(rng.randint(1, 30)))
+        pieces = token_files.prepared(text).split(" ")
+        assert [i for ids in token_files.encoded(tokenizer, pieces) for i in ids] == tokenizer.encode(text, add_special_tokens=False).ids, text
