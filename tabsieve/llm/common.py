@@ -59,12 +59,12 @@ def slices(batch: pa.RecordBatch, index: int, most: int = SLICE_BYTES) -> Iterat
         yield batch.slice(start, end - start)
 
 
-def append_columns(df: DataFrame, text: str, fields: str | T.StructType, make: Callable[[], Callable[..., list]], keep: list[str] | None = None, beside: str | None = None) -> DataFrame:
+def append_columns(df: DataFrame, text: str, fields: str | T.StructType, make: Callable[[], Callable[..., list]], keep: list[str] | None = None, beside: str | None = None, most: int = SLICE_BYTES) -> DataFrame:
     """df with columns computed from the texts.
 
     make() runs once in each task and returns a function from a list of texts (None for null) to one list or Arrow
     array per new field; with `beside`, one of the columns that stay, it gets that column's values too.  keep names the
-    columns of df that stay (default all); one of a new field's name is replaced.
+    columns of df that stay (default all); one of a new field's name is replaced.  most: bytes of text it gets at a time.
     """
     schema = fields if isinstance(fields, T.StructType) else T.StructType.fromDDL(fields)
     new = {f.name.lower() for f in schema}
@@ -81,7 +81,7 @@ def append_columns(df: DataFrame, text: str, fields: str | T.StructType, make: C
         types = [pa_type(f.dataType) for f in schema]
         work = make()
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, most):
                 made = work(*(part.column(i).to_pylist() for i in inputs))
                 arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, kind) for x, kind in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *arrays], names=names)

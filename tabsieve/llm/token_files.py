@@ -30,7 +30,10 @@ BLOCK_TOKENS = 1 << 20
 #: Tokens that one file holds, about.
 FILE_TOKENS = 1 << 24
 REMEMBERED = 500_000
-STOP = re.compile(r"(?<=[^\W_])([^\w\s]+)(?=[ \n])")
+#: UTF-8 bytes of text tokenized at a time: a word is looked up once in each slice.
+TEXT_BYTES = 8_000_000
+#: Marks behind a letter or digit and before white space; begins with a mark, so a search skips from mark to mark.
+STOP = re.compile(r"[^\w\s](?<=[^\W_].)[^\w\s]*(?=[ \n])")
 #: Characters that may join with their neighbours, or whose lower case does.
 BEYOND = re.compile("[^\x00-\u012f\u0131-\u02ff]")
 #: By control byte: the sizes of its four values.
@@ -41,7 +44,8 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values."""
     values = np.ascontiguousarray(values, "<u4")
     size = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= size[:, None]]
+    longest = int(size.max(initial=0)) + 1
+    data = values.view(np.uint8).reshape(-1, 4)[:, :longest][np.arange(longest) <= size[:, None]]
     four = np.concatenate((size, np.zeros(-len(size) % 4, np.uint8))).reshape(-1, 4)
     return (four << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes(), data.tobytes()
 
@@ -108,7 +112,7 @@ def prepared(text: str) -> str:
     white space, a piece of their own, are parted.
     """
     if not BEYOND.search(text):
-        text = STOP.sub(r" \1", text.lower())
+        text = STOP.sub(r" \g<0>", text.lower())
     return text.replace("\n", " ")
 
 
@@ -153,7 +157,7 @@ def tokenize(df: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
         return work
 
-    return append_columns(df, text, "ids binary, tally binary", make, keep)
+    return append_columns(df, text, "ids binary, tally binary", make, keep, most=TEXT_BYTES)
 
 
 def count_ids(tokens: DataFrame) -> DataFrame:
