@@ -5,7 +5,7 @@ identity numbers and names behind a cue.  It knows a word by its shape (or as on
 two neighbours to either side; weights and transitions are trained by maximum likelihood on the small table of
 pii_examples.  Texts are decoded by Viterbi, all sequences of a batch side by side.
 
-A sequence is a line; a line of more than LONGEST words is cut, and a span of the model does not cross a cut.
+A sequence is a line; one of more than LONGEST words is walked in pieces, whose best chain is that of the whole line.
 """
 
 from __future__ import annotations
@@ -140,7 +140,11 @@ class Crf:
         return total
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The best label of each word; line ends part the sequences."""
+        """The best label of each word; line ends part the sequences.
+
+        A later piece of a long line is walked once from each label that the piece before may end with; the best chain
+        of pieces is then that of the whole line.
+        """
         labels = np.zeros(len(ids), np.uint8)
         edges = np.flatnonzero(ids == 0)
         begin = np.concatenate(([0], edges + 1))
@@ -150,28 +154,51 @@ class Crf:
         begin, size = np.repeat(begin, pieces) + nth * LONGEST, np.minimum(LONGEST, np.repeat(size, pieces) - nth * LONGEST)
         if not len(begin):
             return labels
-        order = np.argsort(-size, kind="stable")
-        begin, size = begin[order], size[order]
+        n_labels = len(LABELS)
+        walks = np.where(nth > 0, n_labels, 1)
+        head = np.cumsum(walks) - walks  # the first walk of each piece
+        entry = np.arange(int(walks.sum())) - np.repeat(head, walks)
+        piece = np.repeat(np.arange(len(begin)), walks)
+        order = np.argsort(-size[piece], kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        first, length = begin[piece][order], size[piece][order]
         scores = self.scores(ids)
-        best = scores[begin] + self.start
-        active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
-        back = [np.zeros((0, len(LABELS)), np.uint8)]
-        for t in range(1, int(size[0])):
+        best = scores[first] + np.where((nth[piece] > 0)[order, None], self.moves[entry[order]], self.start)
+        active = np.searchsorted(-length, -np.arange(int(length[0])), side="left")
+        back = [np.zeros((0, n_labels), np.uint8)]
+        for t in range(1, int(length[0])):
             n = active[t]
-            last, top = np.zeros((n, len(LABELS)), np.uint8), best[:n, :1] + self.moves[0]
-            for k in range(1, len(LABELS)):
+            last, top = np.zeros((n, n_labels), np.uint8), best[:n, :1] + self.moves[0]
+            for k in range(1, n_labels):
                 other = best[:n, k : k + 1] + self.moves[k]
                 better = other > top
                 last[better] = k
                 np.maximum(top, other, out=top)
             back.append(last)
-            best[:n] = top + scores[begin[:n] + t]
-        state = best.argmax(axis=1)
-        for t in range(int(size[0]) - 1, -1, -1):
+            best[:n] = top + scores[first[:n] + t]
+        final = best.argmax(axis=1)
+        chosen, state = place[head], final[place[head]].astype(np.int64)
+        for i in np.flatnonzero((nth == 0) & (np.append(nth[1:], 0) == 1)).tolist():
+            row, came, j = best[chosen[i]].astype(np.float64), [], i + 1
+            while j < len(nth) and nth[j]:
+                ways = row[:, None] + best[place[head[j] : head[j] + n_labels]]
+                came.append(ways.argmax(axis=0))
+                row, j = ways.max(axis=0), j + 1
+            label = int(row.argmax())
+            for j in range(j - 1, i, -1):
+                state[j], label = label, int(came[j - i - 1][label])
+                chosen[j] = place[head[j] + label]
+            state[i] = label
+        by_size = np.argsort(chosen)
+        chosen, state = chosen[by_size], state[by_size]
+        first, length = first[chosen], length[chosen]
+        active = np.searchsorted(-length, -np.arange(int(length[0])), side="left")
+        for t in range(int(length[0]) - 1, -1, -1):
             n = active[t]
-            labels[begin[:n] + t] = state[:n]
+            labels[first[:n] + t] = state[:n]
             if t:
-                state[:n] = back[t][np.arange(n), state[:n]]
+                state[:n] = back[t][chosen[:n], state[:n]]
         return labels
 
     def spans(self, texts: list[str | None]) -> list[list[tuple[str, int, int]]]:

@@ -129,6 +129,20 @@ def test_viterbi_finds_the_best_of_all_paths():
     assert tuple(model.decode(ids).tolist()) == np.unravel_index(grid.argmax(), grid.shape)
 
 
+def test_a_long_line_is_decoded_as_a_whole(monkeypatch):
+    model, rng = pii.default_model(), np.random.default_rng(1)
+    ids = rng.integers(1, len(pii._shapes()), 400)
+    ids[[50, 51, 300]] = 0
+    whole = model.decode(ids)
+    for longest in (1, 7, 64):
+        monkeypatch.setattr(pii, "LONGEST", longest)
+        assert model.decode(ids).tolist() == whole.tolist()
+    monkeypatch.undo()
+    for words in range(500, 516):
+        text = "word " * words + "call (212) 555-0199 or mail john at example dot com now"
+        assert [text[s:e] for _, s, e in model.spans([text])[0]] == ["(212) 555-0199", "john at example dot com"]
+
+
 def test_cross_parsing_counts_greedy_longest_matches():
     samples = {"x": ["abracadabra cad"], "y": ["the cat sat on the mat"]}
     parser = language.CrossParser(samples)
