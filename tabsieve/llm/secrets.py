@@ -5,8 +5,9 @@ endpoint, say little alone; they are linked to each other within a scope, a stre
 where their complement stands: an identifier near a secret, a secret near an identifier, an endpoint near both.  The
 base matches take part as identifiers and secrets.
 
-The link is an interval join of each candidate with its complements, done as a range window over the candidates of a
-document: it costs a sort, and no pair is listed.
+The link is an interval join of each candidate with its complements: the gap between two is from the end of the earlier
+to the start of the later, so the nearest are the largest end of those that start before and the smallest start of those
+behind.  Both are windows over the candidates of a document: it costs a sort, and no pair is listed.
 """
 
 from __future__ import annotations
@@ -63,9 +64,16 @@ def secret_spans(df: DataFrame, key: str = "doc_id", text: str = "text", scope:
     placed = placed.where(long_enough).select("key", "content", "kind", "start", "end", F.col("kind").isin(*BASE).alias("base"))
     role = F.coalesce(*(F.when(F.col("kind") == kind, F.lit(role)) for kind, role in ROLE.items()))
     of_text = Window.partitionBy("key", "content").orderBy("start")
-    near, before, after = of_text.rangeBetween(-scope, scope), of_text.rangeBetween(Window.unboundedPreceding, 0), of_text.rangeBetween(0, Window.unboundedFollowing)
+    before, after = of_text.rangeBetween(Window.unboundedPreceding, 0), of_text.rangeBetween(0, Window.unboundedFollowing)
     seen = placed.withColumn("role", role)
-    seen = seen.select("*", *(F.max(F.col("role") == r).over(near).alias(f"near_{r}") for r in ("identifier", "secret")),
+
+    def near(r: str) -> Column:
+        """Whether one of role r ends at most `scope` before the start, or starts at most `scope` behind the end."""
+        own = F.col("role") == r
+        ahead, behind = F.col("start") - F.max(F.when(own, F.col("end"))).over(before), F.min(F.when(own, F.col("start"))).over(after) - F.col("end")
+        return F.coalesce(F.least(ahead, behind) <= scope, F.lit(False))
+
+    seen = seen.select("*", *(near(r).alias(f"near_{r}") for r in ("identifier", "secret")),
                        F.max(F.when(F.col("base"), F.col("end"))).over(before).alias("base_end"), F.min(F.when(F.col("base"), F.col("start"))).over(after).alias("base_start"))
     linked = F.when(F.col("role") == "identifier", F.col("near_secret")).when(F.col("role") == "secret", F.col("near_identifier")).otherwise(F.col("near_identifier") & F.col("near_secret"))
     apart = (F.coalesce("base_end", F.lit(-1)) <= F.col("start")) & (F.col("end") <= F.coalesce("base_start", F.col("end")))

@@ -230,6 +230,16 @@ def test_secret_spans_and_links(spark):
     assert rows[3].spans == base and rows[3].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
 
 
+def test_the_scope_is_the_gap_between_candidates(spark):
+    value, hexes = "k7Q" * 200, "0f" * 150
+    texts = [f"auth={value} client_id=abc", f"token={value} client_id=abc", f"client_id=abc {hexes} user=bob1", *(f"client_id=abc{' ' * gap}auth={value}" for gap in (200, 201))]
+    rows = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert rows[0] == "secret:0:605,identifier:606:619"
+    assert rows[1] == "assign:0:606,identifier:607:620"
+    assert rows[2] == "identifier:0:13,hex:14:314,identifier:315:324"
+    assert (rows[3], rows[4]) == ("identifier:0:13,secret:213:818", "")
+
+
 def test_token_files_round_trip(spark, edge):
     folder = scratch_folder(spark)
     token_files.write_token_files(edge, WORDS, folder)
