@@ -172,6 +172,11 @@ def path_scores(own: list[Block]) -> dict[tuple[str, ...], float]:
     return {path: float(fused[members].mean()) for path, members in paths.items()}
 
 
+def _within_body(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path without html and body, whose tags may be left out; () is the body itself."""
+    return tuple(n for n in path if n not in ("html", "body"))
+
+
 def main_text(page: str | None, share: float = 0.1) -> str:
     """The content of a page: blocks whose path scores at least `share` of the best, and what belongs to them."""
     own = [b for b in blocks(page) if not b.aside] if page else []
@@ -186,10 +191,11 @@ def main_text(page: str | None, share: float = 0.1) -> str:
     scores = path_scores(own)
     best = max(scores.values())
     chosen = {path for path, s in scores.items() if best > 0 and s >= share * best}
-    containers = {path[:-1] for path in chosen if path and path[-1] not in ("body", "html")}
+    containers = {_within_body(path)[:-1] for path in chosen}
     kept = []
     for b in own:
-        beside = any(b.path[: len(c)] == c and (len(c) > 2 or b.path[:-1] == c) for c in containers)
+        path = _within_body(b.path)
+        beside = any(path[: len(c)] == c for c in containers)
         if b.path in chosen or (beside and 2 * b.own >= len(b.text)):
             kept.append(b.text)
     return "\n".join(kept)

@@ -191,6 +191,17 @@ def test_main_text_of_pages():
     assert [html_extraction.main_text(x) for x in (None, "", "<p", "<div>" * 50)] == [""] * 4
 
 
+def test_html_and_body_tags_make_no_difference():
+    long = "<p>" + "A long paragraph, of many words; it says what it says. " * 12 + "</p>"
+    inner = long * 2 + "<ul>" + "<li>short item</li>" * 12 + "</ul>" + "<table><tr><td>cell</td></tr></table>" + long
+    for start, end in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>"), ("", "")):
+        page = start + inner + end
+        texts = {html_extraction.main_text(x) for x in (page, f"<body>{page}</body>", f"<html><body>{page}</body></html>", f"<html>{page}</html>")}
+        assert len(texts) == 1
+        text = texts.pop()
+        assert text.count("short item") == 12 and "cell" in text
+
+
 def test_quality_statistics_by_brute_force():
     rng = random.Random(6)
     for _ in range(300):
