@@ -27,8 +27,9 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·¿¡]")
 
 # Names of elements and of what pages call their parts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math object select option button canvas audio video map".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img td th".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg annotation annotation-xml select option button".split())
+MATH = frozenset("math semantics annotation annotation-xml mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot munder mover munderover mmultiscripts mprescripts mtable mtr mtd mlabeledtr mstyle mpadded mphantom merror menclose mfenced maction none".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img td th object param canvas audio video source track map area".split()) | MATH
 ASIDE = frozenset("nav footer aside form menu dialog head fieldset".split())
 ARTICLE = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -137,7 +138,7 @@ def blocks(page: str) -> list[Block]:
             apart = outside or _named_aside(name, m["rest"], article > 0)
             if apart and not outside:
                 now = None
-            if name in ("td", "th"):
+            if name in ("td", "th", "mtd"):
                 add(" ")
             stack.append((name, apart))
             links += name == "a"

@@ -202,6 +202,12 @@ def test_html_and_body_tags_make_no_difference():
         assert text.count("short item") == 12 and "cell" in text
 
 
+def test_formulas_and_fallback_text_are_content():
+    formula = '<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow><annotation encoding="TeX">E=mc^2</annotation></semantics></math>'
+    page = f"<article><p>Energy is {formula}, as known.</p><p>See <object data=x><param name=a>a drawing</object> and <video controls><source src=y>a film</video>, <canvas>a chart</canvas> here.</p><script>var x = 1</script><p>The end.</p></article>"
+    assert html_extraction.main_text(page) == "Energy is E=mc2, as known.\nSee a drawing and a film, a chart here.\nThe end."
+
+
 def test_quality_statistics_by_brute_force():
     rng = random.Random(6)
     for _ in range(300):
