@@ -5,12 +5,14 @@ A text is parsed greedily into such longest matches; the language whose sample n
 are normalised to bits per character, phrases * log2(sample length) / text length, so samples may differ in length.
 
 All languages lie in one table of transitions, and all texts of a batch are walked side by side, one character a step.
-For that, texts are cut after every SEGMENT characters; a cut ends a phrase.
+Every letter of the samples has a symbol of its own: the most frequent ones a column of the table, the others sorted
+pairs of state and symbol.  Texts are cut after every SEGMENT characters; a cut ends a phrase.
 """
 
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -22,10 +24,9 @@ from tabsieve.llm.common import append_columns, quoted, resident
 
 UNKNOWN = "und"
 SEGMENT = 512
-SYMBOLS = 64
-GAP, BREAK = 0, 1  # between words; between sampled texts
-OWN = 46  # letters with a symbol of their own; the others share the rest
-END = 255  # marks the ends of texts within a batch
+GAP, BREAK, UNSEEN = 0, 1, 2  # between words; between sampled texts; letters of no sample
+COLUMNS = 64  # symbols below have a column of the table, all but the last of them
+END = -1  # marks the ends of texts within a batch
 
 
 @lru_cache(maxsize=1)
@@ -87,20 +88,25 @@ class CrossParser:
             for x in texts:
                 values, counts = np.unique(lower[x[letter[x]]], return_counts=True)
                 seen.update(dict(zip(values.tolist(), counts.tolist())))
-        own = sorted(sorted(seen), key=lambda c: -seen[c])[:OWN]
-        by_letter = 2 + OWN + np.arange(0x110000) % (SYMBOLS - 2 - OWN)
-        by_letter[own] = 2 + np.arange(len(own))
-        self.symbol = np.where(letter, by_letter[lower], GAP).astype(np.uint8)
-        tables, self.root, self.dead, self.bits, offset = [np.zeros((1, SYMBOLS), np.int32)], [], [], [], 1
+        own = sorted(sorted(seen), key=lambda c: -seen[c])
+        self.symbols = 3 + len(own)
+        by_letter = np.full(0x110000, UNSEEN, np.int32)
+        by_letter[own] = 3 + np.arange(len(own))
+        self.symbol = np.where(letter, by_letter[lower], GAP).astype(np.int32)
+        tables, self.root, self.dead, self.bits, offset = [np.zeros((1, COLUMNS), np.int32)], [], [], [], 1
+        rare, rare_to = array("q"), array("q")
         for name in self.languages:
             symbols: list[int] = []
             for x in points[name]:
                 symbols += [*self._squeezed(self.symbol[x]).tolist(), BREAK]
             moves = suffix_automaton(symbols)
-            part = np.zeros((len(moves) + 1, SYMBOLS), np.int32)  # the last state has no way on: a phrase of one unseen letter
+            part = np.zeros((len(moves) + 1, COLUMNS), np.int32)  # the last state has no way on: a phrase of one unseen letter
             for state, to in enumerate(moves):
                 for c, target in to.items():
-                    if c != BREAK:
+                    if c >= COLUMNS - 1:
+                        rare.append((offset + state) * self.symbols + c)
+                        rare_to.append(offset + target)
+                    elif c != BREAK:
                         part[state, c] = offset + target
             tables.append(part)
             self.root.append(offset)
@@ -108,8 +114,24 @@ class CrossParser:
             self.bits.append(np.log2(max(2, len(symbols))))
             offset += len(part)
         self.moves = np.concatenate(tables).ravel()
-        start = self.moves.reshape(-1, SYMBOLS)[self.root] if self.languages else np.zeros((0, SYMBOLS), np.int32)
-        self.start = np.where(start == 0, np.array(self.dead, np.int32).reshape(-1, 1), start)
+        keys = np.array(rare, np.int64)
+        order = np.argsort(keys)
+        # a last entry that no key reaches
+        self.rare = np.append(keys[order], np.iinfo(np.int64).max)
+        self.rare_to = np.append(np.array(rare_to, np.int64)[order], 0)
+        every = np.arange(self.symbols)
+        start = np.stack([self._step(np.full(self.symbols, root), every) for root in self.root]) if self.languages else np.zeros((0, self.symbols), np.int64)
+        self.start = np.where(start == 0, np.array(self.dead, np.int64).reshape(-1, 1), start).astype(np.int32)
+
+    def _step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The state that symbol c leads to, 0 for none; the last axis is that of c."""
+        to = self.moves.take(state * COLUMNS + np.minimum(c, COLUMNS - 1)).astype(np.int64)
+        at = np.flatnonzero(c >= COLUMNS - 1)
+        if len(at):
+            keys = state[..., at] * self.symbols + c[at]
+            near = np.searchsorted(self.rare, keys)
+            to[..., at] = np.where(self.rare[near] == keys, self.rare_to[near], 0)
+        return to
 
     @staticmethod
     def _squeezed(x: np.ndarray) -> np.ndarray:
@@ -121,7 +143,7 @@ class CrossParser:
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases by text and language, characters by text); characters are letters and single gaps."""
         joined = _points("\0".join(t.replace("\0", " ") if t else "" for t in texts) + "\0")
-        x = np.where(joined == 0, END, self.symbol[joined]).astype(np.uint8)
+        x = np.where(joined == 0, END, self.symbol[joined]).astype(np.int32)
         before = np.concatenate(([END], x[:-1]))
         after = np.concatenate((x[1:], [END]))
         x = x[~((x == GAP) & ((before == GAP) | (before == END)))]
@@ -146,7 +168,7 @@ class CrossParser:
             for t in range(1, int(s[0])):
                 n = active[t]
                 c = x[f[:n] + t]
-                to = self.moves.take(state[:, :n] * SYMBOLS + c)
+                to = self._step(state[:, :n], c)
                 stuck = to == 0
                 counts[:, :n] += stuck
                 state[:, :n] = np.where(stuck, self.start[:, c], to)

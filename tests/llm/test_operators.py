@@ -158,6 +158,30 @@ def test_cross_parsing_counts_greedy_longest_matches():
     assert parser.predict(["", None, "123"])[0] == ["und"] * 3
 
 
+def test_every_letter_of_the_samples_has_its_own_symbol():
+    rng = random.Random(7)
+    # two languages over the same 400 signs, told apart by which follow each other, and one over letters
+    signs = [chr(0x4E00 + 16 * k) for k in range(400)]
+    first, second = ([[signs[k], signs[(step * k + step) % 400]] for k in range(400)] for step in (7, 11))
+
+    def text(pairs, n):
+        return "".join(c for _ in range(n) for c in rng.choice(pairs))
+
+    samples = {"a": [text(first, 2_000)], "b": [text(second, 2_000)], "en": [PROSE * 20]}
+    parser = language.CrossParser(samples)
+    texts = [text(first, 60), text(second, 60), PROSE, "\u0416" * 5]
+    counts, length = parser.phrases(texts)
+    for text_counts, t in zip(counts, texts[:2] + [PROSE.strip().replace(".", "").lower()]):
+        for column, name in enumerate(parser.languages):
+            at = n = 0
+            while at < len(t):
+                size = max((k for k in range(1, len(t) - at + 1) if t[at : at + k] in samples[name][0].replace(".", "").lower()), default=1)
+                at, n = at + size, n + 1
+            assert text_counts[column] == n
+    assert counts[3].tolist() == [5, 5, 5]
+    assert parser.predict([text(pairs, 30) for pairs in (first, second) * 20])[0] == ["a", "b"] * 20
+
+
 def test_held_out_languages_are_found(spark):
     rows = QUERIES["op10_cross_parsing"](spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
