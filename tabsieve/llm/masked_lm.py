@@ -1,12 +1,16 @@
 """Masked pseudo-likelihood: how well each token is foretold by its neighbours on both sides.
 
-A token is one of 128 classes: the most frequent words of the corpus each have their own, other words share the rest by
-their endings.  A network sees the token before and the token after (two embeddings, a hidden layer) and gives each
-class a probability; a document's score is the sum of the log probabilities of all its tokens, each masked in turn.
-
-The network sees only pairs of classes, so all there is to learn from a corpus is how often each class stands between
-each two: Spark counts these triples over all documents.  They are at most 128^3 whatever the corpus, so the training,
-full-batch Adam in numpy, and the table of log probabilities that scoring looks up, have a fixed size too.
+The vocabulary grows with the corpus: every word found LEAST times or more is a token, other words are spelt as bytes,
+a token each.  The tokens fall into 160 classes: the most frequent words each have their own, other words share some by
+their endings, bytes by their upper half and by whether they begin a word.  A network sees the class before and the
+class after (two embeddings, a hidden layer) and gives each class a probability; that of the token within its class
+comes from the counts of the whole corpus.  So each token itself is foretold, and a document's score is the sum of the
+log probabilities of all its tokens, each masked in turn.
+
+Of the context the network sees only classes, so all it can learn from a corpus is how often each class stands between
+each two: Spark counts these triples over all documents.  They are at most 160^3 whatever the corpus, so the training,
+full-batch Adam in numpy, and the table of log probabilities that scoring looks up, have a fixed size; the vocabulary
+and its counts have not.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,38 +30,79 @@ from pyspark.sql import functions as F
 from tabsieve.llm.common import append_columns, quoted, scratch_folder, slices, written
 
 TOKEN = re.compile(r"\w+|[^\w\s]")
-CLASSES = 128
+CLASSES = 160
 ENDINGS = 32
+NIBBLES = 32  # classes of bytes
+BYTES = 512  # tokens of bytes: 256 that begin a word, 256 that go on
 EDGE = 0  # before the first and after the last token
+LEAST = 5  # how often a word must be found to be a token
 REMEMBERED = 300_000
+REMEMBERED_BYTES = 4_000_000
 
 
 def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(text.lower()) if text else []
 
 
+def spelt(word: str) -> list[int]:
+    """The tokens of a word that is none itself."""
+    first, *rest = word.encode("utf-8", "surrogatepass")
+    return [1 + first, *(257 + b for b in rest)]
+
+
 class Classes:
-    """The class of a word: its own for the frequent ones, else one by its last two characters."""
+    """The vocabulary: the tokens of a word, the class of each token, and its log probability within the class.
 
-    def __init__(self, frequent: list[str]):
-        self.own = {w: 1 + ENDINGS + i for i, w in enumerate(frequent[: CLASSES - 1 - ENDINGS])}
+    Token 0 is the edge, then come the bytes, then the words in the order given, the most frequent first.
+    """
+
+    def __init__(self, words: list[str], counts: np.ndarray, byte_counts: np.ndarray):
+        self.own = {w: 1 + BYTES + i for i, w in enumerate(words)}
+        self.of = np.zeros(1 + BYTES + len(words), np.int32)
+        self.of[1 : 1 + BYTES] = 1 + ENDINGS + np.arange(BYTES) // 16
+        alone = CLASSES - 1 - ENDINGS - NIBBLES
+        self.of[1 + BYTES :] = [1 + ENDINGS + NIBBLES + i if i < alone else 1 + zlib.crc32(w[-2:].encode("utf-8", "surrogatepass")) % ENDINGS for i, w in enumerate(words)]
+        # a byte may be missing in the corpus and stand in another text
+        found = np.concatenate(([1.0], byte_counts + 1.0, counts))
+        self.logs = np.log(found / np.bincount(self.of, found, CLASSES)[self.of])
         self.known: dict[str, int] = {}
+        self.spelt: list[int] = []
+        self.ends = [0]
 
     def ids(self, words: list[str]) -> list[int]:
+        """The token of each word, or -1 - k for the k-th of the words remembered as spelt."""
         known = self.known
-        if len(known) > REMEMBERED:
+        if len(known) > REMEMBERED or len(self.spelt) > REMEMBERED_BYTES:
             known.clear()
+            self.spelt, self.ends = [], [0]
         for w in set(words).difference(known):
-            known[w] = self.own.get(w) or 1 + zlib.crc32(w[-2:].encode("utf-8", "surrogatepass")) % ENDINGS
+            if (token := self.own.get(w)) is None:
+                token = -len(self.ends)
+                self.spelt += spelt(w)
+                self.ends.append(len(self.spelt))
+            known[w] = token
         return list(map(known.__getitem__, words))
 
-    def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(left, right, middle as one number for every token, tokens of each text)."""
-        own = [self.ids(tokens(t)) for t in texts]
-        sizes = np.array([len(x) for x in own], np.int64)
-        flat = np.array([c for x in own for c in (EDGE, *x)] + [EDGE], np.int32)
-        codes = (flat[:-2] * CLASSES + flat[2:]) * CLASSES + flat[1:-1] if len(flat) > 2 else np.zeros(0, np.int32)
-        return codes[flat[1:-1] != EDGE] if len(codes) else codes, sizes
+    def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(left, right, middle class as one number for every token, the tokens, tokens of each text, words of each text)."""
+        words = [tokens(t) for t in texts]
+        sizes = np.array([len(x) for x in words], np.int64)
+        found = iter(self.ids([w for x in words for w in x]))
+        flat = np.array([c for n in sizes.tolist() for c in (EDGE, *islice(found, n))] + [EDGE], np.int64)
+        ends, pieces = np.array(self.ends, np.int64), np.array(self.spelt, np.int32)
+        rare = np.flatnonzero(flat < 0)
+        begin, length = ends[-1 - flat[rare]], ends[-flat[rare]] - ends[-1 - flat[rare]]
+        each = np.ones(len(flat), np.int64)
+        each[rare] = length
+        start = np.cumsum(each) - each
+        all_tokens = np.repeat(np.maximum(flat, 0), each).astype(np.int32)
+        nth = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        all_tokens[np.repeat(start[rare], length) + nth] = pieces[np.repeat(begin, length) + nth]
+        edges = start[np.append(np.cumsum(sizes + 1) - sizes - 1, len(flat) - 1)]  # of each text, and the last
+        of = self.of[all_tokens]
+        inside = np.flatnonzero(all_tokens != EDGE)
+        codes = (of[inside - 1] * CLASSES + of[inside + 1]) * CLASSES + of[inside]
+        return codes, all_tokens[inside], np.diff(edges) - 1, sizes
 
 
 def count_words(df: DataFrame, text: str) -> DataFrame:
@@ -71,6 +117,25 @@ def count_words(df: DataFrame, text: str) -> DataFrame:
     return df.select(quoted(text).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def count_bytes(words: DataFrame) -> np.ndarray:
+    """How often each byte token stands in the words that are no tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + BYTES, np.int64)
+        for batch in batches:
+            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for token, times in Counter(spelt(w)).items():
+                    total[token] += n * times
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], names=["token", "n"])
+
+    found = words.where(F.col("n") < LEAST).mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(1 + BYTES)
+    for r in found:
+        total[r.token] = r.n
+    return total[1:]
+
+
 def count_triples(df: DataFrame, text: str, classes: Classes) -> DataFrame:
     """(code, n): how often each class stands between each two."""
     shared = df.sparkSession.sparkContext.broadcast(classes)
@@ -136,10 +201,12 @@ class WindowNetwork:
 
 def fit(df: DataFrame, text: str = "text") -> tuple[Classes, np.ndarray]:
     """The classes and the table of log probabilities that the whole of df gives."""
-    rows = count_words(df, text).orderBy(F.desc("n"), "word").limit(CLASSES - 1 - ENDINGS).collect()
-    classes = Classes([r.word for r in rows])
     folder = scratch_folder(df.sparkSession)
-    counts = written(count_triples(df, text, classes), folder, "triples").toPandas()  # at most 128^3 rows
+    words = written(count_words(df, text), folder, "words")
+    frequent = words.where(F.col("n") >= LEAST).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    classes = Classes(frequent["word"].to_pylist(), frequent["n"].to_numpy().astype(np.float64), count_bytes(words))
+    del frequent
+    counts = written(count_triples(df, text, classes), folder, "triples").toPandas()  # at most 160^3 rows
     counts = counts.sort_values("code")
     return classes, WindowNetwork.train(counts["code"].to_numpy(), counts["n"].to_numpy()).log_probabilities()
 
@@ -147,19 +214,20 @@ def fit(df: DataFrame, text: str = "text") -> tuple[Classes, np.ndarray]:
 def score(df: DataFrame, classes: Classes, table: np.ndarray, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """df with n_tokens, log_likelihood (the sum over all tokens) and mean_log_likelihood.
 
+    n_tokens counts words and marks, spelt ones too, and the mean is over these, so it does not hang on what is spelt.
     Texts without tokens, null or empty, have 0, 0.0 and null.  Input columns of these names are replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast((classes, table))  # 8 MB, fixed
+    shared = df.sparkSession.sparkContext.broadcast((classes, table))  # a table of 16 MB, and the vocabulary
 
     def make():
         own, logs = shared.value
 
         def work(texts: list[str | None]) -> list[list]:
-            codes, sizes = own.windows(texts)
+            codes, found, lengths, sizes = own.windows(texts)
             sums = np.zeros(len(texts))
             some = np.flatnonzero(sizes)
             if len(some):
-                sums[some] = np.add.reduceat(logs[codes].astype(np.float64), (np.cumsum(sizes) - sizes)[some])
+                sums[some] = np.add.reduceat(logs[codes] + own.logs[found], (np.cumsum(lengths) - lengths)[some])
             return [sizes.tolist(), sums.tolist(), [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]]
 
         return work

@@ -259,6 +259,29 @@ def test_masked_network_gives_distributions_and_prefers_its_corpus(spark):
     assert found[1] > found[2]
 
 
+def test_each_token_itself_is_foretold(spark):
+    rng = random.Random(9)
+    endings = ["ing", "ion", "ble", "ent", "ous"]
+    vocabulary = ["".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) + rng.choice(endings) for _ in range(600)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(400)) for _ in range(30)]
+    # random letters before the same endings, common words for rare ones, another script
+    garbled = " ".join("".join(rng.choice("qxzjwvkhy") for _ in range(6)) + w[-3:] for w in texts[0].split())
+    foreign = " ".join("".join(chr(rng.randrange(0x430, 0x450)) for _ in range(9)) for _ in range(400))
+    docs = spark.createDataFrame(list(enumerate([*texts, garbled, foreign])), "doc_id long, text string")
+    classes, logs = masked_lm.fit(docs)
+    assert set(vocabulary) <= set(classes.own) and len(classes.own) > masked_lm.CLASSES
+    within = np.bincount(classes.of, np.exp(classes.logs), masked_lm.CLASSES)
+    assert within[within > 0] == pytest.approx(1)
+    found = {r.doc_id: r for r in masked_lm.score(docs, classes, logs).collect()}
+    worst = min(found[i].mean_log_likelihood for i in range(30))
+    assert all(found[i].n_tokens == 400 and found[i].mean_log_likelihood < worst - 3 for i in (30, 31))
+    text = f"{vocabulary[0]} qzx {vocabulary[1]}"
+    ids = [0, classes.own[vocabulary[0]], *masked_lm.spelt("qzx"), classes.own[vocabulary[1]], 0]
+    expected = sum(logs[(classes.of[a] * masked_lm.CLASSES + classes.of[c]) * masked_lm.CLASSES + classes.of[b]] + classes.logs[b] for a, b, c in zip(ids, ids[1:], ids[2:]))
+    one = masked_lm.score(spark.createDataFrame([(1, None), (2, text), (3, "")], "doc_id long, text string"), classes, logs).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.log_likelihood) for r in one] == [(0, 0.0), (3, pytest.approx(expected, rel=1e-5)), (0, 0.0)]
+
+
 def test_secret_spans_and_links(spark):
     near = 'client_id = "abc123" then client_secret = "s3cr3tvalue9" at https://api.example.com/v1/x'
     weak = 'login: bob1 pwd: hunter22'
