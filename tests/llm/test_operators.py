@@ -251,6 +251,16 @@ def test_kneser_ney_is_a_distribution():
         assert np.exp(model.log_probability(context * 64 + np.arange(64))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_copies_do_not_narrow_the_band(spark):
+    rng = random.Random(10)
+    vocabulary = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 3))) for _ in range(300)]
+    clean = [" ".join(rng.choice(vocabulary) for _ in range(120)) for _ in range(30)]
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(120))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*clean, noise, *[clean[0]] * 120])], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality.judge_quality(docs).collect()}
+    assert [i for i in kept if not kept[i]] == [30]
+
+
 def test_masked_network_gives_distributions_and_prefers_its_corpus(spark):
     docs = spark.createDataFrame([(1, PROSE * 20), (2, "Potions the by jumps river lazy over dog.")], "doc_id long, text string")
     classes, logs = masked_lm.fit(docs)
