@@ -69,10 +69,10 @@ def append_columns(df: DataFrame, text: str, fields: str | T.StructType, make: C
     schema = fields if isinstance(fields, T.StructType) else T.StructType.fromDDL(fields)
     new = {f.name.lower() for f in schema}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    frame = df.select(*map(quoted, kept), quoted(text).cast("string").alias("__text")) if text not in kept else df.select(*map(quoted, kept))
-    at = kept.index(text) if text in kept else len(kept)
-    if text in kept and not isinstance(df.schema[text].dataType, T.StringType):
-        frame, at = df.select(*map(quoted, kept), quoted(text).cast("string").alias("__text")), len(kept)
+    own = text in kept and isinstance(df.schema[text].dataType, T.StringType)
+    at = kept.index(text) if own else len(kept)
+    # mapInArrow takes no column whose name has a dot
+    frame = df.select(*(quoted(c).alias(f"c{i}") for i, c in enumerate(kept)), *([] if own else [quoted(text).cast("string").alias("text")]))
     out = T.StructType([*(df.schema[c] for c in kept), *schema])
     n_kept, names = len(kept), [f.name for f in out]
     inputs = [at] if beside is None else [at, kept.index(beside)]
