@@ -703,7 +703,8 @@ def page_encodings(spark, sf):
 
 @query
 def file_encodings(spark, sf):
-    path = scratch.scratch_dir(spark, "text")
+    """Files in folders whose path has blanks and accents."""
+    path = f"{scratch.scratch_dir(spark, 'text')}/dos años, café"
     table(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").text(path)
     found = encoding.detect_encodings(spark, f"{path}/*/*.txt")
     lang = F.regexp_extract("path", "lang=([^/]*)", 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -69,6 +70,43 @@ def _typed(c: Column, dtype: T.DataType) -> Column:
     return F.trim(c).cast(dtype)
 
 
+def _ends_within_quotes(sep: str) -> str:
+    """Pattern of lines whose last field opens a quote and never closes it; linear, whatever a line holds."""
+    end = re.escape(sep)
+    field = f"[^{end}]*+" if len(sep) == 1 else f"(?:(?!{end}).)*+"
+    quoted = '"(?:[^"]++|"")*+'
+    return f'^(?:{quoted}"{field}{end}|(?!"){field}{end})*+{quoted}$'
+
+
+def _broken(reason: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("malformed CSV row: "), reason))
+
+
+def _by_line(raw: DataFrame, lines: DataFrame, sep: str) -> DataFrame:
+    """Rows of lines that are whole records; one that is not is an error, whichever columns are read.
+
+    A row comes out of a generator, so even counting rows parses each line.
+    """
+    fields = ", ".join(f"c{i} string" for i in range(len(raw.columns)))
+    parsed = F.from_csv("line", fields, {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST"})
+    hint = F.concat(F.lit("a quote is not closed at the end of a line; with line breaks inside quotes, set multi_line=True: "),
+                    F.substring("line", 1, 200))
+    record = F.when(F.col("line").rlike(_ends_within_quotes(sep)), _broken(hint)).otherwise(parsed)
+    return lines.select(F.inline(F.array(record))).toDF(*raw.columns)
+
+
+def _by_file(raw: DataFrame, sources: list[str], options: dict) -> DataFrame:
+    """Records that may hold line breaks; one with too few or too many fields is an error, whichever columns are read."""
+    schema = T.StructType([*(T.StructField(f"c{i}", T.StringType()) for i in range(len(raw.columns))),
+                           T.StructField("__corrupt", T.StringType())])
+    records = (raw.sparkSession.read.options(**options).options(multiLine=True, mode="PERMISSIVE", columnPruning=False,
+                                                                columnNameOfCorruptRecord="__corrupt")
+               .schema(schema).csv(sources))
+    whole = F.when(F.col("__corrupt").isNotNull(), _broken(F.substring("__corrupt", 1, 200)).cast("boolean"))
+    # the corrupt record may not be read alone, so a plain column that is never below 0 stands beside it
+    return records.where(whole.otherwise(F.coalesce(F.length("c0"), F.lit(0)) >= 0)).drop("__corrupt").toDF(*raw.columns)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
              encoding: str = "UTF-8", sep: str = ",", header: bool = True,
              na_values: Sequence[str] = NA_TOKENS, multi_line: bool = False) -> DataFrame:
@@ -76,14 +114,21 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
     Give a ``schema`` for large inputs: without one the types are inferred, which
     reads the files once more.  ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.  Rows with too few or too many fields,
-    as quoted breaks give without it, are an error, never cut or filled.
+    at the price of one task per file.  Without it such a break is an error that
+    names the option, also where the parts happen to have the right number of
+    fields.  Rows with too few or too many fields are an error, never cut or
+    filled.  All this holds for any selection of the columns and for a count.
     """
-    raw = _name_blank_headers(
-        spark.read.option("header", header).option("encoding", encoding).option("sep", sep)
-        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .csv(path if isinstance(path, str) else list(path)))
+    sources = [path] if isinstance(path, str) else list(path)
+    options = {"header": header, "encoding": encoding, "sep": sep, "quote": '"', "escape": '"'}
+    raw = _name_blank_headers(spark.read.options(**options, multiLine=multi_line).csv(sources))
+    if multi_line:
+        raw = _by_file(raw, sources, options)
+    else:
+        # whole lines: no quotes, and a separator that no text has (U+FFFF is not a character)
+        lines = (spark.read.options(**{**options, "sep": "\uffff", "quote": "", "mode": "FAILFAST"}).schema("line string")
+                 .csv(sources))
+        raw = _by_line(raw, lines, sep)
     texts = raw.select([F.when(~ref(c).isin(*na_values), ref(c)).alias(c) for c in raw.columns])
     if schema is None:
         types = _infer(texts)

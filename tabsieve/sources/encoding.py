@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import codecs
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-CHUNK_BYTES = 1 << 20     # read at a time
+# Names of files that the text source unpacks.
+PACKED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
 
 # Byte order marks (hexadecimal) and the encodings they announce; longer marks first.
 BYTE_ORDER_MARKS = (
@@ -33,44 +30,35 @@ def encoding_of(content: Column) -> Column:
             .when(valid, "utf-8").otherwise("ISO-8859-1"))
 
 
-def _encoding(stream) -> str | None:
-    """Encoding of a whole stream of bytes, read once and in chunks; None for an empty one."""
-    decoder, plain, valid = codecs.getincrementaldecoder("utf-8")(), True, True
-    chunk = head = stream.read(CHUNK_BYTES)
-    mark = next((name for code, name in BYTE_ORDER_MARKS if head.startswith(bytes.fromhex(code))), None)
-    if mark or not head:
-        return mark
-    while chunk and valid:
-        plain = plain and chunk.isascii()
-        following = stream.read(CHUNK_BYTES)
-        try:
-            decoder.decode(chunk, final=not following)
-        except UnicodeDecodeError:
-            valid = False
-        chunk = following
-    return "ISO-8859-1" if not valid else "ascii" if plain else "utf-8"
-
-
 def detect_encodings(spark: SparkSession, path: str) -> DataFrame:
     """``(path, n_bytes, encoding)`` per file under ``path`` (a folder, file or glob).
 
-    Listing is Spark's; each task reads its files whole, in chunks, so a file
-    may be larger than memory.  An empty file has the encoding NULL.
+    Spark lists and reads the files, so any path or store that it can read will
+    do, and a large file is looked at by many tasks: no UTF-8 sequence holds a
+    line break, hence a file is valid if each of its lines is.  The marks of
+    UTF-16 and UTF-32 stand in a file's first line; that of UTF-8 is taken off
+    before Spark sees the line, which shows as bytes missing from the file's
+    length (not so for compressed files, which are looked at unpacked).  Spark's
+    readers pass over empty files, so these have no row.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-             .select("path", F.col("length").alias("n_bytes")))
-
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            found = []
-            for uri in batch["path"]:
-                # Hadoop writes file:/x, the URI standard file:///x
-                uri = "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
-                system, name = fs.FileSystem.from_uri(uri)
-                with system.open_input_stream(name) as stream:
-                    found.append(_encoding(stream))
-            yield batch.assign(encoding=found)
+    def source(kind: str, **options: str) -> DataFrame:
+        return spark.read.options(recursiveFileLookup="true", **options).format(kind).load(path)
 
-    return files.mapInPandas(look, "path string, n_bytes long, encoding string")
+    files = source("binaryFile").select("path", F.col("length").alias("n_bytes"), F.col("_metadata.file_path").alias("file"))
+    raw = F.col("value").cast("binary")
+    lines = source("text", lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.octet_length(raw).alias("n"),
+        F.is_valid_utf8("value").alias("valid"), (F.octet_length(raw) == F.char_length("value")).alias("plain"),
+        # the lines of a task are numbered in their order, and a file's first bytes are in the part that begins at 0
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("at"),
+        F.hex(F.substring(raw, 1, 4)).alias("head"))
+    seen = lines.groupBy("file").agg(
+        F.bool_and("valid").alias("valid"), F.bool_and("plain").alias("plain"), F.min_by("head", "at").alias("head"),
+        (F.sum("n") + F.count(F.lit(1))).alias("n_read"))
+    missing = F.when(~F.lower("path").rlike(PACKED), F.col("n_bytes") - F.coalesce("n_read", F.lit(0)))
+    guess = F.when(missing >= 2, "UTF-8-SIG")
+    for mark, name in BYTE_ORDER_MARKS:
+        guess = guess.when(F.col("head").startswith(mark), name)
+    guess = (guess.when(F.col("valid") & F.col("plain"), "ascii").when(F.col("valid"), "utf-8")
+             .when(~F.col("valid"), "ISO-8859-1"))
+    return files.join(seen, "file", "left").select("path", "n_bytes", guess.alias("encoding"))

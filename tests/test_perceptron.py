@@ -53,3 +53,11 @@ def test_generators(spark):
     assert terms.count() == 15
     scored = N.perceptron_predict(out, "x", [0.5] * 4, threshold=10)
     assert {r["output"] for r in scored.collect()} == {0, 1}
+
+
+def test_vectors_of_size_zero(spark):
+    assert G.random_terms(spark.range(3), ["id"], 0).count() == 0
+    assert [(r["x"], r["w"]) for r in G.keyed_vectors(spark.range(1), ["id"], 0).collect()] == [([], [])]
+    for draw in (G.random_terms, G.keyed_vectors):
+        with pytest.raises(ValueError):
+            draw(spark.range(1), ["id"], -1)
