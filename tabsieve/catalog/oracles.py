@@ -98,7 +98,7 @@ def _spearman(source: str, pairs) -> str:
     return " UNION ALL ".join(out)
 
 
-def _kendall(pairs) -> str:
+def _kendall(pairs, source: str = "lineitem") -> str:
     out = []
     for a, b in pairs:
         out.append(
@@ -106,7 +106,7 @@ def _kendall(pairs) -> str:
             f"(sqrt(sum(CASE WHEN p.x <> q.x THEN p.n::DOUBLE * q.n ELSE 0 END)) * "
             f"sqrt(sum(CASE WHEN p.y <> q.y THEN p.n::DOUBLE * q.n ELSE 0 END))), 6) FROM c p, c q) AS corr "
             f"FROM (SELECT 1)")
-        out[-1] = (f"(WITH c AS (SELECT {a}::DOUBLE AS x, {b}::DOUBLE AS y, count(*) AS n FROM lineitem GROUP BY 1, 2) {out[-1]})")
+        out[-1] = (f"(WITH c AS (SELECT {a}::DOUBLE AS x, {b}::DOUBLE AS y, count(*) AS n FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2) {out[-1]})")
     return " UNION ALL ".join(out)
 
 
@@ -325,6 +325,8 @@ ORACLES: dict[str, str] = {
     "spearman": _spearman("lineitem", [(LINE_NUMBERS[i], LINE_NUMBERS[j]) for i in range(4) for j in range(i)]),
     "spearman_with_gaps": f"WITH {DIRTY} " + _spearman("dirty", [("sparse_col", "o_totalprice")]),
     "kendall": _kendall([(TIED_NUMBERS[i], TIED_NUMBERS[j]) for i in range(4) for j in range(i)]),
+    "kendall_wide": "WITH w AS (SELECT value, epoch_us(ts) / 1e6 AS seconds, CASE WHEN event_id % 3 <> 0 THEN value + user_id END AS gaps, user_id "
+                    "FROM events) " + _kendall([(c, d) for c, d in itertools.combinations(["user_id", "gaps", "seconds", "value"], 2)], "w"),
     "histogram_40": _bins("events", "value", True),
     "histogram_all_columns": " UNION ALL ".join(f"({_bins('lineitem', c, False)})" for c in LINE_NUMBERS),
     "histogram_with_gaps": f"WITH {DIRTY} " + " UNION ALL ".join(

@@ -333,6 +333,15 @@ def kendall(spark, sf):
     return _lower(table(spark, sf, "lineitem"), TIED_NUMBERS, "kendall")
 
 
+@query
+def kendall_wide(spark, sf):
+    """Columns of almost as many values as rows, one with gaps and one with few values."""
+    events = table(spark, sf, "events")
+    seconds = F.col("ts").cast("timestamp").cast("double")
+    wide = events.select("value", seconds.alias("seconds"), F.when(F.col("event_id") % 3 != 0, F.col("value") + F.col("user_id")).alias("gaps"), "user_id")
+    return _lower(wide, ["value", "seconds", "gaps", "user_id"], "kendall")
+
+
 # --- distributions ----------------------------------------------------------------------------
 
 @query

@@ -18,6 +18,8 @@ from .nulls import quoted, ref, sql_double
 
 MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 TREE_LEAVES = 256
+# Columns with at most so many distinct values are ranked by a broadcast table.
+SMALL = BROADCAST_ROWS // 10
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -73,34 +75,39 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     return {c: (sorted(set(row[f"b{i}"] or [])), row[f"d{i}"]) for i, c in enumerate(cols)}
 
 
-RANK_SCHEMA = "value double, below bigint, ties bigint"
+RANK_SCHEMA = "value double, below bigint, ties bigint, code bigint"
 
 
-def _small_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
-    """Rank tables of columns with few distinct values, all from one pre-aggregated count.
+def _small_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[DataFrame, int]]:
+    """Rank tables of columns with few distinct values, and how many those are, all from one pre-aggregated count.
 
     Empty if the values turn out to be more than a broadcast side may hold.
     """
     if not cols:
         return {}
     pairs = F.array(*[F.struct(F.lit(i).alias("c"), ref(c).alias("value")) for i, c in enumerate(cols)])
-    counts = df.select(F.inline(pairs)).groupBy("c", "value").agg(F.count(F.lit(1)).alias("ties"))
+    counts = (df.select(F.inline(pairs)).where("value is not null").groupBy("c", "value")
+              .agg(F.count(F.lit(1)).alias("ties")))
     rows = counts.limit(BROADCAST_ROWS + 1).toPandas().sort_values(["c", "value"])
     if len(rows) > BROADCAST_ROWS:
         return {}
     rows["below"] = rows.groupby("c")["ties"].cumsum() - rows["ties"]
-    return {c: F.broadcast(df.sparkSession.createDataFrame(
-        rows.loc[rows["c"] == i, ["value", "below", "ties"]], RANK_SCHEMA)) for i, c in enumerate(cols)}
+    rows["code"] = rows.groupby("c").cumcount()
+    own = {c: rows.loc[rows["c"] == i, ["value", "below", "ties", "code"]] for i, c in enumerate(cols)}
+    return {c: (F.broadcast(df.sparkSession.createDataFrame(r, RANK_SCHEMA)), len(r)) for c, r in own.items()}
 
 
-def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
-                small: int = BROADCAST_ROWS // 10) -> dict[str, DataFrame]:
-    """Per column a table ``(value, below, ties)``: rows below the value, rows equal to it.
+def order_codes(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
+                small: int | None = None) -> dict[str, tuple[DataFrame, int]]:
+    """Per double column a table ``(value, below, ties, code)`` and a number that all its codes are below.
 
-    ``cols`` are double columns without NULL.  Columns with at most ``small``
-    distinct values (by estimate, then checked) come back as broadcast sides, as
-    many of them as fit one broadcast; the others are ranked by buckets.
+    ``below`` counts the column's rows under the value, ``ties`` those that have
+    it; ``code`` grows with the value and is as small as can be told cheaply.
+    Missing values are no rows.  Columns with at most ``small`` distinct values
+    (by estimate, then checked) come back as broadcast sides, as many of them as
+    fit one broadcast; the others are ranked by buckets.
     """
+    small = SMALL if small is None else small
     cuts = bucket_bounds(df, cols, buckets or bucket_count(df.sparkSession))
     few = sorted((c for c in cols if cuts[c][1] <= small), key=lambda c: cuts[c][1])
     together = accumulate(cuts[c][1] for c in few)      # half of the room is left to the estimates' error
@@ -108,9 +115,9 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
     many = [c for c in cols if c not in tables]
     if not many:
         return tables
-    pairs = F.array(*[F.struct(F.lit(i).alias("c"), bucket_of(quoted(c), cuts[c][0]).alias("b"))
+    pairs = F.array(*[F.when(ref(c).isNotNull(), F.struct(F.lit(i).alias("c"), bucket_of(quoted(c), cuts[c][0]).alias("b")))
                       for i, c in enumerate(many)])
-    sizes = df.select(F.inline(pairs)).groupBy("c", "b").count().collect()
+    sizes = df.select(F.inline(pairs)).where("c is not null").groupBy("c", "b").count().collect()
     for i, c in enumerate(many):
         bounds = cuts[c][0]
         per_bucket = [0] * (len(bounds) + 1)
@@ -119,17 +126,24 @@ def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
                 per_bucket[r["b"]] = r["count"]
         starts = [0, *accumulate(per_bucket)][:-1]
         offset = F.get(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("bucket"))
-        values = (df.groupBy(ref(c).alias("value")).agg(F.count(F.lit(1)).alias("ties"))
+        values = (df.where(ref(c).isNotNull()).groupBy(ref(c).alias("value")).agg(F.count(F.lit(1)).alias("ties"))
                   .withColumn("bucket", bucket_of("value", bounds)))
         before = F.sum("ties").over(Window.partitionBy("bucket").orderBy("value")) - F.col("ties")
-        tables[c] = values.select("value", (offset + before).alias("below"), "ties")
+        below = offset + before
+        tables[c] = values.select("value", below.alias("below"), "ties", below.alias("code")), sum(per_bucket)
     return tables
 
 
-def attach(df: DataFrame, col: str, table: DataFrame, rank: Column, name: str) -> DataFrame:
-    """Join a rank table back to the rows by value."""
+def value_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None,
+                small: int | None = None) -> dict[str, DataFrame]:
+    """Per double column a table ``(value, below, ties, code)``, as ``order_codes`` gives it."""
+    return {c: table for c, (table, _) in order_codes(df, cols, buckets, small).items()}
+
+
+def attach(df: DataFrame, col: str, table: DataFrame, rank: Column, name: str, how: str = "inner") -> DataFrame:
+    """Join a rank table back to the rows by value; a left join keeps the rows without one."""
     side = table.select(F.col("value").alias("__value"), rank.alias(name))
-    return df.join(side, ref(col) == F.col("__value"), "inner").drop("__value")
+    return df.join(side, ref(col) == F.col("__value"), how).drop("__value")
 
 
 def average_ranks(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:

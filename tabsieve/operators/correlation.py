@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import doubles, is_numeric, known_double, ref, require_columns, type_of
-from ..functions.ranks import attach, average_ranks, value_ranks
+from ..functions.ranks import attach, average_ranks, order_codes
 from .columns import numeric_columns
 
 PAIRS_PER_JOB = 400
@@ -84,65 +85,57 @@ def _complete_rows(df: DataFrame, a: str, b: str) -> DataFrame:
     return pair.where(ref(a).isNotNull() & ref(b).isNotNull())
 
 
-def discordant_pairs(points: DataFrame, max_rank: int) -> DataFrame:
-    """Number of row pairs ordered one way by ``rx`` and the other way by ``ry``.
+def _wide(c: Column) -> Column:
+    return c.cast("decimal(38,0)")
 
-    ``points`` holds ``(rx, ry, w)``: rows below in x, rows below in y, weight.
-    Two rows with different ``ry`` first differ at exactly one binary digit of
-    it; rows are grouped by the digits before that one, and in each group a
-    running sum along ``rx`` counts the ones that precede a zero.  No pair is
-    ever listed.  The running sums go block by block of ``rx``, so the largest
-    window holds one block.
+
+def _product(a: Column, b: Column) -> Column:
+    return _wide(a.cast("decimal(19,0)") * b.cast("decimal(19,0)"))
+
+
+def _sum_or_zero(c: Column) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0).cast("decimal(38,0)"))
+
+
+def discordant_pairs(points: DataFrame, digits: Sequence[tuple[int, int]]) -> DataFrame:
+    """Per column pair the number of row pairs ordered one way by ``x`` and the other way by ``y``.
+
+    ``points`` holds ``(pair, x, y, w)``: the number of the column pair, codes
+    that grow with the values, and the weight; ``digits`` holds per column pair
+    how many binary digits its codes have.  Two rows with different ``y`` first
+    differ at exactly one digit of it; rows are grouped by the digits before that
+    one, and in each group a running sum along ``x`` counts the ones that precede
+    a zero.  No pair of rows is ever listed.  The running sums go block by block
+    of ``x``, so the largest window holds one block.
     """
-    digits = max(1, int(max_rank).bit_length())
-    block = 1 << (digits // 2)
-    levels = points.select(
-        "rx", "ry", "w", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))).alias("level"))
-    # shiftright takes a literal distance only, so the digit is cut off by division
-    power = F.pow(F.lit(2.0), F.col("level")).cast("bigint")
-    high = F.expr("ry div p2")
-    cells = (levels.withColumn("p2", power).withColumn("cut", high)
-             .select("level", (F.expr("cut div 2")).alias("prefix"), (F.col("cut") % 2).alias("digit"),
-                     "rx", (F.expr(f"rx div {block}")).alias("block"), "w")
-             .groupBy("level", "prefix", "block", "rx")
+    def by_pair(values: Sequence[int]) -> Column:
+        return F.get(F.array(*map(F.lit, values)), F.col("pair"))
+
+    # shiftright takes a literal distance only, so digits are cut off by division
+    levels = (points.withColumn("level", F.explode(F.sequence(F.lit(0), by_pair([dy - 1 for _, dy in digits]))))
+              .withColumn("p2", F.pow(F.lit(2.0), F.col("level")).cast("bigint"))
+              .withColumn("width", by_pair([1 << (dx // 2) for dx, _ in digits]).cast("bigint"))
+              .withColumn("cut", F.expr("y div p2")))
+    group = ["pair", "level", "prefix"]
+    cells = (levels.select("pair", "level", F.expr("cut div 2").alias("prefix"), F.expr("x div width").alias("block"), "x",
+                           (F.col("cut") % 2).alias("digit"), "w")
+             .groupBy(*group, "block", "x")
              .agg(F.sum(F.when(F.col("digit") == 1, F.col("w")).otherwise(0)).alias("ones"),
                   F.sum(F.when(F.col("digit") == 0, F.col("w")).otherwise(0)).alias("zeros")))
-    strictly_before = (Window.partitionBy("level", "prefix", "block").orderBy("rx")
-                       .rowsBetween(Window.unboundedPreceding, -1))
+    strictly_before = Window.partitionBy(*group, "block").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     inside = cells.withColumn("ones_in_block", F.coalesce(F.sum("ones").over(strictly_before), F.lit(0)))
-    # Per block: what its zeros meet inside it, and the totals later blocks meet.
-    def wide(c: Column) -> Column:
-        return c.cast("decimal(38,0)")
-
-    blocks = inside.groupBy("level", "prefix", "block").agg(
+    # per block: what its zeros meet inside it, and the totals later blocks meet
+    blocks = inside.groupBy(*group, "block").agg(
         F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"),
-        F.sum(wide(F.col("zeros").cast("decimal(19,0)") * F.col("ones_in_block").cast("decimal(19,0)"))).alias("met"))
-    earlier_blocks = (Window.partitionBy("level", "prefix").orderBy("block")
-                      .rowsBetween(Window.unboundedPreceding, -1))
+        F.sum(_product(F.col("zeros"), F.col("ones_in_block"))).alias("met"))
+    earlier_blocks = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     across = blocks.withColumn("ones_before", F.coalesce(F.sum("ones").over(earlier_blocks), F.lit(0)))
-    total = F.sum(wide(F.col("zeros").cast("decimal(19,0)") * F.col("ones_before").cast("decimal(19,0)"))
-                  + F.col("met"))
-    return across.agg(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("discordant"))
-
+    return across.groupBy("pair").agg(
+        _sum_or_zero(_product(F.col("zeros"), F.col("ones_before")) + F.col("met")).alias("value"))
 
-def _choose_two(n: Column) -> Column:
-    n = n.cast("decimal(19,0)")
-    return F.coalesce(F.sum((n * (n - 1)).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
 
-
-def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
-    """Tau-b over the rows where both columns have a value."""
-    rows = _complete_rows(df, a, b)
-    counted = rows.groupBy(ref(a), ref(b)).agg(F.count(F.lit(1)).alias("w"))
-    ranks = value_ranks(rows, [a, b])
-    tied_a, tied_b = (int(ranks[c].agg(_choose_two(F.col("ties"))).first()[0]) // 2 for c in (a, b))
-    totals = counted.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n"), _choose_two(F.col("w")).alias("tied")).first()
-    n, tied_both = totals["n"], int(totals["tied"]) // 2
-    if n < 2:
-        return None
-    points = attach(counted, a, ranks[a], F.col("below"), "rx")
-    points = attach(points, b, ranks[b], F.col("below"), "ry").select("rx", "ry", "w")
-    discordant = int(discordant_pairs(points, n - 1).first()[0])
+def _tau(n: int, tied_a: int, tied_b: int, tied_both: int, discordant: int) -> float | None:
+    """Tau-b from counts of row pairs; ``n`` counts rows."""
     pairs = n * (n - 1) // 2
     free_a, free_b = pairs - tied_a, pairs - tied_b
     if free_a == 0 or free_b == 0:
@@ -152,6 +145,62 @@ def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
     return max(-1.0, min(1.0, tau))
 
 
+def _kendall_counts(coded: DataFrame, pairs: Sequence[tuple[str, str]], size: dict[str, int]) -> list[dict[str, int]]:
+    """Per pair of columns of codes below ``size``: rows, tied row pairs and discordant ones, in one job.
+
+    The pair's value combinations are counted once; everything else is counted from those.
+    """
+    points = F.array(*[F.when(ref(a).isNotNull() & ref(b).isNotNull(),
+                              F.struct(F.lit(i).alias("pair"), ref(a).alias("x"), ref(b).alias("y")))
+                       for i, (a, b) in enumerate(pairs)])
+    joint = (coded.select(F.inline(points)).where("pair is not null").groupBy("pair", "x", "y")
+             .agg(F.count(F.lit(1)).alias("w")))
+    digits = [tuple(max(1, (size[c] - 1).bit_length()) for c in p) for p in pairs]
+
+    def tied(counts: DataFrame) -> DataFrame:
+        return counts.groupBy("pair").agg(_sum_or_zero(_product(F.col("w"), F.col("w") - 1)).alias("value"))
+
+    def summed(*by: str) -> DataFrame:
+        return joint.groupBy("pair", *by).agg(F.sum("w").alias("w"))
+
+    counts = {"rows": summed().select("pair", _wide(F.col("w")).alias("value")), "a": tied(summed("x")),
+              "b": tied(summed("y")), "both": tied(joint), "discordant": discordant_pairs(joint, digits)}
+    found = reduce(DataFrame.unionByName, [df.withColumn("kind", F.lit(kind)) for kind, df in counts.items()])
+    out: list[dict[str, int]] = [dict.fromkeys(counts, 0) for _ in pairs]
+    for r in found.collect():       # five rows a pair
+        out[r["pair"]][r["kind"]] = int(r["value"])
+    return out
+
+
+def _kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
+    """Tau-b of many pairs, each over the rows where both columns have a value.
+
+    A column's values are replaced once by codes that keep their order; ties and
+    order among a pair's complete rows do not depend on the others.
+    """
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    name = {c: f"c{i}" for i, c in enumerate(cols)}
+    values = doubles(df, cols)
+    tables = order_codes(values, list(name.values()))
+    coded = values
+    for c in name.values():
+        coded = attach(coded, c, tables[c][0], F.col("code"), f"k{c}", "left")
+    size = {f"k{c}": n for c, (_, n) in tables.items()}
+    out = {}
+    for start in range(0, len(pairs), PAIRS_PER_JOB):
+        chunk = pairs[start:start + PAIRS_PER_JOB]
+        # the side with fewer codes has fewer digits to look at; tau does not care which is which
+        sides = [sorted((f"k{name[a]}", f"k{name[b]}"), key=lambda c: -size[c]) for a, b in chunk]
+        for pair, n in zip(chunk, _kendall_counts(coded, sides, size)):
+            out[pair] = _tau(n["rows"], n["a"] // 2, n["b"] // 2, n["both"] // 2, n["discordant"])
+    return out
+
+
+def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
+    """Tau-b over the rows where both columns have a value."""
+    return _kendall_pairs(df, [(a, b)])[(a, b)]
+
+
 def correlation_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str = "pearson",
                       complete: set[str] | None = None) -> dict[tuple[str, str], float | None]:
     """Coefficients of the given column pairs; ``complete`` names columns known to have no missing value."""
@@ -160,7 +209,7 @@ def correlation_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: s
     if not pairs:
         return {}
     if method == "kendall":
-        return {(a, b): kendall_tau(df, a, b) for a, b in pairs}
+        return _kendall_pairs(df, pairs)
     if complete is None:
         complete = _complete_and_varying(df, list(dict.fromkeys(c for p in pairs for c in p)))[0]
     return (_pearson_pairs if method == "pearson" else _ranked_pairs)(df, pairs, complete)

@@ -46,7 +46,7 @@ def as_matrix(frame):
 
 @pytest.mark.parametrize("method,small", [("pearson", 0), ("spearman", 0), ("spearman", 10_000)])
 def test_matrix_like_pandas(df, data, method, small, monkeypatch):
-    monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, small))
+    monkeypatch.setattr(rank_tables, "SMALL", small)
     got = as_matrix(R.correlation_matrix(df, method=method))
     if method == "pearson":
         want = data.corr()
@@ -63,13 +63,33 @@ def test_matrix_like_pandas(df, data, method, small, monkeypatch):
 
 @pytest.mark.parametrize("small", [0, 10_000])
 def test_kendall_against_brute_force(df, data, monkeypatch, small):
-    monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, small))
+    monkeypatch.setattr(rank_tables, "SMALL", small)
     for a, b in [("a", "b"), ("b", "c"), ("a", "c")]:
         pair = data[[a, b]].dropna().to_numpy()
         assert R.kendall_tau(df, a, b) == pytest.approx(tau_b(pair[:, 0], pair[:, 1]))
     assert R.kendall_tau(df, "a", "k") is None
 
 
+@pytest.mark.parametrize("small,per_job", [(0, 400), (15, 2), (10_000, 1)])
+def test_all_kendall_pairs_at_once(df, data, monkeypatch, small, per_job):
+    monkeypatch.setattr(rank_tables, "SMALL", small)
+    monkeypatch.setattr(R, "PAIRS_PER_JOB", per_job)
+    got = as_matrix(R.correlation_matrix(df, method="kendall"))
+    for a, b in itertools.combinations(data.columns, 2):
+        pair = data[[a, b]].dropna().to_numpy()
+        want = tau_b(pair[:, 0], pair[:, 1])
+        assert got[(a, b)] == got[(b, a)] == (want if want is None else pytest.approx(want))
+
+
+def test_kendall_counts_of_pairs(spark):
+    rows = [(0, 0, 1), (1, 0, 1), (2, None, 1), (0, 1, None), (1, 1, 1), (0, 0, 1)]
+    coded = spark.createDataFrame(rows, "a long, b long, c long")
+    found = R._kendall_counts(coded, [("a", "b"), ("b", "c")], {"a": 3, "b": 2, "c": 2})
+    # of (a, b): rows 0, 1, 3, 4, 5; equal a: 0 3 5 and 1 4, equal b: 0 1 5 and 3 4, crossed: 1 with 3
+    assert found == [{"rows": 5, "a": 2 * 4, "b": 2 * 4, "both": 2 * 1, "discordant": 1},
+                     {"rows": 4, "a": 2 * 3, "b": 2 * 6, "both": 2 * 3, "discordant": 0}]
+
+
 def test_kendall_extremes(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
     assert R.kendall_tau(df, "x", "y") == -1.0
@@ -79,7 +99,7 @@ def test_kendall_extremes(spark):
 @pytest.mark.parametrize("path", ["broadcast", "buckets", "estimate too low"])
 def test_ranks_with_hot_value(spark, monkeypatch, path):
     if path == "buckets":
-        monkeypatch.setattr(rank_tables.value_ranks, "__defaults__", (None, 0))
+        monkeypatch.setattr(rank_tables, "SMALL", 0)
     if path == "estimate too low":
         monkeypatch.setattr(rank_tables, "BROADCAST_ROWS", 20)
     values = [3.0] * 40 + [float(i) for i in range(30)]
