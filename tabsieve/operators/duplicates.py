@@ -51,15 +51,25 @@ def _repeat(counted: DataFrame, times: str, cols: Sequence[str]) -> DataFrame:
     """Emit each row ``times`` times; a huge count is cut into pieces, and these again, spread over tasks."""
     def cut(rows: DataFrame, size: int, within: int) -> DataFrame:
         steps = F.sequence(F.col("__from"), F.least(F.col("__from") + within, F.col(times)) - 1, F.lit(size).cast("bigint"))
-        return rows.select(*[ref(c) for c in cols], times, F.explode(steps).alias("__from"))
+        return rows.select(*[ref(c) for c in cols], times, "__spread", F.explode(steps).alias("__from"))
 
-    whole = counted.select("*", F.lit(0).cast("bigint").alias("__from"))
+    spread = F.xxhash64(*[ref(c) for c in cols])
+    whole = counted.select("*", F.lit(0).cast("bigint").alias("__from"), spread.alias("__spread"))
     coarse = cut(whole, COPIES_PER_ROW**2, 1 << 62)
-    fine = cut(coarse.repartition("__from", *[ref(c) for c in cols]), COPIES_PER_ROW, COPIES_PER_ROW**2)
-    each = cut(fine.repartition("__from", *[ref(c) for c in cols]), 1, COPIES_PER_ROW)
+    fine = cut(coarse.repartition("__from", "__spread"), COPIES_PER_ROW, COPIES_PER_ROW**2)
+    each = cut(fine.repartition("__from", "__spread"), 1, COPIES_PER_ROW)
     return each.select(*[ref(c) for c in cols])
 
 
+def _surplus_copies(rows: DataFrame) -> DataFrame:
+    """Each row that comes more than once, with ``__copies``, how often beyond the first; digests are the group keys."""
+    cols = rows.columns
+    whole = F.struct(*[known(rows, c).alias(f"v{i}") for i, c in enumerate(cols)])
+    groups = rows.groupBy(*_group_keys(rows, cols)).agg(
+        F.any_value(whole).alias("__row"), (F.count(F.lit(1)) - 1).alias("__copies"))
+    return groups.where("__copies > 0").select(*[F.col(f"__row.v{i}").alias(c) for i, c in enumerate(cols)], "__copies")
+
+
 def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
                    keep: Literal["first", "last", False] = "first",
                    order_by: Sequence[str] | None = None, key_cols: Sequence[str] = ()) -> DataFrame:
@@ -82,9 +92,10 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
         return df.join(repeated, _same_group(df, cols), "left_semi")
 
     if order_by is None and not key_cols and set(cols) == set(df.columns):
-        copies = df.groupBy(*[known(df, c).alias(c) for c in df.columns]).agg(
-            (F.count(F.lit(1)) - 1).alias("__copies")).where("__copies > 0")
-        return _repeat(copies, "__copies", df.columns)
+        # digests are counted first, so only rows that repeat are fetched whole
+        repeated = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("__copies")).where("__copies > 0")
+        rows = df.join(repeated, _same_group(df, cols), "inner").select(*[ref(c) for c in df.columns])
+        return _repeat(_surplus_copies(rows), "__copies", df.columns)
     if order_by is None and not key_cols:
         raise ValueError("keep='first'/'last' needs order_by or key_cols: rows have no order of their own")
 
@@ -111,8 +122,7 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None,
     if key_cols:
         return surplus
     # Rows equal to the kept one in every column: all but one of them are surplus, too.
-    level = joined.where(tied).groupBy(*[ref(c) for c in df.columns]).agg(
-        (F.count(F.lit(1)) - 1).alias("__copies")).where("__copies > 0")
+    level = _surplus_copies(joined.where(tied).select(*[ref(c) for c in df.columns]))
     return surplus.unionByName(_repeat(level, "__copies", df.columns))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.nulls import known, log1p_or_null, ref, require_columns
@@ -27,16 +29,30 @@ def export_train_test(train: DataFrame, test: DataFrame, target_col: str, key_co
 
     The key stays in all four outputs, so features and target can be joined
     again.  ``drop_cols`` are left out of both feature tables.
+
+    A side is computed once: it is kept in memory and on disk while its two
+    outputs are written.  Both sides are written side by side.
     """
-    frames = {}
-    for side, df in (("train", train), ("test", test)):
+    root = output_dir.rstrip("/")
+    sides = {"train": train, "test": test}
+    for df in sides.values():
         require_columns(df, [target_col, *key_cols])
-        extra = [c for c in drop_cols or [] if c not in key_cols]
-        frames[f"X_{side}"] = drop_columns_if_present(df, [target_col, *extra])
-        frames[f"y_{side}"] = _target(df, target_col, key_cols, target_name, transform_y)
-    paths = {name: f"{output_dir.rstrip('/')}/{name}" for name in PARTS}
-    for name in PARTS:
-        frames[name].write.mode("overwrite").parquet(paths[name])
+    extra = [c for c in drop_cols or [] if c not in key_cols]
+    paths = {name: f"{root}/{name}" for name in PARTS}
+
+    def write(side: str) -> None:
+        kept = sides[side].persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            outputs = {f"X_{side}": drop_columns_if_present(kept, [target_col, *extra]),
+                       f"y_{side}": _target(kept, target_col, key_cols, target_name, transform_y)}
+            for name, frame in outputs.items():
+                frame.write.mode("overwrite").parquet(paths[name])
+        finally:
+            kept.unpersist()
+
+    in_threads = inheritable_thread_target(train.sparkSession)
+    with ThreadPoolExecutor(max_workers=len(sides)) as pool:
+        list(pool.map(in_threads(write), sides))
     return paths
 
 

@@ -79,3 +79,13 @@ def test_arguments(df):
     with pytest.raises(ValueError):
         D.require_unique_key(df, ["s"])
     D.require_unique_key(df, ["id"])
+
+
+def test_no_text_is_an_exchange_key(spark):
+    """Rows are grouped and joined by digests of long texts; only rows that repeat are fetched."""
+    text = "a text of more than sixty-four bytes, which is compared by its digest "
+    df = spark.createDataFrame([(text, 1.0), (text, 1.0), (text, 1.0), (text + "x", 1.0), ("short", None), ("short", float("nan"))], "text string, x double")
+    rows = D.duplicate_rows(df)
+    exchanges = [line for line in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text#" in line and "sha2(" not in line for line in exchanges)
+    assert sorted(map(tuple, rows.collect()), key=str) == [("a text of more than sixty-four bytes, which is compared by its digest ", 1.0)] * 2 + [("short", None)]
