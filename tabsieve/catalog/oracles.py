@@ -6,7 +6,7 @@ import itertools
 import random
 
 from ..operators.baseline import STRATEGIES
-from .queries import KEYWORDS, LINE_NUMBERS, RANDOM_GRID, SEED, TIED_NUMBERS
+from .queries import KEYWORDS, LINE_NUMBERS, RANDOM_GRID, SEED, TIED_NUMBERS, WIDE_COLUMNS
 from .tables import DIRTY_ORDERS
 
 DIRTY = f"dirty AS (SELECT {DIRTY_ORDERS} FROM orders)"
@@ -316,6 +316,8 @@ ORACLES: dict[str, str] = {
         for c in ("is_even", "o_orderstatus", "floor_txt")) + " FROM dirty",
     "corr_matrix": _matrix("lineitem", LINE_NUMBERS),
     "corr_matrix_with_gaps": f"WITH {DIRTY} " + _matrix("dirty", ["o_totalprice", "sparse_col", "o_custkey", "empty_col"]),
+    "corr_matrix_wide": "WITH wide AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in WIDE_COLUMNS.items()) + " FROM lineitem) " + " UNION ALL ".join(
+        f"SELECT '{b}' AS \"row\", '{a}' AS col, round(corr({b}, {a}), 6) AS corr FROM wide" for a, b in itertools.combinations(WIDE_COLUMNS, 2)),
     "corr_matrix_lower": _matrix("lineitem", LINE_NUMBERS, only_lower=True),
     "collinear_pairs": "WITH m AS (SELECT *, l_quantity * 2 + l_tax AS mixed FROM lineitem) SELECT feature1, feature2, abs_corr FROM (" + " UNION ALL ".join(
         f"SELECT '{b}' AS feature1, '{a}' AS feature2, round(abs(corr({b}, {a})), 6) AS abs_corr FROM m"

@@ -263,6 +263,11 @@ def impute_mode(spark, sf):
 
 # --- correlations -----------------------------------------------------------------------------
 
+#: 32 columns of other scales and gaps.
+WIDE_COLUMNS = {f"{c}_{m}": f"CASE WHEN (l_orderkey + l_linenumber) % {m} <> 1 THEN {c} * {m} + l_linenumber * 1e{m - 4} END"
+                for c in LINE_NUMBERS for m in range(2, 10)}
+
+
 def _with_double(spark, sf):
     return table(spark, sf, "lineitem").select(*LINE_NUMBERS, (F.col("l_quantity") * 2 + F.col("l_tax")).alias("mixed"))
 
@@ -279,6 +284,13 @@ def corr_matrix_with_gaps(spark, sf):
     return rounded(matrix, "corr")
 
 
+@query
+def corr_matrix_wide(spark, sf):
+    """Enough columns, each with gaps of its own, to multiply them in blocks."""
+    wide = [F.expr(e).alias(c) for c, e in WIDE_COLUMNS.items()]
+    return _lower(table(spark, sf, "lineitem").select(*wide), list(WIDE_COLUMNS), "pearson")
+
+
 @query
 def corr_matrix_lower(spark, sf):
     return rounded(correlation.lower_triangle(table(spark, sf, "lineitem"), LINE_NUMBERS), "corr")

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.comoments import PARTS as COMOMENTS, Scale, comoments
 from ..functions.nulls import doubles, is_numeric, known_double, ref, require_columns, type_of
 from ..functions.ranks import attach, average_ranks, order_codes
 from .columns import numeric_columns
 
 PAIRS_PER_JOB = 400
+# Of the sum of squares about the middle of a column; below it, a pair's variation is computed with more care.
+LEAST_SHARE = 1e-8
 MATRIX_SCHEMA = "row_pos int, col_pos int, row string, col string, corr double"
 
 
@@ -30,13 +34,28 @@ def _numeric(df: DataFrame, cols: Sequence[str] | None, key_cols: Sequence[str])
     return cols
 
 
-def _complete_and_varying(df: DataFrame, cols: Sequence[str]) -> tuple[set[str], set[str]]:
-    """Columns without a missing value, and columns with two different values, from one scan."""
+@dataclass(frozen=True)
+class Extent:
+    """What one scan tells of a column: no missing value, and the smallest and largest value (None without any)."""
+
+    complete: bool
+    low: float | None
+    high: float | None
+
+    @property
+    def varies(self) -> bool:
+        return self.low is not None and self.low < self.high
+
+    @property
+    def finite(self) -> bool:
+        return self.low is not None and math.isfinite(self.low) and math.isfinite(self.high)
+
+
+def _extents(df: DataFrame, cols: Sequence[str]) -> dict[str, Extent]:
     n = len(cols)
     row = doubles(df, cols).agg(F.count(F.lit(1)), *[F.expr(f"count(c{i})") for i in range(n)],
-                                *[F.expr(f"min(c{i}) < max(c{i})") for i in range(n)]).first()
-    return ({c for c, count in zip(cols, row[1:]) if count == row[0]},
-            {c for c, varies in zip(cols, row[1 + n:]) if varies})
+                                *[F.expr(f"min(c{i})") for i in range(n)], *[F.expr(f"max(c{i})") for i in range(n)]).first()
+    return {c: Extent(row[1 + i] == row[0], row[1 + n + i], row[1 + 2 * n + i]) for i, c in enumerate(cols)}
 
 
 def _pearson(a: str, b: str, complete: bool) -> str:
@@ -46,8 +65,8 @@ def _pearson(a: str, b: str, complete: bool) -> str:
     return f"covar_pop({a}, {b}) / nullif(stddev_pop({left}) * stddev_pop({right}), 0)"
 
 
-def _pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]],
-                   complete: set[str]) -> dict[tuple[str, str], float | None]:
+def _pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], complete: set[str]) -> dict[tuple[str, str], float | None]:
+    """One generated expression per pair; a scan for every PAIRS_PER_JOB of them."""
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     name = {c: f"c{i}" for i, c in enumerate(cols)}
     values = doubles(df, cols)
@@ -60,13 +79,48 @@ def _pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]],
     return out
 
 
+def _pearson_many(df: DataFrame, pairs: Sequence[tuple[str, str]], extents: dict[str, Extent]) -> dict[tuple[str, str], float | None]:
+    """All pairs from one scan that multiplies blocks of columns.
+
+    Pairs with a constant or empty column have no coefficient.  Columns with
+    infinite values, and pairs whose complete rows hardly vary on one side, where
+    sums of squares lose their digits, go by expressions.
+    """
+    if len(pairs) <= PAIRS_PER_JOB:
+        return _pearson_pairs(df, pairs, {c for c, e in extents.items() if e.complete})
+    out: dict[tuple[str, str], float | None] = {p: None for p in pairs}
+    varying = [p for p in pairs if all(extents[c].varies for c in p)]
+    blocked = [p for p in varying if all(extents[c].finite for c in p)]
+    apart = [p for p in varying if not all(extents[c].finite for c in p)]
+    if blocked:
+        left, right = (list(dict.fromkeys(side)) for side in zip(*blocked))
+        cols = list(dict.fromkeys([*left, *right]))
+        name = {c: f"c{i}" for i, c in enumerate(cols)}
+        scales = {name[c]: Scale.between(extents[c].low, extents[c].high) for c in cols}
+        sums = comoments(doubles(df, cols), [name[c] for c in left], [name[c] for c in right], scales)
+        at_left, at_right = {c: i for i, c in enumerate(left)}, {c: i for i, c in enumerate(right)}
+        for a, b in blocked:
+            n, x, y, xx, yy, xy = (float(sums[part][at_left[a], at_right[b]]) for part in COMOMENTS)
+            if n < 2:
+                continue
+            vary_x, vary_y = xx - x * x / n, yy - y * y / n
+            if vary_x <= LEAST_SHARE * xx or vary_y <= LEAST_SHARE * yy:
+                apart.append((a, b))
+            else:
+                out[a, b] = max(-1.0, min(1.0, (xy - x * y / n) / math.sqrt(vary_x) / math.sqrt(vary_y)))
+    if apart:
+        out.update(_pearson_pairs(df, apart, {c for c, e in extents.items() if e.complete}))
+    return out
+
+
 def _ranked_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]],
-                  complete: set[str]) -> dict[tuple[str, str], float | None]:
+                  extents: dict[str, Extent]) -> dict[tuple[str, str], float | None]:
     """Spearman: Pearson over mean ranks.
 
     Columns without gaps are ranked once for all their pairs; ranks of a pair
     with gaps depend on its complete rows, so it is ranked on its own.
     """
+    complete = {c for c, e in extents.items() if e.complete}
     out: dict[tuple[str, str], float | None] = {}
     whole = [p for p in pairs if p[0] in complete and p[1] in complete]
     if whole:
@@ -202,17 +256,17 @@ def kendall_tau(df: DataFrame, a: str, b: str) -> float | None:
 
 
 def correlation_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str = "pearson",
-                      complete: set[str] | None = None) -> dict[tuple[str, str], float | None]:
-    """Coefficients of the given column pairs; ``complete`` names columns known to have no missing value."""
+                      extents: dict[str, Extent] | None = None) -> dict[tuple[str, str], float | None]:
+    """Coefficients of the given column pairs; ``extents`` is what ``_extents`` found, if it is known."""
     if method not in ("pearson", "spearman", "kendall"):
         raise ValueError("method must be 'pearson', 'spearman' or 'kendall'")
     if not pairs:
         return {}
     if method == "kendall":
         return _kendall_pairs(df, pairs)
-    if complete is None:
-        complete = _complete_and_varying(df, list(dict.fromkeys(c for p in pairs for c in p)))[0]
-    return (_pearson_pairs if method == "pearson" else _ranked_pairs)(df, pairs, complete)
+    if extents is None:
+        extents = _extents(df, list(dict.fromkeys(c for p in pairs for c in p)))
+    return (_pearson_many if method == "pearson" else _ranked_pairs)(df, pairs, extents)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method: str = "pearson",
@@ -222,12 +276,12 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method:
     if not cols:
         return df.sparkSession.createDataFrame([], MATRIX_SCHEMA)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    complete, varying = _complete_and_varying(df, cols)
-    found = correlation_pairs(df, pairs, method, complete)
+    extents = _extents(df, cols)
+    found = correlation_pairs(df, pairs, method, extents)
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            value = (1.0 if a in varying else None) if i == j else found[(a, b) if i < j else (b, a)]
+            value = (1.0 if extents[a].varies else None) if i == j else found[(a, b) if i < j else (b, a)]
             cells.append((i, j, a, b, value))
     return df.sparkSession.createDataFrame(cells, MATRIX_SCHEMA)
 

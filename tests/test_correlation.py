@@ -61,6 +61,30 @@ def test_matrix_like_pandas(df, data, method, small, monkeypatch):
         assert g is None if math.isnan(w) else g == pytest.approx(w)
 
 
+@pytest.mark.parametrize("strip,groups,values", [(64, 16, 1 << 20), (2, 1, 7)])
+def test_many_pearson_pairs_from_one_scan(spark, monkeypatch, strip, groups, values):
+    """Gaps, constants, infinities, far offsets and a pair that only varies outside its complete rows."""
+    from tabsieve.functions import comoments
+    for module, name, value in ((R, "PAIRS_PER_JOB", 3), (comoments, "STRIP", strip), (comoments, "GROUPS", groups), (comoments, "BLOCK_VALUES", values)):
+        monkeypatch.setattr(module, name, value)
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=300)
+    pdf = pd.DataFrame({"a": a, "b": 1e9 + a + rng.normal(size=300), "c": 1e-200 * rng.random(300), "d": 1e300 * a, "k": 7.0, "none": np.nan,
+                        "inf": np.where(np.arange(300) == 5, np.inf, a), "gaps": np.where(rng.random(300) < 0.6, np.nan, a * a),
+                        "half": np.where(np.arange(300) < 150, np.nan, a), "flat": np.where(np.arange(300) < 150, a, 0.1)})
+    got = as_matrix(R.correlation_matrix(spark.createDataFrame(pdf).repartition(5)))
+    for x, y in itertools.combinations(pdf.columns, 2):
+        pair = pdf[[x, y]].dropna()
+        if np.isinf(pair).any(axis=None):
+            assert got[x, y] is None or math.isnan(got[x, y])
+        elif len(pair) < 2 or (pair.nunique() < 2).any():
+            assert got[x, y] is None, (x, y)
+        else:
+            scaled = (pair - pair.iloc[0]) / (pair - pair.iloc[0]).abs().max()
+            assert got[x, y] == pytest.approx(np.corrcoef(scaled[x], scaled[y])[0, 1], abs=1e-6), (x, y)
+    assert R.correlation_matrix(spark.createDataFrame(pdf).limit(0)).where("corr is not null").count() == 0
+
+
 @pytest.mark.parametrize("small", [0, 10_000])
 def test_kendall_against_brute_force(df, data, monkeypatch, small):
     monkeypatch.setattr(rank_tables, "SMALL", small)
