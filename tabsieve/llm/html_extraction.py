@@ -3,9 +3,10 @@
 A page is read into blocks of text, each with its path of tags from the root.  Blocks of one path are judged together:
 how much text outside links a node of the path holds on average, and how many punctuation marks.  Both ratios are
 smoothed over neighbouring blocks, multiplied, and averaged by path again; paths above a share of the page's best are
-content.  What stands beside content in the same container, headings and short paragraphs, goes with it.  Parts that
-their tag, class, id or role names as menus, headers, footers, sidebars, notices, adverts, forms or comments are left out
-beforehand, and where a page marks its article, the rest of the page is.
+content.  What stands beside content in the same container, headings, short paragraphs and links, goes with it.  Parts
+that their tag, class, id or role names as menus, footers, sidebars, notices, adverts, forms or comments are left out
+beforehand, and headers but those within what holds the content.  Where a page marks articles and these hold most of its
+text, the rest is left out, but for a heading of first rank before articles that have none.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ PARTS = re.compile(
     r"|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|breadcrumb|breadcrumbs|share|sharing|social|related|recommended"
     r"|comment|comments|commentlist|reply|replies|respond|discussion|disqus|widget|newsletter|subscribe|subscription|signup|login|search|pagination|pager|toolbar|copyright|skip)"
     r"(?:[-_](?:bar|box|block|area|list|wrap|wrapper|container|section|links?|menu|content|item|banner|top|bottom|left|right|main|inner|unit|slot|form|thread|body|text|\d+))*", re.I)
+#: Of these, the ones that may as well head an article; with the second kind of name they do.
+HEADER = re.compile(r"(?:[a-z]+[-_])?(?:header|masthead)(?:[-_][a-z]+)*", re.I)
+OWN_HEADER = re.compile(r"(?:post|article|entry|content|story)[-_]header.*", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article main section div body aside nav footer header form blockquote td th".split())
@@ -49,41 +53,48 @@ class Block:
     path: tuple[str, ...]
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
-    aside: bool = False
+    nodes: tuple[int, ...] = ()  # numbers of the elements of the path
+    aside: str = ""  # "out" within a part to be left out, "header" within a header
     article: int = 0  # number of the outermost article around it, 0 for none
     text: str = ""
     own: int = 0  # characters outside links
 
 
-def _named_aside(name: str, rest: str, in_article: bool) -> bool:
-    if name in ASIDE or (name == "header" and not in_article):
-        return True
-    if "=" not in rest and "hidden" not in rest:
-        return False
-    for m in ATTRIBUTE.finditer(rest):
-        value = next((g for g in m.groups()[1:] if g is not None), "")
-        kind = m[1].lower()
-        if kind == "role" and value.strip().lower() in ROLES or kind == "hidden" and name != "input" or kind == "aria-hidden" and value.lower() == "true":
-            return True
-        if kind == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if kind in ("class", "id") and name not in ("html", "body") and any(PARTS.fullmatch(word) for word in value.split()) and not (name in HEADINGS or name in ("article", "header") and in_article):
-            return True
-    return False
+def _named_aside(name: str, rest: str, in_article: bool) -> str:
+    """What its tag and attributes say of an element: "out", "header", or "" for neither."""
+    if name in ASIDE:
+        return "out"
+    header = name == "header" and not in_article
+    if "=" in rest or "hidden" in rest:
+        for m in ATTRIBUTE.finditer(rest):
+            value = next((g for g in m.groups()[1:] if g is not None), "")
+            kind = m[1].lower()
+            if kind == "role" and value.strip().lower() in ROLES or kind == "hidden" and name != "input" or kind == "aria-hidden" and value.lower() == "true":
+                return "out"
+            if kind == "style" and re.search(r"display\s*:\s*none", value, re.I):
+                return "out"
+            if kind in ("class", "id") and name not in ("html", "body") and not (name in HEADINGS or name in ("article", "header") and in_article):
+                for word in value.split():
+                    if PARTS.fullmatch(word):
+                        if not HEADER.fullmatch(word):
+                            return "out"
+                        header = header or not in_article and not OWN_HEADER.fullmatch(word)
+    return "header" if header else ""
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # name, and whether it is or lies in a part to be left out
-    articles, article, links, at, now = 0, 0, 0, 0, None
+    stack: list[tuple[str, str, int]] = []  # name, what it is or lies in (as Block.aside), number
+    articles, article, links, at, now, elements = 0, 0, 0, 0, None, 0
 
     def add(raw: str) -> None:
         nonlocal now
         if not raw or (now is None and raw.isspace()):
             return
         if now is None:
-            now = Block(tuple(n for n, _ in stack if n not in INLINE), aside=bool(stack) and stack[-1][1], article=article)
+            path, nodes = tuple(zip(*((n, k) for n, _, k in stack if n not in INLINE))) or ((), ())
+            now = Block(path, nodes=nodes, aside=stack[-1][1] if stack else "", article=article)
             found.append(now)
         text = html.unescape(raw) if "&" in raw else raw
         now.parts.append(text)
@@ -92,10 +103,10 @@ def blocks(page: str) -> list[Block]:
 
     def leave(depth: int) -> None:
         nonlocal links, article
-        for name, _ in stack[depth:]:
+        for name, _, _ in stack[depth:]:
             links -= name == "a"
         del stack[depth:]
-        if article and not any(n in ARTICLE for n, _ in stack):
+        if article and not any(n in ARTICLE for n, _, _ in stack):
             article = 0
 
     while m := MARKUP.search(page, at):
@@ -108,8 +119,8 @@ def blocks(page: str) -> list[Block]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), -1)
             if name not in INLINE:
                 now = None
-            if depth >= 0 and (name not in INLINE or not any(n in SCOPES for n, _ in stack[depth + 1 :])):
-                if name in INLINE and any(s for _, s in stack[depth:]) and not (depth and stack[depth - 1][1]):
+            if depth >= 0 and (name not in INLINE or not any(n in SCOPES for n, _, _ in stack[depth + 1 :])):
+                if name in INLINE and any(s for _, s, _ in stack[depth:]) and not (depth and stack[depth - 1][1]):
                     now = None
                 leave(depth)
             if name in ("td", "th"):
@@ -134,15 +145,16 @@ def blocks(page: str) -> list[Block]:
                 close = page.find(">", end.end()) if end else -1
                 at = close + 1 if close >= 0 else len(page)
         elif name not in VOID and not m["rest"].endswith("/>"):
-            outside = bool(stack) and stack[-1][1]
-            apart = outside or _named_aside(name, m["rest"], article > 0)
-            if apart and not outside:
+            outside = stack[-1][1] if stack else ""
+            apart = outside if outside == "out" else _named_aside(name, m["rest"], article > 0) or outside
+            if apart != outside:
                 now = None
             if name in ("td", "th", "mtd"):
                 add(" ")
-            stack.append((name, apart))
+            elements += 1
+            stack.append((name, apart, elements))
             links += name == "a"
-            if name in ARTICLE and not article and not apart:
+            if name in ARTICLE and not article and apart != "out":
                 articles += 1
                 article = articles
     add(page[at:])
@@ -180,26 +192,38 @@ def _within_body(path: tuple[str, ...]) -> tuple[str, ...]:
 
 def main_text(page: str | None, share: float = 0.1) -> str:
     """The content of a page: blocks whose path scores at least `share` of the best, and what belongs to them."""
-    own = [b for b in blocks(page) if not b.aside] if page else []
-    weight: dict[int, int] = {}
-    for b in own:
-        if b.article:
-            weight[b.article] = weight.get(b.article, 0) + b.own
-    if weight and max(weight.values()) > 0:
-        own = [b for b in own if b.article]
+    found = [b for b in blocks(page) if b.aside != "out"] if page else []
+    plain = [b for b in found if not b.aside]
+    within = sum(b.own for b in plain if b.article)
+    marked = within > 0 and 2 * within >= sum(b.own for b in plain)
+    own = [b for b in plain if b.article] if marked else plain
     if not own:
         return ""
     scores = path_scores(own)
     best = max(scores.values())
     chosen = {path for path, s in scores.items() if best > 0 and s >= share * best}
     containers = {_within_body(path)[:-1] for path in chosen}
-    kept = []
-    for b in own:
+    # elements that hold content directly, and where their content begins and ends
+    holders: dict[int, tuple[int, int]] = {}
+    for i, b in enumerate(own):
+        if b.path in chosen and _within_body(b.path)[:-1]:
+            holders[b.nodes[-2]] = (holders.get(b.nodes[-2], (i, i))[0], i)
+
+    def belongs(i: int, b: Block) -> bool:
+        if b.path in chosen:
+            return True
         path = _within_body(b.path)
-        beside = any(path[: len(c)] == c for c in containers)
-        if b.path in chosen or (beside and 2 * b.own >= len(b.text)):
-            kept.append(b.text)
-    return "\n".join(kept)
+        if not any(path[: len(c)] == c for c in containers):
+            return False
+        # links within an article, or between other content of one element, are content; others may be a menu
+        return 2 * b.own >= len(b.text) or marked or any(n in holders and holders[n][0] < i < holders[n][1] for n in b.nodes)
+
+    kept = {id(b) for i, b in enumerate(own) if belongs(i, b)}
+    kept |= {id(b) for b in found if b.aside == "header" and any(n in holders for n in b.nodes)}
+    if marked and not any(b.path[-1:] == ("h1",) for b in own):
+        first = next(i for i, b in enumerate(plain) if b.article)
+        kept |= {id(b) for b in [b for b in plain[:first] if b.path[-1:] == ("h1",)][-1:]}
+    return "\n".join(b.text for b in found if id(b) in kept)
 
 
 def extract_text(df: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
