@@ -2,7 +2,7 @@
 
 The patterns give the base spans.  The model adds what patterns miss: addresses written out, national phone numbers,
 identity numbers and names behind a cue.  It knows a word by its shape (or as one of a few cue words) and the shapes of
-two neighbours to either side; weights and transitions are trained by maximum likelihood on the small table of
+three neighbours to either side; weights and transitions are trained by maximum likelihood on the small table of
 pii_examples.  Texts are decoded by Viterbi, all sequences of a batch side by side.
 
 A sequence is a line; one of more than LONGEST words is walked in pieces, whose best chain is that of the whole line.
@@ -27,7 +27,7 @@ KINDS = ("email", "ip", "card", "phone", "name", "id")
 FOUND = ("email", "phone", "name", "id")  # by the model
 LABELS = ("O", *(f"{at}-{kind}" for kind in FOUND for at in "BI"))
 LONGEST = 512
-REACH = 2
+REACH = 3
 REMEMBERED = 300_000
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,8 +40,14 @@ DIGITS = re.compile("[0-9]")
 NOT_DIGITS = str.maketrans("", "", " ().+-")
 
 # Words that a label may hang on.
-CUES = frozenset("""at dot call phone tel fax mobile telefon teléfono téléphone number no ssn iban passport security name
-mr mrs ms dr herr frau señora señor monsieur madame mail contact reach write""".split())
+CUES = frozenset("""at dot call phone tel telephone fax mobile ring whatsapp telefon handy rufnummer erreichbar unter teléfono tfno móvil
+téléphone tél portable appelez llame rufen number nummer número numéro no nr ssn iban passport pasaporte passeport reisepass ausweis dni nif
+steuernummer social security tax license licence insurance account name named nom nombre llamo heiße signed patient customer dear
+mr mrs ms miss dr prof herr herrn frau sr sra señor señora don doña m mme mlle monsieur madame mail email correo contact reach write
+is ist es est me us on my""".split())
+
+
+ABBREVIATED = frozenset("mr mrs ms dr prof sr sra m tel tfno tél".split())
 
 
 def luhn(digits: str) -> bool:
@@ -97,8 +103,31 @@ def shape(word: str) -> str:
 
 @lru_cache(maxsize=1)
 def _shapes() -> dict[str, int]:
-    known = ["\n", "?", "x", "a", "a1", "A1", "A2", "A3", "Aa", "aA", *(f"9{n}" for n in range(1, 13)), *string.punctuation, *sorted(CUES), *(c + "^" for c in sorted(CUES))]
-    return {s: i for i, s in enumerate(known)}
+    known = ["\n", "cue.", "cue:", "?", "x", "a", "a1", "A1", "A2", "A3", "Aa", "aA", *(f"9{n}" for n in range(1, 13)), *string.punctuation, *sorted(CUES), *(c + "^" for c in sorted(CUES))]
+    return {s: i for i, s in enumerate(dict.fromkeys(known))}
+
+
+@lru_cache(maxsize=1)
+def _marks() -> list[tuple[int, int, np.ndarray]]:
+    """(mark, its shape behind such a cue, whether a shape is such a cue)."""
+    known = _shapes()
+    return [(known[mark], known["cue" + mark], np.array([s.rstrip("^") in cues for s in known])) for mark, cues in ((".", ABBREVIATED), (":", CUES))]
+
+
+def linked(ids: np.ndarray) -> np.ndarray:
+    """The shapes of words in their order; a stop behind an abbreviation and a colon behind a cue have their own."""
+    out = ids.copy()
+    for mark, own, cues in _marks():
+        out[(ids == mark) & np.concatenate(([False], cues[ids[:-1]]))] = own
+    return out
+
+
+def trimmed_span(kind: str, span: str) -> str:
+    """Without marks at the end; a name does not end with a word in small letters either."""
+    span = span.rstrip(" .,;:!?")
+    while kind == "name" and (m := re.search(r"\s+[^\W\d_]+$", span)) and m[0].strip().islower():
+        span = span[: m.start()].rstrip(" .,;:!?")
+    return span
 
 
 def plausible(kind: str, text: str, start: int, end: int) -> bool:
@@ -205,7 +234,7 @@ class Crf:
         words = [[*WORD.findall(t), "\n"] if t else ["\n"] for t in texts]
         sizes = np.array([len(w) for w in words])
         ids = np.concatenate([np.array(self.ids(w), np.int64) for w in words]) if words else np.zeros(0, np.int64)
-        labels = self.decode(ids)
+        labels = self.decode(linked(ids))
         first = np.cumsum(sizes) - sizes
         found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
         for i in np.unique(np.searchsorted(first, np.flatnonzero(labels), side="right") - 1).tolist():
@@ -221,7 +250,8 @@ class Crf:
                     end = m.end()
             if open_kind:
                 found[i].append((open_kind, start, end))
-        return [[x for x in own if plausible(x[0], t, x[1], x[2])] if own else own for t, own in zip(texts, found)]
+        trimmed = [[(k, a, a + len(trimmed_span(k, t[a:b]))) for k, a, b in own] if own else own for t, own in zip(texts, found)]
+        return [[x for x in own if x[1] < x[2] and plausible(x[0], t, x[1], x[2])] if own else own for t, own in zip(texts, trimmed)]
 
 
 def marked(line: str) -> tuple[list[str], list[int]]:
@@ -236,7 +266,7 @@ def marked(line: str) -> tuple[list[str], list[int]]:
     return words, labels
 
 
-def train(lines: list[str], rounds: int = 80, rate: float = 0.12, penalty: float = 1e-3, caution: float = 0.0) -> Crf:
+def train(lines: list[str], rounds: int = 90, rate: float = 0.15, penalty: float = 1e-4, caution: float = 0.0) -> Crf:
     """Maximum likelihood by Adam over all lines at once; the gradient by forward and backward sums.
 
     caution: what a word outside gets on top, in nats, so that doubtful words stay outside.
@@ -245,37 +275,45 @@ def train(lines: list[str], rounds: int = 80, rate: float = 0.12, penalty: float
     pairs = sorted((p for p in map(marked, lines) if p[0]), key=lambda p: -len(p[0]))
     size = np.array([len(w) for w, _ in pairs])
     steps, count = int(size[0]), len(pairs)
-    ids = np.zeros((count, steps + 2 * REACH), np.int64)
-    gold = np.zeros((count, steps), np.int64)
+    wide = np.zeros((count, steps + 2 * REACH), np.int64)
+    gold_of = np.zeros((count, steps), np.int64)
     for i, (words, labels) in enumerate(pairs):
-        ids[i, REACH : REACH + len(words)] = [shapes[shape(w)] for w in words]
-        gold[i, : len(labels)] = labels
-    mask = np.arange(steps)[None, :] < size[:, None]
-    here = np.eye(n)[gold] * mask[..., None]
-    both = mask[:, 1:].copy()
+        wide[i, REACH : REACH + len(words)] = linked(np.array([shapes[shape(w)] for w in words]))
+        gold_of[i, : len(labels)] = labels
+    # word by word: step t of all lines that have one, the longest line first
+    active = np.array([int((size > t).sum()) for t in range(steps)])
+    begin = np.cumsum(active) - active
+    line, step_of = np.concatenate([np.arange(a) for a in active]), np.repeat(np.arange(steps), active)
+    near = [wide[line, step_of + k] for k in range(2 * REACH + 1)]
+    gold = np.eye(n)[gold_of[line, step_of]]
+    last = begin[size - 1] + np.arange(count)
     weights, moves, start = np.zeros((2 * REACH + 1, len(shapes), n)), np.zeros((n, n)), np.zeros(n)
-    seen = [np.einsum("bti,btj->ij", here[:, :-1] * both[..., None], here[:, 1:]), here[:, 0].sum(axis=0)]
+    moved = sum((gold[begin[t - 1] : begin[t - 1] + active[t]].T @ gold[begin[t] : begin[t] + active[t]] for t in range(1, steps)), np.zeros((n, n)))
     params, m1, m2 = [weights, moves, start], [0.0] * 3, [0.0] * 3
+
+    def summed(x: np.ndarray, axis: int) -> np.ndarray:
+        top = x.max(axis=axis, keepdims=True)
+        return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
+
     for step in range(1, rounds + 1):
-        score = sum(weights[k][ids[:, k : k + steps]] for k in range(2 * REACH + 1))
-        ahead, behind = np.zeros((count, steps, n)), np.zeros((count, steps, n))
-        ahead[:, 0] = score[:, 0] + start
+        score = sum(weights[k].take(near[k], axis=0) for k in range(2 * REACH + 1))
+        ahead, behind, met = score.copy(), np.zeros_like(score), np.zeros((n, n))
+        ahead[:count] += start
         for t in range(1, steps):
-            x = ahead[:, t - 1, :, None] + moves
-            top = x.max(axis=1)
-            ahead[:, t] = np.where(mask[:, t, None], top + np.log(np.exp(x - top[:, None]).sum(axis=1)) + score[:, t], ahead[:, t - 1])
-        for t in range(steps - 2, -1, -1):
-            x = (score[:, t + 1] + behind[:, t + 1])[:, None, :] + moves
-            top = x.max(axis=2)
-            behind[:, t] = np.where(mask[:, t + 1, None], top + np.log(np.exp(x - top[..., None]).sum(axis=2)), 0)
-        top = ahead[:, -1].max(axis=1)
-        whole = top + np.log(np.exp(ahead[:, -1] - top[:, None]).sum(axis=1))
-        share = np.exp(ahead + behind - whole[:, None, None]) * mask[..., None]
-        pair = np.exp(ahead[:, :-1, :, None] + moves + (score + behind)[:, 1:, None, :] - whole[:, None, None, None]) * both[..., None, None]
-        error = (here - share).reshape(-1, n)
-        grads = [np.zeros_like(weights), seen[0] - pair.sum(axis=(0, 1)), seen[1] - share[:, 0].sum(axis=0)]
+            own = slice(begin[t], begin[t] + active[t])
+            ahead[own] += summed(ahead[begin[t - 1] : begin[t - 1] + active[t], :, None] + moves, 1)
+        whole = summed(ahead[last], 1)
+        for t in range(steps - 1, 0, -1):
+            own, before = slice(begin[t], begin[t] + active[t]), slice(begin[t - 1], begin[t - 1] + active[t])
+            x = moves + (score[own] + behind[own])[:, None, :]
+            behind[before] = summed(x, 2)
+            met += np.exp(x + ahead[before, :, None] - whole[: active[t], None, None]).sum(axis=0)
+        share = np.exp(ahead + behind - whole[line, None])
+        error = gold - share
+        grads = [np.zeros_like(weights), moved - met, error[:count].sum(axis=0)]
         for k in range(2 * REACH + 1):
-            np.add.at(grads[0][k], ids[:, k : k + steps].ravel(), error)
+            for label in range(n):
+                grads[0][k][:, label] = np.bincount(near[k], error[:, label], len(shapes))
         for i, (p, g) in enumerate(zip(params, grads)):
             g = g / count - penalty * p
             m1[i], m2[i] = 0.9 * m1[i] + 0.1 * g, 0.999 * m2[i] + 0.001 * g * g

@@ -121,7 +121,7 @@ def test_the_field_adds_spans_and_leaves_prose_alone():
 def test_viterbi_finds_the_best_of_all_paths():
     rng = np.random.default_rng(0)
     n = len(pii.LABELS)
-    model = pii.Crf(rng.normal(size=(5, len(pii._shapes()), n)).astype(np.float32), rng.normal(size=(n, n)).astype(np.float32), rng.normal(size=n).astype(np.float32))
+    model = pii.Crf(rng.normal(size=(2 * pii.REACH + 1, len(pii._shapes()), n)).astype(np.float32), rng.normal(size=(n, n)).astype(np.float32), rng.normal(size=n).astype(np.float32))
     ids = np.array([4, 9, 3, 17])
     scores = model.scores(ids)
     grid = model.start[:, None, None, None] + sum(s.reshape([-1 if k == i else 1 for k in range(4)]) for i, s in enumerate(scores))
