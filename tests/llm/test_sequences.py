@@ -234,7 +234,7 @@ def test_a_full_filter_changes_no_count(spark, monkeypatch):
     """Wrong bits, here all of them, cost work only."""
     rows = [("en", PROSE * 3), ("en", "the quick brown fox. the lazy dog")] * 5
     frame = spark.createDataFrame(rows, "lang string, text string")
-    monkeypatch.setattr(collocations, "frequent_bits", lambda counted, least: np.full(1 << (collocations.FILTER_BITS - 6), 2**64 - 1, np.uint64))
+    monkeypatch.setattr(collocations, "frequent_bits", lambda counted, least, bits: np.full(1 << (collocations.FILTER_BITS - 6), 2**64 - 1, np.uint64))
     found = collocations.collocations(frame, 4, 5, 50).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
     assert sorted(map(tuple, found)) == collocations_by_hand(rows, 4, 5, 50)
 
