@@ -358,6 +358,7 @@ ORACLES: dict[str, str] = {
            "coalesce(is_even, false)::TINYINT AS \"cat__is_even_True\"", "(is_even IS NULL)::TINYINT AS \"cat__is_even_None\""]) + " FROM d, q",
     "feature_vectors": _slots(),
     "label_encode": "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS code FROM orders",
+    "label_encode_int8": "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS TINYINT) AS code FROM orders",
     "attach_target": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
     "accuracy": "SELECT round(avg((quality = toxic)::INT::DOUBLE), 6) AS accuracy FROM labels",
     "confusion": "SELECT a.v::INTEGER AS actual, p.v::INTEGER AS predicted, (SELECT count(*) FROM labels WHERE quality = a.v AND toxic = p.v) AS n "

@@ -475,6 +475,14 @@ def label_encode(spark, sf):
     return features.LabelEncoder("o_orderstatus", "code").fit(orders).transform(orders).select("o_orderkey", "code")
 
 
+@query
+def label_encode_int8(spark, sf):
+    """Codes in the narrowest integer type."""
+    orders = table(spark, sf, "orders")
+    encoder = features.LabelEncoder("o_orderpriority", "code", dtype="tinyint")
+    return encoder.fit(orders).transform(orders).select("o_orderkey", "code")
+
+
 @query
 def attach_target(spark, sf):
     orders = table(spark, sf, "orders")
