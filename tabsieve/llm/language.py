@@ -6,7 +6,9 @@ are normalised to bits per character, phrases * log2(sample length) / text lengt
 
 All languages lie in one table of transitions, and all texts of a batch are walked side by side, one character a step.
 Every letter of the samples has a symbol of its own: the most frequent ones a column of the table, the others sorted
-pairs of state and symbol.  Texts are cut after every SEGMENT characters; a cut ends a phrase.
+pairs of state and symbol.  A long text is walked as pieces of SEGMENT characters at once, each as if a phrase began with
+it; then the parse that truly arrives at a piece is followed until both are in one state, from where on they are one.  So
+the counts are those of whole texts, however long.
 """
 
 from __future__ import annotations
@@ -93,14 +95,17 @@ class CrossParser:
         by_letter = np.full(0x110000, UNSEEN, np.int32)
         by_letter[own] = 3 + np.arange(len(own))
         self.symbol = np.where(letter, by_letter[lower], GAP).astype(np.int32)
-        tables, self.root, self.dead, self.bits, offset = [np.zeros((1, COLUMNS), np.int32)], [], [], [], 1
+        self.root, self.dead, self.bits, offset = [], [], [], 1
+        # an automaton has at most two states a symbol; rows that stay empty take no memory
+        rows = sum(2 + sum(2 * len(x) + 2 for x in texts) for texts in points.values())
+        moves_of = np.zeros((1 + rows, COLUMNS), np.int32)
         rare, rare_to = array("q"), array("q")
         for name in self.languages:
             symbols: list[int] = []
             for x in points[name]:
                 symbols += [*self._squeezed(self.symbol[x]).tolist(), BREAK]
             moves = suffix_automaton(symbols)
-            part = np.zeros((len(moves) + 1, COLUMNS), np.int32)  # the last state has no way on: a phrase of one unseen letter
+            part = moves_of[offset : offset + len(moves) + 1]  # the last state has no way on: a phrase of one unseen letter
             for state, to in enumerate(moves):
                 for c, target in to.items():
                     if c >= COLUMNS - 1:
@@ -108,12 +113,11 @@ class CrossParser:
                         rare_to.append(offset + target)
                     elif c != BREAK:
                         part[state, c] = offset + target
-            tables.append(part)
             self.root.append(offset)
             self.dead.append(offset + len(moves))
             self.bits.append(np.log2(max(2, len(symbols))))
             offset += len(part)
-        self.moves = np.concatenate(tables).ravel()
+        self.moves = moves_of[:offset].ravel()
         keys = np.array(rare, np.int64)
         order = np.argsort(keys)
         # a last entry that no key reaches
@@ -157,25 +161,72 @@ class CrossParser:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         first = begins[owner] + nth * SEGMENT
         size = np.minimum(SEGMENT, ends[owner] - first)
+        counts = np.zeros((len(self.languages), len(owner)), np.int32)
+        last = np.zeros((len(self.languages), len(owner)), np.int32)
         order = np.argsort(-size, kind="stable")
-        first, size, owner = first[order], size[order], owner[order]
+        for k in range(0, len(order), 20_000):
+            some = order[k : k + 20_000]
+            counts[:, some], last[:, some] = self._walk(x, first[some], size[some])
+        self._rejoin(x, first, size, nth > 0, counts, last)
         total = np.zeros((len(texts), len(self.languages)), np.int64)
-        for k in range(0, len(owner), 20_000):
-            f, s = first[k : k + 20_000], size[k : k + 20_000]
-            counts = np.ones((len(self.languages), len(f)), np.int64)
-            state = self.start[:, x[f]].astype(np.int64)
-            active = np.searchsorted(-s, -np.arange(int(s[0])), side="left")  # pieces longer than t
-            for t in range(1, int(s[0])):
-                n = active[t]
-                c = x[f[:n] + t]
-                to = self._step(state[:, :n], c)
-                stuck = to == 0
-                counts[:, :n] += stuck
-                state[:, :n] = np.where(stuck, self.start[:, c], to)
-            for lang in range(len(self.languages)):
-                total[:, lang] += np.bincount(owner[k : k + 20_000], counts[lang], len(texts)).astype(np.int64)
+        for lang in range(len(self.languages)):
+            total[:, lang] = np.bincount(owner, counts[lang], len(texts)).astype(np.int64)
         return total, length
 
+    def _walk(self, x: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases and last state by language and piece, the first phrase beginning with the piece; longest pieces first."""
+        counts = np.ones((len(self.languages), len(first)), np.int64)
+        state = self.start[:, x[first]].astype(np.int64)
+        active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")  # pieces longer than t
+        for t in range(1, int(size[0])):
+            n = active[t]
+            c = x[first[:n] + t]
+            to = self._step(state[:, :n], c)
+            stuck = to == 0
+            counts[:, :n] += stuck
+            state[:, :n] = np.where(stuck, self.start[:, c], to)
+        return counts, state
+
+    def _rejoin(self, x: np.ndarray, first: np.ndarray, size: np.ndarray, continued: np.ndarray, counts: np.ndarray, last: np.ndarray) -> None:
+        """Turns counts of pieces that each begin a phrase into those of the texts' own parses.
+
+        A piece is done again when the state changes that the piece before it ends in, so the last round changes none.
+        """
+        alone, alone_last = counts.copy(), last.copy()
+        lang, piece = (i.ravel() for i in np.meshgrid(np.arange(len(self.languages)), np.flatnonzero(continued), indexing="ij"))
+        while len(piece):
+            more, end, met = self._follow(x, first[piece], size[piece], lang, last[lang, piece - 1].astype(np.int64))
+            counts[lang, piece] = alone[lang, piece] + more
+            end = np.where(met, alone_last[lang, piece], end)
+            changed = end != last[lang, piece]
+            last[lang, piece] = end
+            lang, piece = lang[changed], piece[changed] + 1
+            inside = piece < len(continued)
+            lang, piece = lang[inside], piece[inside]
+            lang, piece = lang[continued[piece]], piece[continued[piece]]
+
+    def _follow(self, x: np.ndarray, first: np.ndarray, size: np.ndarray, lang: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Walks pieces from the states that arrive at them, beside walks that begin a phrase, until both are in one state.
+
+        By piece: phrases begun by the first walk less those of the second, its last state, whether they met.
+        """
+        more, end, met = np.zeros(len(first), np.int64), state.copy(), np.zeros(len(first), bool)
+        at, other = np.arange(len(first)), np.zeros(len(first), np.int64)  # state 0 leads nowhere: a phrase begins
+        for t in range(int(size.max())):
+            c = x[first[at] + t]
+            fresh = self.start[lang[at], c]
+            to, beside = self._step(state, c), self._step(other, c)
+            more[at] += (to == 0).astype(np.int64) - (beside == 0)
+            state, other = np.where(to == 0, fresh, to), np.where(beside == 0, fresh, beside)
+            same, over = state == other, size[at] == t + 1
+            met[at[same]] = True
+            end[at[over]] = state[over]
+            on = ~(same | over)
+            at, state, other = at[on], state[on], other[on]
+            if not len(at):
+                break
+        return more, end, met
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and margin: by how much the best needs fewer bits than the second, 0 (as many) to 1 (or no second)."""
         if not self.languages:
@@ -188,7 +239,7 @@ class CrossParser:
         return [self.languages[b] if n else UNKNOWN for b, n in zip(best.tolist(), length.tolist())], np.where(length > 0, np.clip(margin, 0, 1), 0.0).tolist()
 
 
-def language_samples(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = 24, longest: int = 4_000, total: int = 1_600_000) -> dict[str, list[str]]:
+def language_samples(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = 24, longest: int = 4_000, total: int = 600_000) -> dict[str, list[str]]:
     """The sample that the automata are built of: at most `rows` texts a language, each of at most `longest` characters.
 
     One text for each of `rows` hash buckets: that of the smallest hash, texts of 200 to `longest` characters before

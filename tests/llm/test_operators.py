@@ -182,6 +182,49 @@ def test_every_letter_of_the_samples_has_its_own_symbol():
     assert parser.predict([text(pairs, 30) for pairs in (first, second) * 20])[0] == ["a", "b"] * 20
 
 
+def greedy_phrases(text, sample):
+    at = n = 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in sample:
+            size += 1
+        at, n = at + size, n + 1
+    return n
+
+
+@pytest.mark.parametrize("segment", [1, 2, 7, 512])
+def test_long_texts_are_parsed_without_a_cut(segment, monkeypatch):
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    rng = random.Random(11)
+
+    def text(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    # the third sample is one long period, so parses that began apart stay apart for long
+    samples = {"a": [text("abc", 900)], "b": [text("abcd", 700)], "c": ["abcabdabce" * 200], "d": ["".join(text("abcde", 5) + " " for _ in range(300)).strip()]}
+    parser = language.CrossParser(samples)
+    texts = [text("abcd", 2_600), ("abcabdabce" * 300)[3:], "", "a", text("abc", 513), text("ab", 1_024) + "z" * 600 + text("abc", 900), None, "xyz" * 400]
+    counts, length = parser.phrases(texts)
+    assert length.tolist() == [len(t or "") for t in texts]
+    for found, t in zip(counts, texts):
+        assert found.tolist() == [greedy_phrases(t or "", samples[name][0]) for name in parser.languages]
+
+
+def test_the_table_of_seventeen_languages_stays_small(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(17):
+        vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+        rows += [(f"l{k:02}", " ".join(rng.choice(vocabulary) for _ in range(600))) for _ in range(24)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    samples = language.language_samples(df)
+    assert len(samples) == 17 and sum(len(t) for own in samples.values() for t in own) <= 600_000
+    parser = language.CrossParser(samples)
+    assert parser.moves.nbytes + parser.rare.nbytes + parser.rare_to.nbytes <= 300_000_000
+    found = parser.predict([t for _, t in rows])[0]
+    assert found == [name for name, _ in rows]
+
+
 def test_held_out_languages_are_found(spark):
     rows = QUERIES["op10_cross_parsing"](spark, "/root/testdata/sf0.01").join(table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
