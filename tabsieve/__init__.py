@@ -15,7 +15,7 @@ from .operators.correlation import (collinear_pairs, correlation_matrix, feature
 from .operators.distributions import histograms, scatter_points, target_counts, value_counts
 from .operators.duplicates import count_duplicates, duplicate_count, duplicate_rows, require_unique_key
 from .operators.features import (FeaturePreprocessor, FeaturePreprocessorModel, LabelEncoder, LabelEncoderModel,
-                                 preprocess_data)
+                                 class_codes, encode_classes, preprocess_data)
 from .operators.imputation import impute_categorical, impute_mode, impute_numeric
 from .operators.metrics import (Scorer, accuracy, classification_report, confusion_matrix, confusion_table,
                                 regression_metrics)

@@ -124,7 +124,7 @@ def _bins(source: str, c: str, with_edges: bool) -> str:
 
 def _value_counts(source: str, cols, n: int) -> str:
     return " UNION ALL ".join(
-        f"(SELECT '{c}' AS \"column\", value, n, CAST(r AS INTEGER) AS rank FROM (SELECT value, count(*) AS n, "
+        f"(SELECT '{c}' AS \"column\", value, n, r AS rank FROM (SELECT value, count(*) AS n, "
         f"row_number() OVER (ORDER BY count(*) DESC, value NULLS FIRST) AS r FROM "
         f"(SELECT {label} AS value FROM {source}) GROUP BY value) WHERE r <= {n})" for c, label in cols)
 
@@ -358,6 +358,8 @@ ORACLES: dict[str, str] = {
            "coalesce(is_even, false)::TINYINT AS \"cat__is_even_True\"", "(is_even IS NULL)::TINYINT AS \"cat__is_even_None\""]) + " FROM d, q",
     "feature_vectors": _slots(),
     "label_encode": "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS code FROM orders",
+    "class_codes_text": "SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) - 1 AS code FROM customer",
+    "class_codes_numeric": "SELECT o_orderkey, dense_rank() OVER (ORDER BY o_custkey) - 1 AS code FROM orders",
     "label_encode_int8": "SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS TINYINT) AS code FROM orders",
     "attach_target": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders",
     "accuracy": "SELECT round(avg((quality = toxic)::INT::DOUBLE), 6) AS accuracy FROM labels",

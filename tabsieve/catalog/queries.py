@@ -475,6 +475,22 @@ def label_encode(spark, sf):
     return features.LabelEncoder("o_orderstatus", "code").fit(orders).transform(orders).select("o_orderkey", "code")
 
 
+@query
+def class_codes_text(spark, sf):
+    """Codes of as many classes as there are customers; no list of them leaves the executors."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    codes = features.class_codes(customers, "c_name")
+    return features.encode_classes(customers, "c_name", codes, "code").select("c_custkey", "code")
+
+
+@query
+def class_codes_numeric(spark, sf):
+    """Numbers as classes: codes follow their size."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    codes = features.class_codes(orders, "o_custkey")
+    return features.encode_classes(orders, "o_custkey", codes, "code").select("o_orderkey", "code")
+
+
 @query
 def label_encode_int8(spark, sf):
     """Codes in the narrowest integer type."""

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..functions.bounded import local_table
 from ..functions.hashing import digest_unit, key_digest
 from ..functions.nulls import doubles, known, known_double, log1p_or_null, ref, require_columns, sql_double, type_of
+from ..functions.ordering import running_totals
 from .columns import numeric_columns
 from .profile import long_values
 
 HISTOGRAM_SCHEMA = "column string, bin int, bin_start double, bin_end double, n bigint"
 PARTIAL_TOP = 1_000     # up to here Spark keeps only the top rows of each task before the shuffle
 PIVOTS = 4_096          # values, about, that part a full ranking into ranges
-HEAD = 64               # characters of a value that a pivot keeps
 
 
 def bin_width(lo: float, hi: float, bins: int) -> float:
@@ -93,7 +91,7 @@ def value_counts(df: DataFrame, top_n: int | None = 20, cols: Sequence[str] | No
     """
     cols = qualitative_columns(df, key_cols) if cols is None else require_columns(df, cols)
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank int")
+        return df.sparkSession.createDataFrame([], "column string, value string, n bigint, rank bigint")
     labels = {c: F.initcap(known(df, c).cast("string")) for c in cols if isinstance(type_of(df, c), T.BooleanType)}
     counts = (long_values(df, cols, labels).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
     if top_n is None or top_n > PARTIAL_TOP:
@@ -101,40 +99,14 @@ def value_counts(df: DataFrame, top_n: int | None = 20, cols: Sequence[str] | No
         return ranked if top_n is None else ranked.where(F.col("rank") <= top_n)
     order = [F.desc("n"), F.asc_nulls_first("value")]
     ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(*order)))
+    ranked = ranked.withColumn("rank", F.col("rank").cast("bigint"))
     return ranked.where(F.col("rank") <= top_n)
 
 
 def _ranked_by_ranges(counts: DataFrame) -> DataFrame:
-    """Rank of every (column, value) by count, without one task that sees a whole column.
-
-    About PIVOTS rows, chosen by the hash of their content, cut the common order
-    into ranges; the ranges' sizes give each one's first rank.
-    """
-    spark = counts.sparkSession
-    place = F.struct(F.col("column"), (-F.col("n")).alias("n"), F.col("value").isNotNull().alias("given"),
-                     F.coalesce(F.substring("value", 1, HEAD), F.lit("")).alias("head"))
-    placed = counts.withColumn("place", place)
-    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = max(1, sum(sizes.values()) // PIVOTS)
-    chosen = placed.where(F.pmod(F.xxhash64("column", "value"), F.lit(share)) == 0).select("place").distinct()
-    pivots = sorted(tuple(r["place"]) for r in chosen.collect())
-    listed = json.dumps([dict(zip(("column", "n", "given", "head"), p)) for p in pivots])
-    table = F.from_json(F.lit(listed), T.ArrayType(placed.schema["place"].dataType))      # folded into one literal
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(pivots).bit_length())))])
-    # the number of pivots at or before the row, by bisection; past their end get() is NULL
-    at = F.aggregate(steps, F.lit(0), lambda low, step: F.when(
-        F.get(table, low + step - 1) <= F.col("place"), low + step).otherwise(low))
-    ranged = placed.withColumn("range", at).select("column", "value", "n", "range")
-    held = ranged.groupBy("column", "range").agg(F.count(F.lit(1)).alias("held")).collect()
-    before, rows = dict.fromkeys(sizes, 0), []
-    for r in sorted(held, key=lambda r: (r["column"], r["range"])):
-        rows.append((r["column"], r["range"], before[r["column"]]))
-        before[r["column"]] += r["held"]
-    firsts = local_table(spark, rows, "column string, range int, before bigint")
-    order = Window.partitionBy("column", "range").orderBy(F.desc("n"), F.asc_nulls_first("value"))
-    inside = ranged.withColumn("inside", F.row_number().over(order))
-    return inside.join(firsts, ["column", "range"]).select(
-        "column", "value", "n", (F.col("before") + F.col("inside")).cast("int").alias("rank"))
+    """Rank of every (column, value) by count, without one task that sees a whole column."""
+    ranked = running_totals(counts.withColumn("fewest", -F.col("n")), ["column"], ["fewest", "value"], name="rank", pivots=PIVOTS)
+    return ranked.select("column", "value", "n", "rank")
 
 
 def target_counts(df: DataFrame, target: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.bounded import collect_at_most
 from ..functions.nulls import is_nested, is_numeric, known, known_double, ref, require_columns, type_of
+from ..functions.ordering import running_totals
 from ..functions.persistence import JsonState
 from ..functions.quantiles import exact_quantiles
 from .columns import identify_column_types
@@ -206,3 +207,39 @@ class LabelEncoderModel(Model, JsonState):
         index = StringIndexerModel.from_labels(s["classes"], "__label", "__code", handleInvalid="error")
         coded = index.transform(keyed).withColumn(s["output"], F.col("__code").cast(s["dtype"]))
         return coded.drop("__label", "__code")
+
+
+def class_codes(df: DataFrame, col: str, dtype: str = "bigint") -> DataFrame:
+    """Every class of a column and its code from 0 in natural order, as a table: ``(class, code)``.
+
+    The codes are those of a ``LabelEncoder``, for columns with more classes than
+    a driver should hold.  A missing class, and more classes than ``dtype`` holds,
+    are errors.
+    """
+    require_columns(df, [col])
+    if dtype not in CODE_TYPES:
+        raise ValueError(f"dtype must be one of {sorted(CODE_TYPES)}")
+    kind, label = type_of(df, col), _label(df, col)
+    # whole numbers are compared as they are, other numbers as doubles, all else as text
+    natural = known(df, col) if isinstance(kind, T.IntegralType) else known_double(df, col) if is_numeric(kind) else label
+    classes = df.groupBy(label.alias("class"), natural.alias("natural")).agg(F.lit(1).alias("one")).drop("one")
+    row = classes.agg(F.count(F.lit(1)).alias("all"), F.count("class").alias("named")).first()
+    if row["all"] != row["named"]:
+        raise ValueError(f"{col} has missing classes")
+    if row["all"] > CODE_TYPES[dtype]:
+        raise ValueError(f"{row['all']} classes do not fit {dtype}")
+    numbered = running_totals(classes, [], ["natural", "class"], name="upto")
+    return numbered.select("class", (F.col("upto") - 1).cast(dtype).alias("code"))
+
+
+def encode_classes(df: DataFrame, col: str, codes: DataFrame, output_col: str) -> DataFrame:
+    """Add the code of each row's class from a table of ``class_codes``; a class that it lacks is an error.
+
+    A join by class: Spark broadcasts the table while it is small and splits classes that hold many rows.
+    """
+    require_columns(df, [col])
+    side = codes.select(F.col("class").alias("__class"), F.col("code").alias("__code"))
+    unseen = F.raise_error(F.concat(F.lit(f"{col} holds a class without a code: "), F.coalesce("__label", F.lit("missing"))))
+    joined = df.withColumn("__label", _label(df, col)).join(side, F.col("__label") == F.col("__class"), "left")
+    coded = joined.withColumn(output_col, F.when(F.col("__code").isNull(), unseen).otherwise(F.col("__code")))
+    return coded.drop("__label", "__class", "__code")

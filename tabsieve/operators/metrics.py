@@ -17,7 +17,7 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
-def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """``(actual, predicted, n)`` for all pairs that occur, missing values being one of them.
 
     Both sides have the wider of their types, so a prediction of 0.9 is no class 0.
@@ -31,9 +31,15 @@ def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return df.groupBy(y.alias("actual"), p.alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def accuracy_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The accuracy from the counts per (actual, predicted)."""
+    hits = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
+    return pairs.agg((hits / F.nullif(F.sum("n"), F.lit(0).cast("bigint"))).alias("accuracy"))
+
+
 def observed_classes(df: DataFrame, label: str, prediction: str) -> list:
     """The classes that occur as truth or prediction, sorted; missing values are no class."""
-    pairs = _pair_counts(df, label, prediction)
+    pairs = pair_counts(df, label, prediction)
     seen = pairs.select(F.explode(F.array("actual", "predicted")).alias("c")).where(F.col("c").isNotNull()).distinct()
     return sorted(r["c"] for r in seen.collect())
 
@@ -53,7 +59,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequen
     nobody named has lines of its own.  Named ``classes`` (as an encoder knows
     them) add their empty pairs with 0, a grid the caller asked for.
     """
-    counts = _pair_counts(df, label, prediction)
+    counts = pair_counts(df, label, prediction)
     if classes is None:
         return counts
     one = _class_frame(df.sparkSession, classes, counts.schema["actual"].dataType)
@@ -105,9 +111,13 @@ def classification_report(df: DataFrame, label: str, prediction: str, classes: S
     Named ``classes`` limit the other lines and the averages to them.
     """
     classes = observed_classes(df, label, prediction) if classes is None else list(classes)
-    pairs = _pair_counts(df, label, prediction)
+    return report_of_pairs(pair_counts(df, label, prediction), classes, class_names)
+
+
+def report_of_pairs(pairs: DataFrame, classes: Sequence, class_names: Sequence[str] | None = None) -> DataFrame:
+    """The report from the counts per (actual, predicted)."""
     dtype = pairs.schema["actual"].dataType
-    order = _class_frame(df.sparkSession, classes, dtype, class_names)
+    order = _class_frame(pairs.sparkSession, classes, dtype, class_names)
     none = F.lit(0).cast("bigint")
     # a named class that does not occur scores 0 everywhere
     scores = order.join(class_scores(pairs), F.col("c") == F.col("label"), "left").select(
@@ -175,7 +185,7 @@ class Scorer(Evaluator):
             value = accuracy(dataset, self.label, self.prediction).first()[0]
         elif self.scoring in CLASSIFICATION_SCORING:
             # averaged over the classes that occur as truth or prediction in this fold
-            scores = class_scores(_pair_counts(dataset, self.label, self.prediction))
+            scores = class_scores(pair_counts(dataset, self.label, self.prediction))
             support = F.nullif(F.sum("support"), F.lit(0).cast("bigint"))
             value = scores.agg(F.avg("f1_score") if self.scoring == "f1_macro"
                                else F.sum(F.col("f1_score") * F.col("support")) / support).first()[0]

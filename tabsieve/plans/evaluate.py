@@ -83,9 +83,10 @@ def eval_classification(algo: Estimator, param_grid: Mapping | Sequence[Mapping]
                     search_type, n_iter, seed, parallelism)
     predictions = found.best_model.transform(encoder.transform(test))
     codes = list(range(len(encoder.classes)))
-    confusion = metrics.confusion_matrix(predictions, label_col, prediction)
-    accuracy = metrics.accuracy(predictions, label_col, prediction).first()[0]
-    report = metrics.classification_report(predictions, label_col, prediction, codes, encoder.classes)
+    # the test table is predicted once: all scores come from one count of pairs, which is kept
+    confusion = metrics.pair_counts(predictions, label_col, prediction).persist()
+    accuracy = metrics.accuracy_of_pairs(confusion).first()[0]
+    report = metrics.report_of_pairs(confusion, codes, encoder.classes)
     return ClassificationResult(found.best_params, accuracy, report, confusion, found.cv_results,
                                 found.best_model, encoder.classes, predictions)
 
