@@ -35,9 +35,10 @@ def running_totals(rows: DataFrame, group: Sequence[str], keys: Sequence[str], a
     """Add the bigint ``name``: the sum of ``amount`` over the group's rows up to this one in the order of ``keys``.
 
     Without an amount rows count one each, which numbers them from 1.  Missing
-    keys come first; rows must differ in group and keys.  Group and keys are
-    text, booleans or numbers; ``amount`` is a bigint without missing values.  The
-    driver holds the pivots and one total for each range, whatever the number of rows.
+    keys come first; rows that are equal in group and keys share the total after
+    all of them.  Group and keys are text, booleans or numbers; ``amount`` is a
+    bigint without missing values.  The driver holds the pivots and the totals of
+    two groups a range, whatever the number of rows and groups.
     """
     spark, by = rows.sparkSession, [*group, *keys]
     texts = [F.coalesce(F.length(ref(c)), F.lit(0)) for c in by if isinstance(type_of(rows, c), T.StringType)]
@@ -53,22 +54,26 @@ def running_totals(rows: DataFrame, group: Sequence[str], keys: Sequence[str], a
         F.get(table, low + step - 1) <= F.col("__place"), low + step).otherwise(low))
     ranged = placed.withColumn("__range", at).drop("__place")
     add = F.lit(1).cast("bigint") if amount is None else ref(amount)
-    total = F.sum(add).alias("__total")
+    # groups lie one after another, so only the first of a range can have begun before it
     labels = [f"__g{i}" for i in range(len(group))]
-    held = ranged.groupBy("__range", *[ref(c).alias(g) for c, g in zip(group, labels)]).agg(total).collect()
-    before: dict[tuple, int] = {}
-    firsts = []
-    for r in sorted(held, key=lambda r: r["__range"]):
-        own = tuple(r[g] for g in labels)
-        firsts.append((r["__range"], *own, before.get(own, 0)))
-        before[own] = before.get(own, 0) + r["__total"]
+    totals = ranged.groupBy("__range", *[ref(c).alias(g) for c, g in zip(group, labels)]).agg(F.sum(add).alias("__total"))
+    entry = F.struct(*labels, "__total")
+    ends = totals.groupBy("__range").agg(F.min(entry).alias("first"), F.max(entry).alias("last")).collect()
+    open_group, so_far, begun = None, 0, []
+    for r in sorted(ends, key=lambda r: r["__range"]):
+        *first, of_first = r["first"]
+        *last, of_last = r["last"]
+        before = so_far if first == open_group else 0
+        if before:
+            begun.append((r["__range"], *first, before))
+        open_group, so_far = last, of_last + (before if first == last else 0)
     schema = T.StructType([T.StructField("__at", T.IntegerType()),
                            *[T.StructField(g, type_of(rows, c)) for g, c in zip(labels, group)],
                            T.StructField("__before", T.LongType())])
-    starts = local_table(spark, firsts, schema)
     window = Window.partitionBy("__range", *map(ref, group)).orderBy(*[F.asc_nulls_first(ref(c)) for c in keys])
-    inside = ranged.withColumn("__inside", F.sum(add).over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = ranged.withColumn("__inside", F.sum(add).over(window.rangeBetween(Window.unboundedPreceding, 0)))
     same = F.col("__range") == F.col("__at")
     for c, g in zip(group, labels):
         same = same & ref(c).eqNullSafe(F.col(g))
-    return inside.join(starts, same).select(*map(ref, rows.columns), (F.col("__before") + F.col("__inside")).alias(name))
+    joined = inside.join(local_table(spark, begun, schema), same, "left")
+    return joined.select(*map(ref, rows.columns), (F.coalesce("__before", F.lit(0)) + F.col("__inside")).alias(name))

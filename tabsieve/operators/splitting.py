@@ -7,6 +7,9 @@ up.  Digests are spread evenly, so the one at rank r of n lies close to r/n of
 the way: rows outside a narrow window around that place are only counted, and
 the few inside it are ordered.  What is left is a comparison with the cuts of the
 class, a table of one row a class that Spark broadcasts while it is small, a map-only projection that gives a row the same side on every run.
+
+With more classes than MANY_CLASSES nothing is kept by class on the driver: class
+sizes, remainders and rows are numbered as tables, with the same outcome.
 """
 
 from __future__ import annotations
@@ -19,12 +22,14 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.bounded import local_table
+from ..functions.bounded import BROADCAST_ROWS, TooManyRows, collect_at_most, local_table
 from ..functions.hashing import key_digest
-from ..functions.nulls import known, ref, require_columns, type_of
+from ..functions.nulls import is_float, known, ref, require_columns, type_of
+from ..functions.ordering import running_totals
 
 WINDOW_SIGMAS = 6.0         # half width of a window, in standard deviations of the rank
 DIGEST_DIGITS = 13          # 52 bits of a digest, as many as a double holds
+MANY_CLASSES = BROADCAST_ROWS
 
 Sizes = Callable[[dict[Any, int]], dict[Any, list[int]]]
 
@@ -59,11 +64,34 @@ class DigestCuts:
 
 
 def class_sizes(df: DataFrame, stratify: str | None) -> dict[Any, int]:
-    """Rows per class; like the class list of any classifier it is held by the driver, one entry a class."""
+    """Rows per class, of at most MANY_CLASSES."""
     if stratify is None:
         return {None: df.count()}
     counts = df.groupBy(known(df, stratify).alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    return {r["c"]: r["n"] for r in counts.toLocalIterator()}
+    return {r["c"]: r["n"] for r in collect_at_most(counts, MANY_CLASSES, f"classes of {stratify}")}
+
+
+def _sized_classes(df: DataFrame, stratify: str) -> DataFrame:
+    """``(c, n, absent, label)`` per class: the last two order classes as ``_class_order`` does."""
+    c = known(df, stratify)
+    label = F.initcap(F.col("c").cast("string")) if isinstance(type_of(df, stratify), T.BooleanType) else F.col("c").cast("string")
+    counts = df.groupBy(c.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumns({"absent": F.col("c").isNull(), "label": label})
+
+
+def _parts_by_number(df: DataFrame, key_cols: Sequence[str], stratify: str, seed: int, ends: DataFrame, name: str) -> DataFrame:
+    """Add the part number of each row: how many of its class's ``ends`` lie before its place by digest.
+
+    ``ends`` holds ``(c, ends)``; classes and rows meet by a join, so neither is held in one place.
+    """
+    c = known(df, stratify)
+    c = c + F.lit(0.0) if is_float(type_of(df, stratify)) else c        # both zeros are one class
+    rows = df.withColumns({"__c": c.cast("string"), "__digest": key_digest(key_cols, seed)})
+    numbered = running_totals(rows, ["__c"], ["__digest"], name="__place")
+    side = ends.select(F.col("c").alias("__class"), F.col("ends").alias("__ends"))
+    number = F.size(F.filter("__ends", lambda end: end < F.col("__place")))
+    return (numbered.join(side, known(numbered, stratify).eqNullSafe(F.col("__class")))
+            .withColumn(name, number).drop("__c", "__digest", "__place", "__class", "__ends"))
 
 
 def _as_digest(fraction: float) -> str:
@@ -161,6 +189,19 @@ def allocate_test_rows(counts: dict[Any, int], test_size: float) -> dict[Any, in
     return {c: n - train[c] for c, n in counts.items()} if total else {c: 0 for c in counts}
 
 
+def _test_ends(df: DataFrame, stratify: str, test_size: float) -> DataFrame:
+    """``allocate_test_rows`` as a table: ``(c, ends)`` with the number of test rows of each class."""
+    classes = _sized_classes(df, stratify)
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    n_train = total - math.ceil(total * test_size)
+    exact = F.lit(float(n_train)) * F.col("n") / F.lit(float(max(total, 1)))
+    shared = classes.withColumn("whole", F.floor(exact)).withColumn("rest", F.col("whole") - exact)
+    spare = n_train - (shared.agg(F.sum("whole")).first()[0] or 0)
+    served = running_totals(shared, [], ["rest", "absent", "label"], name="place")
+    test_rows = F.col("n") - F.col("whole") - (F.col("place") <= spare).cast("bigint")
+    return served.select("c", F.array(test_rows).alias("ends"))
+
+
 def train_test_split(df: DataFrame, key_cols: Sequence[str], stratify: str | None = None,
                      test_size: float = 0.2, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Add ``split`` = 'train' or 'test', with exact class counts.
@@ -173,8 +214,10 @@ def train_test_split(df: DataFrame, key_cols: Sequence[str], stratify: str | Non
     def sizes(counts: dict[Any, int]) -> dict[Any, list[int]]:
         return {c: [n] for c, n in allocate_test_rows(counts, test_size).items()}
 
-    cuts = find_cuts(df, key_cols, stratify, seed, sizes)
-    parted = cuts.part(df, "__part")
+    try:
+        parted = find_cuts(df, key_cols, stratify, seed, sizes).part(df, "__part")
+    except TooManyRows:
+        parted = _parts_by_number(df, key_cols, stratify, seed, _test_ends(df, stratify, test_size), "__part")
     side = F.when(F.col("__part") == 0, "test").otherwise("train")
     return parted.withColumn(split_col, side).drop("__part")
 
@@ -189,6 +232,15 @@ def fold_edges(n: int, k: int, before: int = 0) -> list[int]:
     return list(accumulate(sizes))[:-1]
 
 
+def _fold_ends(df: DataFrame, stratify: str, k: int) -> DataFrame:
+    """``fold_edges`` of all classes as a table: ``(c, ends)``."""
+    counted = running_totals(_sized_classes(df, stratify), [], ["absent", "label"], "n", "upto")
+    before = F.col("upto") - F.col("n")
+    size = [F.floor(F.col("n") / k) + (F.pmod(F.lit(fold) - before, F.lit(k)) < F.col("n") % k).cast("bigint")
+            for fold in range(k - 1)]
+    return counted.select("c", F.array(*accumulate(size)).alias("ends"))
+
+
 def assign_folds(df: DataFrame, key_cols: Sequence[str], k: int = 5, stratify: str | None = None,
                  seed: int = 42, fold_col: str = "fold") -> DataFrame:
     """Add a fold number 0…k-1; the folds differ by at most one row, within each class and in all."""
@@ -200,7 +252,10 @@ def assign_folds(df: DataFrame, key_cols: Sequence[str], k: int = 5, stratify: s
         before = accumulate((counts[c] for c in ordered), initial=0)
         return {c: fold_edges(counts[c], k, total) for c, total in zip(ordered, before)}
 
-    return find_cuts(df, key_cols, stratify, seed, sizes).part(df, fold_col)
+    try:
+        return find_cuts(df, key_cols, stratify, seed, sizes).part(df, fold_col)
+    except TooManyRows:
+        return _parts_by_number(df, key_cols, stratify, seed, _fold_ends(df, stratify, k), fold_col)
 
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:

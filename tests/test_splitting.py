@@ -70,6 +70,31 @@ def test_folds(df):
         S.assign_folds(df, ["id"], 1)
 
 
+def test_many_classes_are_split_as_few_are(spark, df, monkeypatch):
+    odd = df.withColumns({"b": F.col("id") % 7 < 3, "i": F.when(F.col("id") % 5 > 0, F.col("id") % 23), "c.1": F.lit(1),
+                          "d": F.when(F.col("id") % 2 > 0, F.lit(0.0)).when(F.col("id") % 3 > 0, F.lit(-0.0)).otherwise(F.lit(float("nan")))})
+
+    def both(c):
+        return [sorted(map(str, f.collect())) for f in (S.train_test_split(odd, ["id"], c), S.assign_folds(odd, ["id"], 4, c))]
+
+    few = {c: both(c) for c in ("c", "b", "i", "d")}
+    monkeypatch.setattr(S, "MANY_CLASSES", 1)
+    for c, want in few.items():
+        assert both(c) == want
+
+
+def test_more_classes_than_the_driver_holds(spark):
+    df = spark.range(330_000).select("id", F.when(F.col("id") < 110_000, F.lit(0)).otherwise(F.col("id") % 110_000).alias("c"))
+    sides = S.train_test_split(df, ["id"], "c", 0.25)
+    assert sides.where("split = 'test'").count() == 82_500
+    per = sides.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "test").alias("test"))
+    assert per.where("abs(test - n / 4) >= 1").count() == 0
+    folds = S.assign_folds(df, ["id"], 5, "c")
+    assert {r["count"] for r in folds.groupBy("fold").count().collect()} == {66_000}
+    per = folds.groupBy("c", "fold").count().groupBy("c").agg(F.max("count").alias("most"), F.sum("count").alias("n"))
+    assert per.where("most > ceil(n / 5)").count() == 0
+
+
 def test_keys_are_told_apart(spark):
     """Parts that join to one text, and missing parts, are still different keys."""
     rows = [("a:b", "c"), ("a", "b:c"), (None, "2"), ("2", None), ("", "2"), ("1", "11"), ("11", "1"), ("x", "y")]
