@@ -50,6 +50,16 @@ def test_every_operator_takes_edge_rows_and_empty_tables(spark, edge):
     assert pages.count() == len(EDGE)
 
 
+def test_quality_takes_columns_named_like_its_own(spark):
+    df = spark.createDataFrame([(i, f"{PROSE} {i}", "en", i, "a", "b", 2.0, "c") for i in range(6)],
+                               "doc_id long, text string, lang string, __lang long, __digest string, __body string, __of double, __LANG_ string")
+    found = quality.judge_quality(df)
+    assert found.columns[:8] == df.columns
+    plain = quality.judge_quality(df.select("doc_id", "text", "lang"))
+    assert sorted(map(tuple, found.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert sorted(tuple(r) for r in found.select(df.columns).collect()) == sorted(tuple(r) for r in df.collect())
+
+
 def fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     parts = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([" ".join(words)] if words else [])
