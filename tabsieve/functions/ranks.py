@@ -8,7 +8,10 @@ one row there, so no bucket is large because of it.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -20,6 +23,11 @@ MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 TREE_LEAVES = 256
 # Columns with at most so many distinct values are ranked by a broadcast table.
 SMALL = BROADCAST_ROWS // 10
+# Rows that a block of values should hold, and how many blocks a column is cut into at most.
+BLOCK_ROWS = 200_000
+MIN_BLOCKS, MAX_BLOCKS = 16, 1024
+# Columns with at most so many distinct values have a block for each.
+FEW = 512
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -75,6 +83,62 @@ def bucket_bounds(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str,
     return {c: (sorted(set(row[f"b{i}"] or [])), row[f"d{i}"]) for i, c in enumerate(cols)}
 
 
+@dataclass(frozen=True)
+class Blocks:
+    """Ranges of a column's values: one below all ``bounds`` and one from each bound on.
+
+    ``single`` tells of each range whether it holds no two different values.
+    """
+
+    bounds: list[float]
+    single: list[bool]
+
+    @classmethod
+    def of_values(cls, values: Sequence[float]) -> Blocks:
+        """A range for each of the sorted values, which are all there are."""
+        return cls(list(values[1:]), [True] * max(1, len(values)))
+
+    @classmethod
+    def between(cls, cuts: Sequence[float]) -> Blocks:
+        """Ranges that start at the cuts; a value that is a cut more than once gets a range of its own."""
+        bounds, single = [], [False]
+        for value, n in sorted(Counter(cuts).items()):
+            if bounds and bounds[-1] == value:      # the end of the range before
+                bounds.pop(), single.pop()
+            bounds.append(value)
+            single.append(n > 1)
+            if n > 1 and value < math.inf:
+                bounds.append(math.nextafter(value, math.inf))
+                single.append(False)
+        return cls(bounds, single)
+
+
+def value_blocks(df: DataFrame, cols: Sequence[str], rows: int | None = None, small: int | None = None) -> dict[str, Blocks]:
+    """Per double column ranges of values of about ``rows`` rows; a value that has more rows is a range of its own.
+
+    So is every value of a column with few distinct ones (by estimate, then checked).
+    """
+    rows, small = BLOCK_ROWS if rows is None else rows, min(FEW, SMALL if small is None else small)
+    percents = _points([i / MAX_BLOCKS for i in range(1, MAX_BLOCKS)])
+    aggs = [F.count(F.lit(1))]
+    for c in cols:
+        aggs += [F.percentile_approx(ref(c), percents, MAX_BLOCKS * 4), F.approx_count_distinct(ref(c))]
+    n, *found = df.agg(*aggs).first()
+    blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, n // rows))
+    cuts = {c: [points[i * MAX_BLOCKS // blocks - 1] for i in range(1, blocks)] if points else []
+            for c, points in zip(cols, found[::2])}
+    out = {c: Blocks.between(cuts[c]) for c in cols}
+    few = [c for c, distinct in zip(cols, found[1::2]) if distinct <= small]
+    if few:
+        pairs = F.array(*[F.struct(F.lit(i).alias("c"), ref(c).alias("value")) for i, c in enumerate(few)])
+        most = 2 * FEW * len(few)                   # half of it is left to the estimates' error
+        values = df.select(F.inline(pairs)).where("value is not null").distinct().limit(most + 1).collect()
+        if len(values) <= most:
+            for i, c in enumerate(few):
+                out[c] = Blocks.of_values(sorted(r["value"] for r in values if r["c"] == i))
+    return out
+
+
 RANK_SCHEMA = "value double, below bigint, ties bigint, code bigint"
 
 

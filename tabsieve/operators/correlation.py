@@ -7,15 +7,18 @@ have a value.  A pair with a constant side has no coefficient (NULL).
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.comoments import PARTS as COMOMENTS, Scale, comoments
 from ..functions.nulls import doubles, is_numeric, known_double, ref, require_columns, type_of
-from ..functions.ranks import attach, average_ranks, order_codes
+from ..functions.ranks import Blocks, average_ranks, bucket_of, value_blocks
 from .columns import numeric_columns
 
 PAIRS_PER_JOB = 400
@@ -139,53 +142,71 @@ def _complete_rows(df: DataFrame, a: str, b: str) -> DataFrame:
     return pair.where(ref(a).isNotNull() & ref(b).isNotNull())
 
 
-def _wide(c: Column) -> Column:
-    return c.cast("decimal(38,0)")
+def _same_pairs(counts: np.ndarray) -> int:
+    """Ordered pairs of different rows within groups of these sizes."""
+    return int((counts.astype(np.int64) * (counts - 1)).sum())
 
 
-def _product(a: Column, b: Column) -> Column:
-    return _wide(a.cast("decimal(19,0)") * b.cast("decimal(19,0)"))
+def inversions(values: np.ndarray) -> int:
+    """Pairs of places whose earlier value is the greater one.
 
-
-def _sum_or_zero(c: Column) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0).cast("decimal(38,0)"))
-
-
-def discordant_pairs(points: DataFrame, digits: Sequence[tuple[int, int]]) -> DataFrame:
-    """Per column pair the number of row pairs ordered one way by ``x`` and the other way by ``y``.
-
-    ``points`` holds ``(pair, x, y, w)``: the number of the column pair, codes
-    that grow with the values, and the weight; ``digits`` holds per column pair
-    how many binary digits its codes have.  Two rows with different ``y`` first
-    differ at exactly one digit of it; rows are grouped by the digits before that
-    one, and in each group a running sum along ``x`` counts the ones that precede
-    a zero.  No pair of rows is ever listed.  The running sums go block by block
-    of ``x``, so the largest window holds one block.
+    Two values first differ at one binary digit of their codes: digit by digit,
+    among the values that agree in all digits before, the ones that precede a
+    zero are counted, and then the zeros go before the ones.
     """
-    def by_pair(values: Sequence[int]) -> Column:
-        return F.get(F.array(*map(F.lit, values)), F.col("pair"))
-
-    # shiftright takes a literal distance only, so digits are cut off by division
-    levels = (points.withColumn("level", F.explode(F.sequence(F.lit(0), by_pair([dy - 1 for _, dy in digits]))))
-              .withColumn("p2", F.pow(F.lit(2.0), F.col("level")).cast("bigint"))
-              .withColumn("width", by_pair([1 << (dx // 2) for dx, _ in digits]).cast("bigint"))
-              .withColumn("cut", F.expr("y div p2")))
-    group = ["pair", "level", "prefix"]
-    cells = (levels.select("pair", "level", F.expr("cut div 2").alias("prefix"), F.expr("x div width").alias("block"), "x",
-                           (F.col("cut") % 2).alias("digit"), "w")
-             .groupBy(*group, "block", "x")
-             .agg(F.sum(F.when(F.col("digit") == 1, F.col("w")).otherwise(0)).alias("ones"),
-                  F.sum(F.when(F.col("digit") == 0, F.col("w")).otherwise(0)).alias("zeros")))
-    strictly_before = Window.partitionBy(*group, "block").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    inside = cells.withColumn("ones_in_block", F.coalesce(F.sum("ones").over(strictly_before), F.lit(0)))
-    # per block: what its zeros meet inside it, and the totals later blocks meet
-    blocks = inside.groupBy(*group, "block").agg(
-        F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"),
-        F.sum(_product(F.col("zeros"), F.col("ones_in_block"))).alias("met"))
-    earlier_blocks = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    across = blocks.withColumn("ones_before", F.coalesce(F.sum("ones").over(earlier_blocks), F.lit(0)))
-    return across.groupBy("pair").agg(
-        _sum_or_zero(_product(F.col("zeros"), F.col("ones_before")) + F.col("met")).alias("value"))
+    codes, total = np.unique(values, return_inverse=True)[1].astype(np.int32), 0
+    at = np.arange(len(codes))
+    for bit in reversed(range(int(codes.max(initial=0)).bit_length())):
+        starts = np.flatnonzero(np.diff(codes >> (bit + 1), prepend=-1))
+        sizes = np.diff(starts, append=len(codes))
+        one = (codes >> bit & 1).astype(bool)
+        ones = np.cumsum(one) - one
+        ones -= np.repeat(ones[starts], sizes)
+        total += int(ones[~one].sum())
+        start = np.repeat(starts, sizes)
+        zeros = sizes - np.add.reduceat(one, starts, dtype=np.int64)
+        moved = np.empty_like(codes)
+        moved[np.where(one, start + np.repeat(zeros, sizes) + ones, at - ones)] = codes
+        codes = moved
+    return total
+
+
+COUNTS = ("rows", "a", "b", "both", "discordant")
+COUNT_SCHEMA = "pair int, " + ", ".join(f"{c} decimal(38,0)" for c in COUNTS)
+
+
+def _counted(pair: int, **counts: int) -> pa.Table:
+    numbers = {c: pa.array([Decimal(counts.get(c, 0))], pa.decimal128(38, 0)) for c in COUNTS}
+    return pa.table({"pair": pa.array([pair], pa.int32()), **numbers})
+
+
+def _within_block(points: pa.Table) -> pa.Table:
+    """Counts of row pairs that share a block: of ``a`` on side 0; on side 1 of ``b``, where ``x`` numbers the block of ``a``."""
+    pair, side = points["pair"][0].as_py(), points["side"][0].as_py()
+    x, y, same = (points[c].to_numpy() for c in ("x", "y", "same"))
+    order = np.lexsort((y, x))
+    x, y, same = x[order], y[order], same[order]
+    changes = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+    cells = np.flatnonzero(changes)
+    sizes = np.diff(cells, append=len(x))
+    tied = _same_pairs(np.unique(y if side else x, return_counts=True)[1])
+    return _counted(pair, discordant=inversions(y), both=_same_pairs(sizes[same[cells]]), **{"b" if side else "a": tied})
+
+
+def _across_blocks(cells: pa.Table, single_a: np.ndarray, single_b: np.ndarray) -> pa.Table:
+    """Counts of row pairs whose blocks differ on both sides, and of those that share a block of a single value."""
+    x, y, w = (cells[c].to_numpy() for c in ("x", "y", "w"))
+    grid = np.zeros((len(single_a), len(single_b)), np.int64)
+    grid[x, y] = w
+    earlier = np.cumsum(grid, axis=0) - grid
+    greater = np.cumsum(earlier[:, ::-1], axis=1)[:, ::-1] - earlier
+
+    def tied(sizes: np.ndarray) -> int:
+        return sum(n * (n - 1) for n in sizes.tolist())
+
+    # the products of two counts may pass 64 bits
+    return _counted(cells["pair"][0].as_py(), rows=int(w.sum()), a=tied(grid.sum(axis=1)[single_a]), b=tied(grid.sum(axis=0)[single_b]),
+                    both=tied(w[single_a[x] & single_b[y]]), discordant=sum(map(operator.mul, w.tolist(), greater[x, y].tolist())))
 
 
 def _tau(n: int, tied_a: int, tied_b: int, tied_both: int, discordant: int) -> float | None:
@@ -199,53 +220,61 @@ def _tau(n: int, tied_a: int, tied_b: int, tied_both: int, discordant: int) -> f
     return max(-1.0, min(1.0, tau))
 
 
-def _kendall_counts(coded: DataFrame, pairs: Sequence[tuple[str, str]], size: dict[str, int]) -> list[dict[str, int]]:
-    """Per pair of columns of codes below ``size``: rows, tied row pairs and discordant ones, in one job.
+def _kendall_counts(values: DataFrame, pairs: Sequence[tuple[str, str]], blocks: dict[str, Blocks | int]) -> list[dict[str, int]]:
+    """Per pair of columns: rows, tied rows (each of two rows once) and discordant row pairs, in one job.
 
-    The pair's value combinations are counted once; everything else is counted from those.
+    Two rows either have blocks that differ on both sides, which the numbers of
+    rows per pair of blocks tell, or they share a block: a row goes with the rows
+    of its block of ``a``, and with those of its block of ``b``, where two rows of
+    one block of ``a`` are not looked at again.  Blocks of a single value need no
+    look.  No pair of rows is ever listed, and no task holds more than a block.
+    A number n in ``blocks`` stands for codes below n, each a block.
     """
-    points = F.array(*[F.when(ref(a).isNotNull() & ref(b).isNotNull(),
-                              F.struct(F.lit(i).alias("pair"), ref(a).alias("x"), ref(b).alias("y")))
-                       for i, (a, b) in enumerate(pairs)])
-    joint = (coded.select(F.inline(points)).where("pair is not null").groupBy("pair", "x", "y")
-             .agg(F.count(F.lit(1)).alias("w")))
-    digits = [tuple(max(1, (size[c] - 1).bit_length()) for c in p) for p in pairs]
-
-    def tied(counts: DataFrame) -> DataFrame:
-        return counts.groupBy("pair").agg(_sum_or_zero(_product(F.col("w"), F.col("w") - 1)).alias("value"))
-
-    def summed(*by: str) -> DataFrame:
-        return joint.groupBy("pair", *by).agg(F.sum("w").alias("w"))
-
-    counts = {"rows": summed().select("pair", _wide(F.col("w")).alias("value")), "a": tied(summed("x")),
-              "b": tied(summed("y")), "both": tied(joint), "discordant": discordant_pairs(joint, digits)}
-    found = reduce(DataFrame.unionByName, [df.withColumn("kind", F.lit(kind)) for kind, df in counts.items()])
-    out: list[dict[str, int]] = [dict.fromkeys(counts, 0) for _ in pairs]
-    for r in found.collect():       # five rows a pair
-        out[r["pair"]][r["kind"]] = int(r["value"])
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {c: i for i, c in enumerate(cols)}
+    ranges = [Blocks.of_values(range(b)) if isinstance(b, int) else b for b in (blocks[c] for c in cols)]
+    placed = (values.select(*[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+              .select("*", *[bucket_of(f"v{i}", r.bounds).alias(f"b{i}") for i, r in enumerate(ranges)]))
+    single = [F.lit(all(r.single)) if len(set(r.single)) == 1
+              else F.get(F.expr(f"array({', '.join(map(str, r.single))})"), F.col(f"b{i}")) for i, r in enumerate(ranges)]
+    in_cells, in_blocks = [], []
+    for n, (i, j) in enumerate((at[a], at[b]) for a, b in pairs):
+        known_pair = F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull()
+        a, b, x, y = (F.col(c) for c in (f"b{i}", f"b{j}", f"v{i}", f"v{j}"))
+        in_cells.append(F.when(known_pair, F.struct(F.lit(n).alias("pair"), a.alias("x"), b.alias("y"))))
+        for side, own, k, place, same in ((0, a, i, x, F.lit(True)), (1, b, j, a.cast("double"), single[i])):
+            if not all(ranges[k].single):
+                in_blocks.append(F.when(known_pair & ~single[k], F.struct(
+                    F.lit(n).alias("pair"), F.lit(side).alias("side"), own.alias("block"), place.alias("x"), y.alias("y"), same.alias("same"))))
+    flags = [tuple(np.array(ranges[at[c]].single) for c in p) for p in pairs]
+
+    def across(cells: pa.Table) -> pa.Table:
+        return _across_blocks(cells, *flags[cells["pair"][0].as_py()])
+
+    cells = placed.select(F.inline(F.array(*in_cells))).where("pair is not null").groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    found = cells.groupBy("pair").applyInArrow(across, COUNT_SCHEMA)
+    if in_blocks:
+        points = placed.select(F.inline(F.array(*in_blocks))).where("pair is not null")
+        found = found.unionByName(points.groupBy("pair", "side", "block").applyInArrow(_within_block, COUNT_SCHEMA))
+    out: list[dict[str, int]] = [dict.fromkeys(COUNTS, 0) for _ in pairs]
+    for r in found.groupBy("pair").agg(*[F.sum(c).alias(c) for c in COUNTS]).collect():       # one row a pair
+        out[r["pair"]] = {c: int(r[c]) for c in COUNTS}
     return out
 
 
 def _kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
     """Tau-b of many pairs, each over the rows where both columns have a value.
 
-    A column's values are replaced once by codes that keep their order; ties and
-    order among a pair's complete rows do not depend on the others.
+    The blocks of a column serve all its pairs.
     """
     cols = list(dict.fromkeys(c for p in pairs for c in p))
     name = {c: f"c{i}" for i, c in enumerate(cols)}
     values = doubles(df, cols)
-    tables = order_codes(values, list(name.values()))
-    coded = values
-    for c in name.values():
-        coded = attach(coded, c, tables[c][0], F.col("code"), f"k{c}", "left")
-    size = {f"k{c}": n for c, (_, n) in tables.items()}
+    blocks = value_blocks(values, list(name.values()))
     out = {}
     for start in range(0, len(pairs), PAIRS_PER_JOB):
         chunk = pairs[start:start + PAIRS_PER_JOB]
-        # the side with fewer codes has fewer digits to look at; tau does not care which is which
-        sides = [sorted((f"k{name[a]}", f"k{name[b]}"), key=lambda c: -size[c]) for a, b in chunk]
-        for pair, n in zip(chunk, _kendall_counts(coded, sides, size)):
+        for pair, n in zip(chunk, _kendall_counts(values, [(name[a], name[b]) for a, b in chunk], blocks)):
             out[pair] = _tau(n["rows"], n["a"] // 2, n["b"] // 2, n["both"] // 2, n["discordant"])
     return out
 

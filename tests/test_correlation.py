@@ -114,6 +114,41 @@ def test_kendall_counts_of_pairs(spark):
                      {"rows": 4, "a": 2 * 3, "b": 2 * 6, "both": 2 * 3, "discordant": 0}]
 
 
+def test_inversions_by_brute_force():
+    rng = np.random.default_rng(4)
+    for size, most in [(0, 1), (1, 1), (2, 2), (40, 3), (200, 1000), (300, 20)]:
+        values = rng.integers(0, most, size).astype(float)
+        assert R.inversions(values) == sum(a > b for a, b in itertools.combinations(values, 2))
+
+
+def test_blocks_of_heavy_values():
+    blocks = rank_tables.Blocks.between([1.0, 2.0, 2.0, np.nextafter(2.0, 3.0), math.inf, math.inf])
+    assert blocks.bounds == [1.0, 2.0, np.nextafter(2.0, 3.0), math.inf]
+    assert blocks.single == [False, False, True, False, True]
+
+
+@pytest.mark.parametrize("few", [0, 512])
+def test_kendall_shuffles_each_row_to_its_blocks_only(spark, monkeypatch, few):
+    """Many blocks, heavy values on either side, gaps and infinite values; no row is copied once for each binary digit."""
+    monkeypatch.setattr(rank_tables, "FEW", few)
+    monkeypatch.setattr(rank_tables, "BLOCK_ROWS", 10)
+
+    def explode(*c):
+        raise AssertionError("a copy of each row for each digit")
+
+    monkeypatch.setattr(R.F, "explode", explode)
+    rng = np.random.default_rng(7)
+    n = 300
+    pdf = pd.DataFrame({"x": rng.normal(size=n), "y": rng.normal(size=n).round(1), "z": np.where(rng.random(n) < 0.4, 0.0, rng.normal(size=n)),
+                        "k": rng.integers(0, 3, n).astype(float)})
+    pdf["w"] = (pdf["x"] + rng.normal(size=n)).where(rng.random(n) < 0.8)
+    pdf.loc[:5, "x"], pdf.loc[6:9, "y"] = math.inf, -math.inf
+    got = as_matrix(R.correlation_matrix(spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in pdf)), method="kendall"))
+    for a, b in itertools.combinations(pdf.columns, 2):
+        pair = pdf[[a, b]].dropna().clip(-1e9, 1e9).to_numpy()
+        assert got[a, b] == pytest.approx(tau_b(pair[:, 0], pair[:, 1]))
+
+
 def test_kendall_extremes(spark):
     df = spark.range(50).select(F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
     assert R.kendall_tau(df, "x", "y") == -1.0
