@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from struct import pack
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -32,15 +34,15 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.longest = max(map(len, ranks), default=0)
+        self.words: pa.Array | None = None
         self.pairs: dict[tuple[int, int], bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        #: By byte: (token that ends here or -1, the next bytes).
-        self.trie: dict[int, tuple] = {}
-        for token, rank in sorted(ranks.items()):
-            node = self.trie
-            for byte in token[:-1]:
-                node = node.setdefault(byte, (-1, {}))[1]
-            node[token[-1]] = (rank, node.get(token[-1], (-1, {}))[1])
+        #: What tokens begin with, by number: the states of a walk over bytes.
+        self.begun = [b"", *dict.fromkeys(token[:n] for token in sorted(ranks) for n in range(1, len(token) + 1))]
+        self.state = {part: n for n, part in enumerate(self.begun)}
+        self.moves: dict[int, int] = {}
+        #: By state: the tokens it ends with, the longest first, and their lengths.
+        self.ends: list[list[tuple[int, int]] | None] = [None] * len(self.begun)
 
     @classmethod
     def load(cls, path: str) -> ByteBpe:
@@ -69,6 +71,19 @@ class ByteBpe:
             self.halves[token] = None if len(parts) > 2 else tuple(self.ranks[p] for p in parts)
         return self.halves[token]
 
+    def step(self, state: int, byte: int) -> int:
+        """The state behind one more byte: the longest end of what was read that some token begins with."""
+        part = self.begun[state] + bytes((byte,))
+        while part not in self.state:
+            part = part[1:]
+        if len(self.moves) > REMEMBERED:
+            self.moves.clear()
+        found = self.moves[state << 8 | byte] = self.state[part]
+        if self.ends[found] is None:
+            tokens = [(self.ranks.get(part[n:]), len(part) - n) for n in range(len(part))]
+            self.ends[found] = [(t, size) for t, size in tokens if t is not None and self.half(t) is not None]
+        return found
+
     def goes(self, left: int, right: int) -> bool:
         """Whether merging gives the right token behind the left one.
 
@@ -98,57 +113,87 @@ class ByteBpe:
             return [whole]
         return PrefixTable(self, piece).ids()
 
+    def encode_pieces(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """The ids of each piece, in one table: of a piece that begins like the one before, only the rest is computed."""
+        table = PrefixTable(self)
+        for piece in pieces:
+            if (whole := self.ranks.get(piece)) is not None:
+                yield [whole]
+            else:
+                table.turn_into(piece)
+                yield table.ids()
+
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        if self.words is None:
+            self.words = pa.array(self.tokens, pa.binary())
+        _, ends, data = self.words.take(pa.array(ids)).buffers()  # the tokens lie one behind the other
+        return data[: int(np.frombuffer(ends, np.int32)[len(ids)])].to_pybytes() if len(ids) else b""
 
 
 class PrefixTable:
-    """The last token of every prefix of one piece of bytes."""
+    """The last token of every prefix of one piece of bytes, and the state of the walk behind it."""
 
     def __init__(self, bpe: ByteBpe, piece: bytes = b""):
-        self.bpe, self.bytes, self.last = bpe, bytearray(), []
+        self.bpe, self.bytes, self.last, self.states = bpe, bytearray(), [], []
         self.append(piece)
 
     def _fill(self, first: int, stop: int) -> None:
-        """Let the tokens that start at first … stop - 1 end the prefixes that have no last token yet.
+        """Find the last tokens of the prefixes that end with the bytes first … stop - 1; those before have theirs.
 
-        Earlier starts go first, so all that a start needs, the last token before it, is there.
+        Of the tokens that end there, exactly one goes with the last token before it.
         """
-        data, last, size = self.bytes, self.last, len(self.bytes)
-        trie, half, goes, known = self.bpe.trie, self.bpe.half, self.bpe.goes, self.bpe.pairs
-        for start in range(first, stop):
-            left, node, end = last[start - 1] if start else -1, trie, start
-            while end < size and (step := node.get(data[end])) is not None:
-                token, node = step
-                if token >= 0 and last[end] < 0 and (half(token) is not None if left < 0 else known[left, token] if (left, token) in known else goes(left, token)):
-                    last[end] = token
-                end += 1
-            if last[start] < 0:
-                raise ValueError(f"no token for the byte {data[start]}")
+        data, last, states = self.bytes, self.last, self.states
+        step, moves, ends, goes, known = self.bpe.step, self.bpe.moves, self.bpe.ends, self.bpe.goes, self.bpe.pairs
+        state = states[first - 1] if first else 0
+        for end in range(first, stop):
+            byte = data[end]
+            found = moves.get(state << 8 | byte)
+            state = states[end] = step(state, byte) if found is None else found
+            for token, length in ends[state]:
+                if length > end:
+                    break
+                left = last[end - length]
+                good = known.get((left, token))
+                if good or good is None and goes(left, token):
+                    break
+            else:
+                raise ValueError(f"no token for the byte {byte}")
+            last[end] = token
 
     def append(self, more: bytes) -> None:
-        first = max(0, len(self.bytes) - self.bpe.longest + 1)
+        first, blank = len(self.bytes), [-1] * len(more)
         self.bytes += more
-        self.last += [-1] * len(more)
+        self.last += blank
+        self.states += blank
         self._fill(first, len(self.bytes))
 
+    def turn_into(self, piece: bytes) -> None:
+        """Become the table of another piece; the prefixes that both have are kept."""
+        same = 0
+        for a, b in zip(self.bytes, piece):
+            if a != b:
+                break
+            same += 1
+        del self.bytes[same:], self.last[same:], self.states[same:]
+        self.append(piece[same:])
+
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put new bytes in the place of start … end; returns how many prefixes had to be computed.
 
         Behind the edit a last token depends on the bytes and last tokens of one token's length before it: when that
         many prefixes in a row have their old tokens again, all further ones have.
         """
-        old, behind, block = self.last[end:], start + len(new), self.bpe.longest
+        old, old_states, behind, block = self.last[end:], self.states[end:], start + len(new), self.bpe.longest
         self.bytes[start:end] = new
         size = len(self.bytes)
-        self.last[start:] = [-1] * (size - start)
+        self.last[start:] = self.states[start:] = [-1] * (size - start)
         at = behind
-        self._fill(max(0, start - block + 1), at)
+        self._fill(start, at)
         while at < size:
             stop = min(size, at + block)
             self._fill(at, stop)
             if self.last[at:stop] == old[at - behind : stop - behind]:
-                self.last[stop:] = old[stop - behind :]
+                self.last[stop:], self.states[stop:] = old[stop - behind :], old_states[stop - behind :]
                 return stop - start
             at = stop
         return size - start
@@ -168,15 +213,17 @@ class Encoder:
         self.bpe, self.find, self.known = bpe, regex.compile(pattern).findall, {}
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        known = self.known
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text; the new pieces of all of them are encoded in order, as neighbours begin alike."""
+        known, found = self.known, [self.find(t) if t else [] for t in texts]
         if len(known) > REMEMBERED:
             known.clear()
-        pieces = self.find(text)
-        for piece in set(pieces).difference(known):
-            known[piece] = np.array(self.bpe.encode_piece(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        new = sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in set().union(*found).difference(known))
+        for (_, piece), ids in zip(new, self.bpe.encode_pieces(data for data, _ in new)):
+            known[piece] = pack(f"<{len(ids)}I", *ids)
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in found]
 
 
 def _worker(path: str, pattern: str) -> Encoder:
@@ -192,7 +239,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
 
     def make() -> Callable:
         encoder = _worker(path, pattern)
-        return lambda texts: [[encoder.encode(t) for t in texts]]
+        return lambda texts: [encoder.encode_all(texts)]
 
     return append_columns(df, text, "ids binary", make, keep)
 
@@ -208,10 +255,9 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep:
 
         def work(texts: list[str | None]) -> list[list]:
             rows = []
-            for t in texts:
-                ids = encoder.encode(t)
+            for t, ids in zip(texts, encoder.encode_all(texts)):
                 back = encoder.bpe.decode(np.frombuffer(ids, "<u4"))
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), None if t is None else back.decode("utf-8", "surrogatepass")))
+                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), back.decode("utf-8", "surrogatepass") if decoded and t is not None else None))
             columns = [list(x) for x in zip(*rows)]
             return columns if decoded else columns[:4]
 

@@ -285,6 +285,19 @@ def test_formulas_and_fallback_text_are_content():
     assert html_extraction.main_text(page) == "Energy is E=mc2, as known.\nSee a drawing and a film, a chart here.\nThe end."
 
 
+def test_pieces_that_begin_alike_share_their_table(monkeypatch):
+    model, computed, fill = bpe.ByteBpe.load(RANKS), [], bpe.PrefixTable._fill
+    monkeypatch.setattr(bpe.PrefixTable, "_fill", lambda table, first, stop: computed.append(stop - first) or fill(table, first, stop))
+    alike = [f" undenkbarlichkeitsq{c}" for c in "qxyzé漢"]
+    pieces = [p.encode() for p in ["", *alike, " undenk", " the", "ñandúq字", "x" * 300]]
+    assert list(model.encode_pieces(pieces)) == [model.merged(p) for p in pieces]
+    assert sum(computed) < len(alike[0]) + 2 * len(alike) + 20 + 300
+    encoder = bpe.Encoder(model, public_tokenizers.PATTERN)
+    texts = [None, "", "".join(alike), "the undenkbarlichkeitsq\n\n  x"]
+    assert encoder.encode_all(texts) == [bpe.Encoder(model, public_tokenizers.PATTERN).encode(t) for t in texts]
+    assert [model.decode(np.frombuffer(ids, "<u4")).decode() for ids in encoder.encode_all(texts)] == [t or "" for t in texts]
+
+
 def test_quality_statistics_by_brute_force():
     rng = random.Random(6)
     for _ in range(300):
