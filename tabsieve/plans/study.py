@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..operators.baseline import STRATEGIES, BaselineClassifier
@@ -44,6 +45,16 @@ def study(df: DataFrame, target: str, key_cols: Sequence[str], test_size: float
     duplicates = count_duplicates(df, key_cols=key_cols)
     clean, dropped = drop_columns(df, empty_columns(df, key_cols))
     split = train_test_split(clean, key_cols, target, test_size, seed)
+    # every step reads the train side, most of them more than once: the split is found once
+    held = split.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _study(clean, dropped, duplicates, held, target, key_cols, seed, collinear_threshold, n_top, cv)
+    finally:
+        held.unpersist()
+
+
+def _study(clean: DataFrame, dropped: list[str], duplicates: int, split: DataFrame, target: str, key_cols: Sequence[str], seed: int,
+           collinear_threshold: float, n_top: int, cv: int) -> Study:
     train, test = (split.where(f"split = '{side}'").drop("split") for side in ("train", "test"))
     numeric, categorical = identify_column_types(train.drop(target), key_cols)
     # a point in time is no category: one column a moment would follow

@@ -189,3 +189,18 @@ def test_search_with_rare_classes(spark):
     assert [r["count"] for r in folds] == [60] * 5
     found = E.eval_classification(BaselineClassifier(), None, df, df, "kind", ["id"])
     assert found.cv_results.first()["rank"] == 1
+
+
+def test_study_finds_its_split_once(spark, monkeypatch):
+    import tabsieve.plans.study as plan
+    seen, found = [], plan.collinear_pairs
+
+    def recorded(df, *args, **named):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return found(df, *args, **named)
+
+    monkeypatch.setattr(plan, "collinear_pairs", recorded)
+    df = spark.createDataFrame([(i, float(i), float(i * i % 7), "ab"[i % 2]) for i in range(40)], "k long, x double, y double, c string")
+    out = plan.study(df, "c", ["k"], cv=2)
+    assert "InMemoryTableScan" in seen[0] and not out.train.is_cached
+    assert (out.train.count(), out.test.count()) == (32, 8)
