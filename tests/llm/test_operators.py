@@ -327,6 +327,56 @@ def test_copies_do_not_narrow_the_band(spark):
     assert [i for i in kept if not kept[i]] == [30]
 
 
+def test_word_salad_and_other_junk_are_rejected_though_they_are_a_quarter(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    after = {w: rng.sample(words, 4) for w in words}
+
+    def prose():
+        out = [rng.choice(words)]
+        while len(out) < 150:
+            out.append(rng.choice(after[out[-1]]))
+        return " ".join(out)
+
+    clean = [prose() for _ in range(240)]
+    salad = [" ".join(rng.sample(x := prose().split(), len(x))) for _ in range(60)]
+    letters = ["".join(rng.sample(x := prose(), len(x))) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*clean, *salad, *letters])], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality.judge_quality(docs).collect()}
+    assert sum(kept[i] for i in range(240)) >= 237
+    assert not any(kept[i] for i in range(240, 320))
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 26])
+def test_grams_are_counted_by_distinct_texts(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "COPY_BITS", bits)
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab \n") for _ in range(rng.randint(0, 12))) for _ in range(150)] + [None, "é🙂 1", "é🙂 1"]
+    rows = [(t, rng.choice(["en", "de", None])) for t in texts * 2]
+    found = quality.count_grams(spark.createDataFrame(rows, "text string, lang string").repartition(5), "text", "lang")
+    expected = {}
+    for t, name in {(t, name or "und") for t, name in rows if t}:
+        padded = "\n" * (quality.ORDER - 1) + t
+        for gram in {padded[k : k + quality.ORDER] for k in range(len(t))}:
+            key = name, sum(int(quality._symbols()[ord(c)]) << quality.BITS * k for k, c in enumerate(reversed(gram)))
+            expected[key] = expected.get(key, 0) + 1
+    got = found.collect()
+    assert len(got) == len(expected)
+    assert {(r.lang, r.gram): r.n for r in got} == expected
+
+
+def test_a_model_beyond_its_bound_keeps_the_most_frequent_grams(spark, monkeypatch):
+    texts = [PROSE + str(k) * 9 for k in range(8)] * 2 + [PROSE[:40] + "x" * k for k in range(1, 5)]
+    docs = spark.createDataFrame([(t, name) for name in ("en", "de") for t in texts] + [("short", "fr"), ("shorts", "fr")], "text string, lang string")
+    whole = quality.fit_models(docs)
+    monkeypatch.setattr(quality, "MOST_GRAMS", 120)
+    less = quality.fit_models(docs)
+    assert set(less) == {"en", "de", "fr"}
+    assert (less["fr"].hashes == whole["fr"].hashes).all()
+    assert 0 < len(less["en"].hashes) < len(whole["en"].hashes)
+    assert quality._shares({"a": 5, "b": 100, "c": 70}, 95) == {"a": 5, "c": 45, "b": 45}
+
+
 def test_masked_network_gives_distributions_and_prefers_its_corpus(spark):
     docs = spark.createDataFrame([(1, PROSE * 20), (2, "Potions the by jumps river lazy over dog.")], "doc_id long, text string")
     classes, logs = masked_lm.fit(docs)
