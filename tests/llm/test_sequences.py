@@ -239,6 +239,74 @@ def test_a_full_filter_changes_no_count(spark, monkeypatch):
     assert sorted(map(tuple, found)) == collocations_by_hand(rows, 4, 5, 50)
 
 
+def test_collocations_of_many_parts_equal_brute_force(spark, monkeypatch):
+    for name, value in (("SHARD_WORDS", 60), ("PART_ROWS", 7), ("PACKED", 20), ("MERGED", 10), ("BATCH_BYTES", 100)):
+        monkeypatch.setattr(collocations, name, value)
+    rng = random.Random(14)
+    rows = [(rng.choice(["en", "fr"]), " ".join(rng.choice(["a", "b", "c d", "c d e.", "é"]) for _ in range(rng.randint(0, 60)))) for _ in range(80)]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    found = collocations.collocations(spark.createDataFrame(rows, "lang string, text string").repartition(3), 3, 5, 50).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    assert sorted(map(tuple, found.collect())) == collocations_by_hand(rows, 3, 5, 50)
+    assert spark.conf.get(key) == before
+
+
+class Rows:
+    """A frame of these batches that runs a function where it is."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def mapInArrow(self, run, schema):
+        return run(iter(self.batches))
+
+    def repartition(self, *names):
+        return self
+
+    sortWithinPartitions = repartition
+
+
+@pytest.fixture
+def arrow_memory():
+    """A memory pool that tells the most that Arrow held during the test."""
+    own = pa.proxy_memory_pool(before := pa.default_memory_pool())
+    pa.set_memory_pool(own)
+    yield own
+    pa.set_memory_pool(before)
+
+
+def test_packing_all_phrases_of_a_shard_takes_bounded_memory(arrow_memory):
+    """In a large corpus nearly all phrases pass the filter; before, all of them were held at once as text."""
+    n, words = 1 << 20, 20_000
+    line = np.append(np.random.default_rng(1).integers(1, words + 1, n), 0).astype(np.int32)
+    index = collocations.FmIndex.of(line, words)
+    vocab = pa.array([f"word{k}" for k in range(words)])
+    binary = [pa.array([collocations.planes(x)]) for x in (index.counts[1:].astype("<i8"), index.before.astype("<i4"), index.behind.astype("<i4"))]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.ListArray.from_arrays([0, words], vocab), *binary], names=["lang", "vocab", "counts", "forward", "backward"])
+
+    class All:
+        value = np.full(1 << (collocations.FILTER_BITS - 6), 2**64 - 1, np.uint64)
+
+    rows = sum(pa.ipc.open_stream(x.as_buffer()).read_all().num_rows for made in collocations._shard_phrases(Rows([batch]), All, 5, 4) for x in made.column("data"))
+    assert rows > 3 * n
+    assert arrow_memory.max_memory() < 250e6
+
+
+def test_adding_up_many_parts_of_a_block_takes_bounded_memory(arrow_memory):
+    """Before, the phrases of all shards in a block were held at once."""
+    n, shards = 100_000, 40
+    texts = pa.array([f"some words {k}" for k in range(n)])
+    data = [collocations._packed(pa.RecordBatch.from_arrays([pa.array(np.full(n, 3, np.int32)), texts, pa.array(np.full(n, 3, np.int64)), pa.array(["x"] * n), pa.array(["y" if k else None] * n)], schema=collocations.PHRASES)) for k in range(shards)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([0], pa.int32()), pa.array([x], pa.binary())], names=["lang", "block", "data"]) for x in data]
+    made = pa.Table.from_batches(collocations._summed_phrases(Rows(batches), 100))
+    assert len(made) == n and set(made["n"].to_pylist()) == {3 * shards} and set(made["closed"].to_pylist()) == {False}
+    assert arrow_memory.max_memory() < 150e6
+
+
+def test_phrases_have_more_blocks_in_a_larger_corpus():
+    assert [collocations.phrase_bits(n) for n in (0, 140_000_000, 1_700_000_000, 17_000_000_000)] == [4, 4, 7, 10]
+
+
 def test_products_beyond_64_bits_are_exact(spark):
     score = "CAST(1000 AS DECIMAL(4, 0)) * (CAST(a AS DECIMAL(17, 0)) * CAST(n AS DECIMAL(17, 0))) div (CAST(l AS DECIMAL(17, 0)) * CAST(r AS DECIMAL(17, 0)))"
     a, n, left, right = 123_456_789_012_345, 987_654_321_098_765, 123_456_789_012_346, 99_999_999_977
