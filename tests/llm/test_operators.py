@@ -377,6 +377,35 @@ def test_a_model_beyond_its_bound_keeps_the_most_frequent_grams(spark, monkeypat
     assert quality._shares({"a": 5, "b": 100, "c": 70}, 95) == {"a": 5, "c": 45, "b": 45}
 
 
+def test_parts_of_a_model_equal_a_fit_on_all_its_grams(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = ["".join(rng.choice("abcdefgh é.") for _ in range(400)) for _ in range(60)] * 2 + [PROSE * k for k in (1, 2)]
+    docs = spark.createDataFrame([(t + str(k) * 3, ("en", "de", None)[k % 3]) for k, t in enumerate(texts)] + [("shorts", "fr"), ("short", "fr")], "text string, lang string")
+    counts = {}
+    for name, gram, n in quality.count_grams(docs, "text", "lang").where("n > 1").collect():
+        counts.setdefault(name, []).append((gram, n - 1))
+    monkeypatch.setattr(quality, "PART_GRAMS", 100)
+    models = quality.fit_models(docs)
+    assert set(models) == set(counts) == {"en", "de", "und", "fr"} and models["en"].bits > 3 and not models["fr"].bits
+    for name, own in counts.items():
+        whole = quality.KneserNey.fit(*np.array(own).T)
+        codes = np.concatenate([quality.ngrams(texts)[0], np.random.default_rng(2).integers(0, 1 << 36, 5_000)])
+        assert (models[name].log_probability(codes) == whole.log_probability(codes)).all()
+        assert (models[name].hashes == whole.hashes).all()
+    sizes = docs.sparkSession.sparkContext.parallelize([0], 1).map(lambda _, m=models["en"]: isinstance(quality._bytes_of(m.shared[0]), np.memmap)).collect()
+    assert sizes == [True]  # workers read only what they look at
+
+
+def test_a_model_has_all_grams_however_many(spark):
+    """More than 3 x 2^20, which was the bound."""
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0 .,;!?'(-#", np.uint8)
+    text = np.random.default_rng(3).choice(letters, 3_500_000).tobytes().decode()
+    model = quality.fit_models(spark.createDataFrame([(text, "en"), (text + "x", "en")], "text string, lang string"))["en"]
+    codes = np.unique(quality.ngrams([text])[0])
+    assert len(codes) > 3 << 20
+    assert np.isin(quality.hashed(quality.ORDER, codes), model.hashes).all()
+
+
 def test_masked_network_gives_distributions_and_prefers_its_corpus(spark):
     docs = spark.createDataFrame([(1, PROSE * 20), (2, "Potions the by jumps river lazy over dog.")], "doc_id long, text string")
     classes, logs = masked_lm.fit(docs)
